@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from promptmill.params import taxonomy
 
 # Every character Unicode counts as white space, so that results do not depend on regex flags.
-SPACE = (r"[\t-\r\x1c-\x20\x85\xa0  -     　]")
+SPACE = (r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
+         r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 QUOTED = "['\"][^'\"]{2,}['\"]"
 
 

@@ -1,0 +1,17 @@
+"""Joins that stay balanced when one key of the large side is very frequent."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SALTS = 8
+
+
+def salted_left_join(large: DataFrame, small: DataFrame, keys, salts=SALTS) -> DataFrame:
+    """Left join against a side with one row per key, spreading every key over ``salts`` tasks.
+
+    The salt of a row comes from its own content, so a retried task puts it in the same place.
+    """
+    keys = list(keys)
+    salted = large.withColumn("_salt", F.pmod(F.xxhash64(*large.columns), F.lit(salts)).cast("int"))
+    spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(spread, [*keys, "_salt"], "left").drop("_salt")
