@@ -99,12 +99,12 @@ def tag_requirements(document) -> Column:
     object asks for nothing.
     """
     levels = F.from_json(text.col(document), "map<string,map<string,string>>")
-    body = "struct<required:array<string>,alternative:array<string>,preferred:array<string>>"
+    body = "required array<string>, alternative array<string>, preferred array<string>"
     named = F.filter(F.map_entries(levels), lambda e: ~e["key"].startswith("_"))
     flat = F.flatten(F.transform(named, lambda c: F.transform(
         F.map_entries(c["value"]), lambda d: F.struct(
             c["key"].alias("category"), d["key"].alias("dimension"),
-            F.from_json(d["value"], body[7:-1].replace(":", " ")).alias("req")))))
+            F.from_json(d["value"], body).alias("req")))))
     return F.transform(flat, lambda r: F.struct(
         r["category"].alias("category"), r["dimension"].alias("dimension"),
         r["req"]["required"].alias("required"), r["req"]["alternative"].alias("alternative"),
