@@ -116,7 +116,8 @@ def family_pass_pool(results: DataFrame, order_col="record_id") -> DataFrame:
 
 def finalize_dimensions(results: DataFrame, family_dimensions: DataFrame) -> DataFrame:
     """Fan passed rows of a family out to its dimensions (a parameter table)."""
-    return family_pass_pool(results).join(family_dimensions, "family_name")
+    passed = family_pass_pool(results)
+    return passed.drop("dimension").join(family_dimensions, "family_name")
 
 
 def rule_only_pool(source: DataFrame, base_tags, dimension, order_col="record_id",
