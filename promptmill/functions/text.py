@@ -7,9 +7,15 @@ from pyspark.sql import functions as F
 
 from promptmill.params import taxonomy
 
-# Every character Unicode counts as white space, so that results do not depend on regex flags.
+# Every character Unicode counts as white space, spelled out; the same text works in RE2.
 SPACE = (r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
          r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
+# The same set for Java under (?U), where it costs one property lookup per character, and as the
+# list of characters that trim takes.
+ANY_SPACE = r"[\s\x1c-\x1f]"
+SPACE_CHARS = "".join(map(chr, [
+    *range(0x09, 0x0e), *range(0x1c, 0x21), 0x85, 0xa0, 0x1680, *range(0x2000, 0x200b),
+    0x2028, 0x2029, 0x202f, 0x205f, 0x3000]))
 QUOTED = "['\"][^'\"]{2,}['\"]"
 
 
@@ -19,12 +25,12 @@ def col(c) -> Column:
 
 def strip(c) -> Column:
     """Remove white space of any kind at both ends; null becomes empty."""
-    return F.regexp_replace(F.coalesce(col(c), F.lit("")), f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(F.coalesce(col(c), F.lit("")), F.lit(SPACE_CHARS))
 
 
 def normalize_prompt(c) -> Column:
     """Collapse runs of white space and trim; null becomes empty."""
-    return F.trim(F.regexp_replace(F.coalesce(col(c), F.lit("")), f"{SPACE}+", " "))
+    return F.trim(F.regexp_replace(F.coalesce(col(c), F.lit("")), f"(?U){ANY_SPACE}+", " "))
 
 
 def word_count(normalized) -> Column:
@@ -62,7 +68,7 @@ def contains_any(lowered, phrases) -> Column:
 
 def phrase_pattern(phrases) -> str:
     """Whole-phrase pattern; a space in a phrase stands for any run of white space."""
-    parts = [re.escape(p.lower().strip()).replace(r"\ ", SPACE + "+").replace(r"\-", "-")
+    parts = [re.escape(p.lower().strip()).replace(r"\ ", ANY_SPACE + "+").replace(r"\-", "-")
              for p in phrases if p.strip()]
     return r"(?U)\b(?:" + "|".join(parts) + r")\b"
 

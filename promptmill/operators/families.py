@@ -9,6 +9,7 @@ from promptmill.operators import clean
 from promptmill.operators.ranking import distributed_rank, with_id_bin
 from promptmill.params import lexicon as lx
 from promptmill.params import taxonomy as tx
+from promptmill.session import written
 
 
 def has_flag(tag, tags="semantic_tags", signature=None) -> Column:
@@ -102,6 +103,8 @@ def excluded_reasons(df: DataFrame, family, base_tags=None, signature=None) -> D
 
 
 def _ranked(candidates: DataFrame, family, digits, order_col):
+    # Ranking reads its input three times (range, counts, ranks): the rules run once, into a file.
+    candidates = written(candidates, f"{family}-candidates")
     ranked = distributed_rank(with_id_bin(candidates, order_col), [], [order_col], "_bin")
     return ranked.withColumn("family_name", F.lit(family)).withColumn(
         "sample_id", keys.sample_id("family_name", "rank", "prompt", digits))

@@ -44,9 +44,11 @@ def family_requests(samples: DataFrame, family: str, goal: str, focus, dimension
 
 def parse_answers(raw: DataFrame, raw_col="raw_content") -> DataFrame:
     """One row per answered item: ``sample_id, label, confidence, reason`` as text."""
-    items = raw.withColumn("_items", answers.result_items(raw_col))
-    return (items.select(*raw.drop(raw_col).columns, F.explode("_items").alias("_i"))
-            .select(*raw.drop(raw_col).columns,
+    items = answers.with_result_items(raw, raw_col, "_items")
+    # The outer form keeps the optimizer from pushing a size test below the parsing steps, which
+    # would parse every answer a second time.
+    return (items.select(*raw.drop(raw_col).columns, F.explode_outer("_items").alias("_i"))
+            .where(F.col("_i").isNotNull()).select(*raw.drop(raw_col).columns,
                     text.strip("_i.sample_id").alias("sample_id"),
                     F.col("_i.label").alias("label"), F.col("_i.confidence").alias("confidence"),
                     text.strip("_i.reason").alias("reason")))
@@ -57,13 +59,11 @@ def parse_family_answers(raw: DataFrame, raw_col="raw_content", key="request_id"
 
     Recovered items are unique by id inside their answer, first one first.
     """
-    both = raw.withColumn("_items", answers.result_items(raw_col)).withColumn(
+    both = answers.with_result_items(raw, raw_col, "_items", recover=True).withColumn(
         "_broken", F.col("_items").isNull())
-    recovered = F.transform(answers.recovered_items(raw_col), lambda s: F.struct(
-        s["sample_id"].alias("sample_id"), s["label"].alias("label"),
-        s["confidence"].alias("confidence"), s["reason"].alias("reason")))
     rows = both.select(*raw.drop(raw_col).columns, "_broken",
-                       F.posexplode(F.coalesce("_items", recovered)).alias("_pos", "_i"))
+                       F.posexplode_outer(F.coalesce("_items", "recovered")).alias("_pos", "_i"))
+    rows = rows.where(F.col("_i").isNotNull())
     rows = rows.select(
         *raw.drop(raw_col).columns, "_broken", "_pos",
         text.strip("_i.sample_id").alias("sample_id"),

@@ -41,7 +41,7 @@ def keyword_tags(prompt, lowered, lex, extra_tags=None) -> Column:
 def parse_tag_answer(answer, valid_tags) -> Column:
     """Tags named in a free-text answer: split on commas and spaces, keep the valid ones."""
     lowered = F.lower(text.strip(answer))
-    tokens = F.split(lowered, f"(?:,|{text.SPACE})+")
+    tokens = F.split(lowered, f"(?U)(?:,|{text.ANY_SPACE})+")
     valid = F.array(*[F.lit(t) for t in sorted(valid_tags)])
     empty = F.array().cast("array<string>")
     return F.when((lowered == "none") | (lowered == ""), empty).otherwise(

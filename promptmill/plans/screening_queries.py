@@ -7,13 +7,13 @@ broken).
 
 from pyspark.sql import functions as F
 
-from promptmill.functions import answers, keys, text
-from promptmill.operators import sampling, screening
+from promptmill.functions import answers
+from promptmill.operators import screening
 from promptmill.params import requests as rq
 from promptmill.params import taxonomy as tx
 from promptmill.plans.registry import query
 from promptmill.plans.sampling_queries import SAMPLES_SQL, samples
-from promptmill.plans.views import SQL_ATTEMPTS, SQL_PAIRS, pick, q, sql_list, sql_pick
+from promptmill.plans.views import SQL_PAIRS, pick, q, sql_list, sql_pick
 
 DIMS = ["hand_malformation", "text_error", "blur"]
 ANSWER_LABELS = ["Pass", "uncertain", "REJECT"]
@@ -176,12 +176,12 @@ def parsed_prompt_lists(v):
            .when(kind == 1, F.concat(F.lit("```json\n"), array, F.lit("\n```")))
            .when(kind == 2, F.concat(F.lit("Prompts:\n"), array, F.lit(" done")))
            .otherwise(F.concat(F.lit("```\n"), F.array_join(numbered, "\n\n"), F.lit("\n```"))))
-    parsed = named.select("request_id", answers.prompt_list(raw, 3).alias("prompts"))
+    parsed = answers.with_prompt_list(named.select("request_id", raw.alias("raw")), "raw", 3)
     return parsed.select("request_id", F.posexplode("prompts").alias("position", "prompt"))
 
 
 @query("judge_answers", "PRS4 PRS5", f"""
-WITH {SQL_PAIRS}, k AS (SELECT *, ord % 5 AS kind, round(seconds / 100, 2) AS score,
+WITH {SQL_PAIRS}, k AS (SELECT *, ord % 5 AS kind, seconds AS score,
   {sql_list(['style moved', 'content moved', '风格', 'faint'])}[ord % 4 + 1] AS notes FROM pairs)
 SELECT pair_id, CASE WHEN kind = 4 THEN FALSE ELSE valid END AS valid,
   'painting' AS style_type, CASE WHEN kind <> 4 AND valid THEN NULL
@@ -194,7 +194,7 @@ def judge_answers(v):
     """Judge answers rendered from the pair log: intact, fenced, truncated, untidy, unreadable."""
     kind = F.col("ord") % 5
     notes = pick(["style moved", "content moved", "风格", "faint"], F.col("ord"))
-    score = F.round(F.col("seconds") / 100, 2)
+    score = F.col("seconds")
     fields = F.concat(F.lit('"valid": '), F.col("valid").cast("string"),
                       F.lit(', "style_type": "painting", "notes": "'), notes, F.lit('"'))
     scores = F.concat(F.lit('"scores": {"content_preservation": '), score.cast("string"),
@@ -207,6 +207,7 @@ def judge_answers(v):
                                      F.lit(",\n}")))
            .otherwise(F.concat(F.lit('{"style_type": "painting" "notes": "'), notes,
                                F.lit('" '), scores, F.lit("}"))))
-    return v.pairs().select("pair_id", *answers.judge_columns(raw)).select(
+    rendered = v.pairs().select("pair_id", raw.alias("raw"))
+    return answers.with_judge_verdict(rendered, "raw").select(
         "pair_id", "valid", "style_type", "failure", "notes", "content_preservation",
         "style_consistency")
