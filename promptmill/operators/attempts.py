@@ -27,13 +27,6 @@ def with_error_pairs(pairs: DataFrame, outcomes: DataFrame, pair="pair_id") -> D
             .withColumn("total_attempts", F.coalesce("total_attempts", F.lit(0))))
 
 
-def attempt_failure_types(attempts: DataFrame) -> DataFrame:
-    """Failure types counted per failed attempt."""
-    failed = attempts.where(F.col("status") == "failed")
-    return failed.groupBy(F.coalesce("failure", F.lit("unknown")).alias("failure")).agg(
-        F.count(F.lit(1)).alias("attempts"))
-
-
 def next_actions(attempts: DataFrame, max_retries: int, pair="pair_id") -> DataFrame:
     """What follows each attempt.
 

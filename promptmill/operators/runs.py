@@ -24,7 +24,7 @@ def pair_records(log: DataFrame, dataset_pairs: DataFrame, runs: DataFrame) -> D
     ``run_dir, model_id``. Unmatched log rows are kept.
     """
     verdict = F.coalesce("final_validation", "judge_result")
-    joined = log.join(dataset_pairs, ["run_dir", "pair_id"], "left").join(
+    joined = log.drop("model_id").join(dataset_pairs, ["run_dir", "pair_id"], "left").join(
         runs.select("run_dir", "model_id"), "run_dir", "left")
     return joined.select(
         "run_dir", "pair_id", F.coalesce(_given("model_id"), F.lit("unknown")).alias("model_id"),
@@ -204,6 +204,14 @@ def validation_by_dimension(pairs: DataFrame) -> DataFrame:
         F.sum("total_attempts").alias("attempts"))
 
 
+def validation_failure_types(attempts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Failure types per failed attempt, plus one ``error`` for every pair without attempts."""
+    failed = attempts.where(F.col("status") == "failed").select(
+        F.coalesce("failure", F.lit("unknown")).alias("failure"))
+    lost = pairs.where(F.col("total_attempts") == 0).select(F.lit("error").alias("failure"))
+    return failed.unionByName(lost).groupBy("failure").agg(F.count(F.lit(1)).alias("pairs"))
+
+
 def severity_totals(pairs: DataFrame) -> DataFrame:
     """Severity counts of a batch with its successes and failures."""
     return pairs.groupBy("severity").agg(

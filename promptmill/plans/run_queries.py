@@ -221,11 +221,15 @@ def next_actions(v):
                                                    "next_action")
 
 
-@query("attempt_failure_types", "AGG15", f"""
-WITH {SQL_ATTEMPTS} SELECT failure, count(*) AS attempts FROM attempts WHERE status = 'failed'
-GROUP BY 1""")
-def attempt_failure_types(v):
-    return at.attempt_failure_types(v.attempts())
+@query("validation_failure_types", "AGG15 ST4", f"""
+WITH {OUTCOMES_SQL}, f AS (SELECT failure FROM attempts WHERE status = 'failed' UNION ALL
+  SELECT 'error' FROM (SELECT DISTINCT user_id FROM events)
+  WHERE user_id NOT IN (SELECT pair_id FROM lasts))
+SELECT failure, count(*) AS pairs FROM f GROUP BY 1""")
+def validation_failure_types(v):
+    planned = v.table("events").select(F.col("user_id").alias("pair_id")).distinct()
+    pairs = at.with_error_pairs(planned, at.pair_outcomes(v.attempts()))
+    return runs.validation_failure_types(v.attempts(), pairs)
 
 
 @query("positive_reuse", "ST5", f"""

@@ -203,11 +203,12 @@ class RunArtifacts:
         # An empty log still is an artifact: its file is found by path, not by its rows.
         logged = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                   .option("pathGlobFilter", "full_log.json").load(root)
-                  .select(F.regexp_replace("path", "/[^/]*$", "").alias("run_dir")))
+                  .select(F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias(
+                      "run_dir")))
         self.runs = (dataset.drop("file_time").join(
             report.select("run_dir", "file_time", F.col("summary.total_pairs").alias(
                 "total_pairs"), F.col("summary.valid_pairs").alias("valid_pairs")), "run_dir")
-            .join(logged.select(self._path_only("run_dir")), "run_dir", "left_semi")
+            .join(logged, "run_dir", "left_semi")
             .select("run_dir", F.col("metadata.model_id").alias("model_id"),
                     F.col("metadata.created_at").alias("created_at"),
                     F.col("metadata.completed_at").alias("completed_at"), "file_time",
@@ -223,11 +224,6 @@ class RunArtifacts:
             F.col("p.degradation.attribute").alias("d_attribute"),
             F.col("p.degradation.severity").alias("d_severity")).where("pair_id is not null"))
 
-    @staticmethod
-    def _path_only(name):
-        """File paths of the binary source in the form the JSON source reports them."""
-        return F.regexp_replace(name, "^file:/+", "file:///").alias(name)
-
 
 def read_subpool(spark: SparkSession, root: str, dimension: str = None) -> DataFrame:
     """Subpools written by :func:`write_subpools`; one dimension reads only its own folder."""
