@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promptmill.functions import keys, text
+from promptmill.functions.plan import computed
 from promptmill.functions.text import col
 from promptmill.params import lexicon
 
@@ -28,7 +29,7 @@ def classify_prompt(prompt, normalized=None, **limits) -> Column:
 
 def with_length_class(df: DataFrame, prompt="prompt", name="drop_reason", **limits) -> DataFrame:
     normalized = df.withColumn("_norm", text.normalize_prompt(prompt))
-    return normalized.withColumn(name, classify_prompt(prompt, "_norm", **limits)).drop("_norm")
+    return computed(normalized, **{name: classify_prompt(prompt, "_norm", **limits)}).drop("_norm")
 
 
 def clean_records(df: DataFrame, prompt="prompt", **limits):
@@ -67,11 +68,10 @@ def candidate_status(df: DataFrame, min_words=lexicon.DEFAULT_MIN_WORDS, prompt=
         limit = F.when(col(source) == name, F.lit(words)).otherwise(limit)
     norm = df.withColumn("normalized", text.normalize_prompt(prompt)).withColumn(
         source, F.coalesce(col(source), F.lit("unknown")))
-    return norm.withColumn(
-        "status",
+    return computed(norm, status=(
         F.when(F.col("normalized") == "", F.lit("empty"))
         .when(text.word_count("normalized") < limit, F.lit("short"))
-        .otherwise(F.lit("candidate")))
+        .otherwise(F.lit("candidate"))))
 
 
 def first_wins(df: DataFrame, text_col: str, order_col: str) -> DataFrame:
@@ -89,10 +89,14 @@ def first_wins(df: DataFrame, text_col: str, order_col: str) -> DataFrame:
 def clean_and_dedup(df: DataFrame, min_words=lexicon.DEFAULT_MIN_WORDS, order_col="record_id",
                     source="source") -> DataFrame:
     """Normalized prompts that are long enough, first occurrence only."""
-    status = candidate_status(df, min_words, source=source)
-    candidates = (status.where(F.col("status") == "candidate").drop("status")
-                  .drop("prompt").withColumnRenamed("normalized", "prompt"))
-    return first_wins(candidates, "prompt", order_col)
+    long_enough = candidate_status(df, min_words, source=source).where(
+        F.col("status") == "candidate")
+    winners = (long_enough.groupBy(keys.digest("normalized").alias("_digest"))
+               .agg(F.min(order_col).alias(order_col)).select(order_col))
+    # Only winners are normalized again on the way out.
+    return (df.join(winners, order_col, "left_semi")
+            .withColumn("prompt", text.normalize_prompt("prompt"))
+            .withColumn(source, F.coalesce(col(source), F.lit("unknown"))))
 
 
 def _dedup_groups(df, min_words, order_col, source):

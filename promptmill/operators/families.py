@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promptmill.functions import keys, text
+from promptmill.functions.plan import computed
 from promptmill.functions.text import col, contains_phrase
 from promptmill.operators import clean
 from promptmill.operators.ranking import distributed_rank, with_id_bin
@@ -79,12 +80,15 @@ def evaluated(df: DataFrame, family, base_tags=None, signature=None,
     unique = clean.dedup_stripped(stripped, "prompt", order_col, strip=False).withColumn(
         "_lower", F.lower("prompt"))
     names = tx.FAMILY_BASE_TAGS.get(family, []) if base_tags is None else base_tags
-    return (unique
-            .withColumn("base_recall", has_base_tags(names, signature=signature))
-            .withColumn("reason", family_reason(family, "_lower", base_tags, signature=signature))
-            .withColumn("has_full_body_signal", has_flag("has_full_body", signature=signature))
-            .withColumn("keyword_body_readable", contains_phrase("_lower", lx.FAMILY_FULL_BODY))
-            .withColumn("prompt_length", F.length("prompt")).drop("_lower"))
+    base = has_base_tags(names, signature=signature)
+    # Body signals belong to the people family and to rows that pass its base tags.
+    body = F.lit(family == "human_full_body_realistic") & base
+    return computed(
+        unique, base_recall=base,
+        reason=family_reason(family, "_lower", base_tags, signature=signature),
+        has_full_body_signal=body & has_flag("has_full_body", signature=signature),
+        keyword_body_readable=body & contains_phrase("_lower", lx.FAMILY_FULL_BODY),
+        prompt_length=F.length("prompt")).drop("_lower")
 
 
 def family_summary(df: DataFrame, family, base_tags=None, signature=None) -> DataFrame:
@@ -123,6 +127,8 @@ def prefiltered_candidates(df: DataFrame, family, base_tags=None, signature=None
     """Candidates of the light prefilter in source order, with ranked sample ids."""
     stripped = df.withColumn("prompt", text.strip("prompt"))
     unique = clean.dedup_stripped(stripped, "prompt", order_col, strip=False)
-    kept = unique.withColumn("_lower", F.lower("prompt")).where(
-        passes_prefilter(family, F.col("_lower"), base_tags, signature=signature)).drop("_lower")
+    lowered = unique.withColumn("_lower", F.lower("prompt"))
+    kept = computed(lowered, _keep=passes_prefilter(
+        family, F.col("_lower"), base_tags, signature=signature)).where("_keep").drop(
+        "_lower", "_keep")
     return _ranked(kept, family, 16, order_col)

@@ -76,6 +76,14 @@ def parse_family_answers(raw: DataFrame, raw_col="raw_content", key="request_id"
             .drop("_broken", "_pos", "_first"))
 
 
+def parse_prompt_answers(raw: DataFrame, expected, raw_col="raw_content") -> DataFrame:
+    """One row per prompt of a generation answer, with its position from 0."""
+    listed = answers.with_prompt_list(raw, raw_col, expected, "_prompts").drop(raw_col)
+    kept = [c for c in listed.columns if c != "_prompts"]
+    return listed.select(*kept, F.posexplode_outer("_prompts").alias("position", "prompt")).where(
+        F.col("prompt").isNotNull())
+
+
 def screened_rows(samples: DataFrame, answered: DataFrame, policy="lenient",
                   batch=("request_id",)) -> DataFrame:
     """Every sample with its label; ids missing from the answer become ``uncertain``.

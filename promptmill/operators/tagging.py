@@ -49,8 +49,9 @@ def parse_tag_answer(answer, valid_tags) -> Column:
 
 
 def tag_counts(df: DataFrame, tags="semantic_tags") -> DataFrame:
-    return (df.select(F.explode(tags).alias("tag")).groupBy("tag")
-            .agg(F.count(F.lit(1)).alias("prompts")))
+    # The outer form brings no size test that would be pushed below the tagging and repeat it.
+    return (df.select(F.explode_outer(tags).alias("tag")).where(F.col("tag").isNotNull())
+            .groupBy("tag").agg(F.count(F.lit(1)).alias("prompts")))
 
 
 def tag_statistics(df: DataFrame, vocabulary, tags="semantic_tags") -> DataFrame:

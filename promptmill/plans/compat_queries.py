@@ -30,12 +30,12 @@ SELECT dimension, available, total, round_even(available / total * 100, 2) AS co
   {GAP} AS gap_level, row_number() OVER (ORDER BY available, dimension) AS scarcity_rank FROM c"""
 
 
-@query("dimension_coverage", "AGG1 JN6 FLT7", sql_coverage("all"))
+@query("dimension_coverage", "AGG1 JN6 FLT7", sql_coverage("all"), ints="scarcity_rank")
 def dimension_coverage(v):
     return compat.coverage_report(v.tagged())
 
 
-@query("dimension_coverage_any_tag", "AGG1 FLT7", sql_coverage("any"))
+@query("dimension_coverage_any_tag", "AGG1 FLT7", sql_coverage("any"), ints="scarcity_rank")
 def dimension_coverage_any_tag(v):
     return compat.coverage_report(v.tagged(), mode="any")
 

@@ -36,6 +36,7 @@ UNIQUE_SQL = f"""{SQL_TAGGED}, stripped AS (SELECT record_id, tags, {sql_strip('
 def _family_queries(label, family, covers):
     reason = REASON_SQL[family]
     base = " AND ".join(sql_has(t) for t in tx.FAMILY_BASE_TAGS[family])
+    body = "reason IS NULL" if family == PEOPLE else "FALSE"
 
     @query(f"{label}_exclusions", covers, f"""
 WITH {UNIQUE_SQL}, e AS (SELECT {reason} AS reason FROM firsts)
@@ -47,13 +48,13 @@ SELECT reason, count(*) AS prompts FROM e WHERE reason IS NOT NULL GROUP BY 1"""
 WITH {UNIQUE_SQL}, e AS (SELECT *, {reason} AS reason FROM firsts)
 SELECT count(*) FILTER (WHERE {base}) AS base_rule_recall_count,
   count(*) FILTER (WHERE reason IS NULL) AS candidate_count,
-  count(*) FILTER (WHERE reason IS NULL AND {sql_has('has_full_body')}) AS has_full_body_signal,
-  count(*) FILTER (WHERE reason IS NULL AND {sql_phrase('low', lx.FAMILY_FULL_BODY)})
+  count(*) FILTER (WHERE {body} AND {sql_has('has_full_body')}) AS has_full_body_signal,
+  count(*) FILTER (WHERE {body} AND {sql_phrase('low', lx.FAMILY_FULL_BODY)})
     AS keyword_body_readable FROM e""")
     def summary(v):
         return families.family_summary(v.tagged(), family)
 
-    @query(f"{label}_candidates", f"PL4 FN10 {covers}", f"""
+    @query(f"{label}_candidates", f"PL4 FN10 {covers}", ints="prompt_length", sql=f"""
 WITH {UNIQUE_SQL}, e AS (SELECT *, {reason} AS reason FROM firsts),
 c AS (SELECT record_id, prompt, row_number() OVER (ORDER BY record_id) AS rank FROM e
   WHERE reason IS NULL)

@@ -16,8 +16,15 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
-def query(name: str, covers: str, sql: str | None = None):
-    """Register a plan ``(views) -> DataFrame``; ``covers`` names inventory rows."""
+def query(name: str, covers: str, sql: str | None = None, ints: str = ""):
+    """Register a plan ``(views) -> DataFrame``; ``covers`` names inventory rows.
+
+    ``ints`` lists result columns that are 32-bit in Spark and wider in the SQL twin.
+    """
+    if sql is not None and ints:
+        casts = ", ".join(f"CAST({c} AS INTEGER) AS {c}" for c in ints.split())
+        sql = f"SELECT * REPLACE ({casts}) FROM ({sql})"
+
     def register(plan):
         if name in REGISTRY:
             raise ValueError(f"query {name} registered twice")

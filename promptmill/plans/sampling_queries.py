@@ -68,7 +68,7 @@ pool AS (SELECT record_id, source, assigned_bucket, row_number() OVER (ORDER BY
 
 @query("stratified_sample", "SMP1 SMP2", f"""
 WITH {SQL_TAGGED}, {sql_stratified(PLAN, SEED)}
-SELECT record_id, source, assigned_bucket, pool_rank FROM pool""")
+SELECT record_id, source, assigned_bucket, pool_rank FROM pool""", ints="pool_rank")
 def stratified_sample(v):
     return sampling.stratified_sample(bucketed(v), PLAN, SEED)
 
@@ -85,7 +85,7 @@ def stratified_sample_counts(v):
 WITH {sql_subpools()}
 SELECT dimension, record_id, row_number() OVER (PARTITION BY dimension ORDER BY
   md5('7|' || dimension || '|' || record_id), record_id) AS sample_rank FROM subpools
-QUALIFY sample_rank <= 25""")
+QUALIFY sample_rank <= 25""", ints="sample_rank")
 def reservoir_sample(v):
     return sampling.reservoir_sample(v.subpools().select("dimension", "record_id"), "dimension",
                                      25, 7)
@@ -94,7 +94,7 @@ def reservoir_sample(v):
 @query("large_reservoir_sample", "SMP3", f"""
 WITH {SQL_PAIRS} SELECT model_id, ord, row_number() OVER (PARTITION BY model_id ORDER BY
   md5('11|' || model_id || '|' || ord), ord) AS sample_rank FROM pairs
-QUALIFY sample_rank <= 1500""")
+QUALIFY sample_rank <= 1500""", ints="sample_rank")
 def large_reservoir_sample(v):
     return sampling.reservoir_sample(v.pairs().select("model_id", "ord"), "model_id", 1500, 11,
                                      key="ord")
@@ -115,7 +115,7 @@ def samples(v):
 
 
 @query("dimension_samples", "SMP4 FN10", f"""
-WITH {SAMPLES_SQL} SELECT dimension, record_id, rank, sample_id FROM named""")
+WITH {SAMPLES_SQL} SELECT dimension, record_id, rank, sample_id FROM named""", ints="rank")
 def dimension_samples(v):
     return samples(v).select("dimension", "record_id", "rank", "sample_id")
 
@@ -157,7 +157,7 @@ WITH {SQL_PROMPTS}, d AS (SELECT record_id, t, row_number() OVER (PARTITION BY r
     md5('5|' || record_id || '|' || t), t) - 1 AS neg_idx
   FROM prompts, (SELECT unnest({sql_list(TYPES)}) AS t))
 SELECT record_id, neg_idx, t AS degradation_type, {sql_pick(tx.SEVERITIES, 'neg_idx')} AS severity
-FROM d WHERE neg_idx < 3""")
+FROM d WHERE neg_idx < 3""", ints="neg_idx")
 def balanced_degradation_draws(v):
     drawn = sampling.degradation_draws(v.prompts().select("record_id"), TYPES, 3, 5)
     return drawn.withColumn("severity", sampling.severity("round_robin", neg_idx="neg_idx"))
@@ -172,7 +172,7 @@ SELECT record_id, neg_idx,
   {sql_pick(TYPES, U32.format("'5|' || record_id || '|' || neg_idx"))} AS degradation_type,
   CASE WHEN {U32.format("record_id || '#' || neg_idx")} / 4294967296.0::DOUBLE < 0.2 THEN 'mild'
        WHEN {U32.format("record_id || '#' || neg_idx")} / 4294967296.0::DOUBLE < 0.6
-       THEN 'moderate' ELSE 'severe' END AS severity FROM d""")
+       THEN 'moderate' ELSE 'severe' END AS severity FROM d""", ints="neg_idx")
 def repeated_degradation_draws(v):
     drawn = sampling.degradation_draws(v.prompts().select("record_id"), TYPES, 7, 5)
     key = F.concat_ws("#", F.col("record_id").cast("string"), F.col("neg_idx").cast("string"))
@@ -197,7 +197,7 @@ WITH {sql_subpools()}, s AS (SELECT dimension, record_id, row_number() OVER (PAR
 o(ord, dimension) AS (VALUES {', '.join(f"({i}, {q(d)})" for i, d in enumerate(GRID_DIMS))}),
 n AS (SELECT s.*, 41 + row_number() OVER (ORDER BY ord, sample_rank) AS seed
   FROM s JOIN o USING (dimension))
-SELECT dimension, record_id, sample_rank, seed, unnest(['moderate', 'severe']) AS severity FROM n""")
+SELECT dimension, record_id, sample_rank, seed, unnest(['moderate', 'severe']) AS severity FROM n""", ints="sample_rank seed")
 def systematic_work_grid(v):
     dims = param_table(v.spark, list(enumerate(GRID_DIMS)), "ord int, dimension string")
     return sampling.systematic_grid(v.subpools().select("dimension", "record_id"), dims, 10,
@@ -210,7 +210,7 @@ WITH {SQL_PROMPTS}, r AS (SELECT record_id, row_number() OVER (ORDER BY record_i
 SELECT record_id, i AS pair_idx,
   {sql_pick(tx.DIMENSIONS, U32.format("'8|dimension|' || record_id || '|' || i"))} AS dimension,
   {sql_pick(tx.SEVERITIES, U32.format("'8|severity|' || record_id || '|' || i"))} AS severity,
-  42 + (rank - 1) * 4 + i AS seed FROM d""")
+  42 + (rank - 1) * 4 + i AS seed FROM d""", ints="pair_idx")
 def random_work_grid(v):
     return sampling.random_grid(v.prompts().select("record_id"), tx.DIMENSIONS, tx.SEVERITIES, 4,
                                 42, 8)

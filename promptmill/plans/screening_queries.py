@@ -45,7 +45,7 @@ def raw_answers(v):
               .when(kind == 2, F.concat(F.lit("Here you go: "), F.to_json("items")))
               .otherwise(F.concat(F.substr(whole, F.lit(1), F.length(whole) - 2),
                                   F.lit(', {"sample_id": "s0", "label": "pa'))))
-    usage = F.struct(F.length(whole).cast("long").alias("prompt_tokens"),
+    usage = F.struct((F.size("items") * 7).cast("long").alias("prompt_tokens"),
                      F.when(kind != 3, F.col("request_id")).alias("completion_tokens"),
                      F.size("items").cast("long").alias("total_tokens"))
     return grouped.select("request_id", shaped.alias("raw_content"), usage.alias("usage"))
@@ -85,7 +85,11 @@ def screening_summary(v):
     return screening.screening_summary(screened(v))
 
 
-@query("usage_totals", "AGG16")
+@query("usage_totals", "AGG16", """
+WITH r AS (SELECT doc_id // 20 AS request_id, count(*) AS n FROM labels GROUP BY 1)
+SELECT count(*) AS request_count, CAST(sum(n * 7) AS BIGINT) AS prompt_tokens,
+  CAST(sum(request_id) FILTER (WHERE request_id % 4 <> 3) AS BIGINT) AS completion_tokens,
+  CAST(sum(n) AS BIGINT) AS total_tokens FROM r""")
 def usage_totals(v):
     return screening.usage_totals(raw_answers(v))
 
@@ -160,7 +164,7 @@ WITH r AS (SELECT l_orderkey, list('item ' || l_partkey ORDER BY l_partkey, l_li
   FROM lineitem GROUP BY 1), e AS (SELECT l_orderkey, CASE WHEN l_orderkey % 4 = 3 THEN
     list_filter(items[1:3], lambda x: TRUE) ELSE items[1:3] END AS items FROM r)
 SELECT l_orderkey AS request_id, unnest(items) AS prompt, unnest(range(len(items))) AS position
-FROM e""")
+FROM e""", ints="position")
 def parsed_prompt_lists(v):
     """Generation answers rendered from the line items of an order, in four shapes."""
     parts = v.table("lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(
@@ -176,8 +180,7 @@ def parsed_prompt_lists(v):
            .when(kind == 1, F.concat(F.lit("```json\n"), array, F.lit("\n```")))
            .when(kind == 2, F.concat(F.lit("Prompts:\n"), array, F.lit(" done")))
            .otherwise(F.concat(F.lit("```\n"), F.array_join(numbered, "\n\n"), F.lit("\n```"))))
-    parsed = answers.with_prompt_list(named.select("request_id", raw.alias("raw")), "raw", 3)
-    return parsed.select("request_id", F.posexplode("prompts").alias("position", "prompt"))
+    return screening.parse_prompt_answers(named.select("request_id", raw.alias("raw_content")), 3)
 
 
 @query("judge_answers", "PRS4 PRS5", f"""

@@ -15,7 +15,7 @@ from promptmill.plans.views import (LEXICON, SQL_ATTEMPTS, SQL_MACRO, SQL_PAIRS,
 @query("normalized_prompts", "FN1 FN2 FN4", f"""
 WITH {SQL_PROMPTS}, n AS (SELECT *, {sql_norm('prompt')} AS norm FROM prompts)
 SELECT record_id, md5(norm) AS norm_md5, {sql_words('norm')} AS words, length(prompt) AS chars,
-       length(prompt) - length(replace(prompt, ',', '')) AS commas FROM n""")
+       length(prompt) - length(replace(prompt, ',', '')) AS commas FROM n""", ints="words chars commas")
 def normalized_prompts(v):
     return v.prompts().withColumn("norm", text.normalize_prompt("prompt")).select(
         "record_id", F.md5("norm").alias("norm_md5"), text.word_count("norm").alias("words"),
