@@ -59,7 +59,7 @@ def with_result_items(df: DataFrame, raw: str, name="items", recover=False) -> D
 
     Null when nothing parses. A bare top-level array is no result object and gives null too. With
     ``recover`` a column ``recovered`` holds the items of a broken answer: every object that
-    starts with ``sample_id``, read on its own.
+    starts with ``sample_id``, read on its own, the first one of each id.
     """
     text = F.col("_text")
     schema = f"results {ITEM_ARRAY}"
@@ -85,8 +85,12 @@ def with_result_items(df: DataFrame, raw: str, name="items", recover=False) -> D
         stages += [
             ("_read", F.when(F.col(name).isNull(), F.transform(pieces, lambda p: F.from_json(
                 p, f"{ITEM}, {_BAD} string", _OPTIONS)))),
+            ("_named", F.filter("_read", lambda s: s[_BAD].isNull()
+                                & (strip(s["sample_id"]) != ""))),
+            ("_ids", F.transform("_named", lambda s: strip(s["sample_id"]))),
             ("recovered", F.transform(
-                F.filter("_read", lambda s: s[_BAD].isNull() & (strip(s["sample_id"]) != "")),
+                F.filter("_named", lambda s, i: F.array_position(
+                    "_ids", strip(s["sample_id"])) == i + 1),
                 lambda s: F.struct(s["sample_id"].alias("sample_id"), s["label"].alias("label"),
                                    s["confidence"].alias("confidence"),
                                    s["reason"].alias("reason")))),

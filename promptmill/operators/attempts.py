@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from promptmill.operators.joins import salted_left_join
 from promptmill.params import taxonomy as tx
 
 
@@ -32,8 +33,8 @@ def next_actions(attempts: DataFrame, max_retries: int, pair="pair_id") -> DataF
 
     ``attempts``: ``pair_id, attempt`` (from 0), ``status`` (success, failed, error, skipped),
     ``failure, style_type``. The rules only ask whether an event happened earlier in the pair, so
-    the first attempt of each event is aggregated and joined back. A pair with very many attempts
-    is combined on the map side, and its rows are spread by the adaptive skew join.
+    the first attempt of each event is aggregated and joined back, for pairs that have one. A pair
+    with very many attempts is combined on the map side and its rows are spread over salts.
     """
     def first_when(test):
         return F.min(F.when(test, F.col("attempt")))
@@ -43,7 +44,8 @@ def next_actions(attempts: DataFrame, max_retries: int, pair="pair_id") -> DataF
     failed = F.col("status") == "failed"
     firsts = attempts.groupBy(pair).agg(
         first_when(failed & incompatible).alias("_incompatible"),
-        first_when(failed & drifted).alias("_drifted"))
+        first_when(failed & drifted).alias("_drifted")).where(
+        F.col("_incompatible").isNotNull() | F.col("_drifted").isNotNull())
     last_allowed = F.col("attempt") >= max_retries
     action = (
         F.when(F.col("status") == "success", F.lit("done"))
@@ -57,7 +59,7 @@ def next_actions(attempts: DataFrame, max_retries: int, pair="pair_id") -> DataF
         .when(failed & drifted & (F.col("attempt") == F.col("_drifted")),
               F.lit("anchor_negative"))
         .otherwise(F.lit("rewrite")))
-    return attempts.join(firsts, pair).withColumn("next_action", action).drop(
+    return salted_left_join(attempts, firsts, [pair]).withColumn("next_action", action).drop(
         "_incompatible", "_drifted")
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from promptmill.functions import keys, text
 from promptmill.operators import clean, families, screening
+from promptmill.operators.joins import salted_left_join
 from promptmill.params import taxonomy as tx
 from promptmill.session import param_table
 
@@ -20,9 +21,13 @@ def match_source(results: DataFrame, source: DataFrame, order_col="record_id") -
     """Result prompts with the first source record of the same prompt; unmatched ones dropped."""
     first = clean.first_wins(source.where(F.coalesce("prompt", F.lit("")) != ""), "prompt",
                              order_col)
-    keyed = first.withColumn("_digest", keys.digest("prompt"))
     wanted = results.withColumn("_digest", keys.digest("prompt")).drop("prompt", order_col)
-    return wanted.join(keyed, "_digest").drop("_digest")
+    # One record per prompt, only for prompts that have results; a prompt with very many results
+    # is spread over salts.
+    keyed = first.withColumn("_digest", keys.digest("prompt")).join(
+        wanted.select("_digest").distinct(), "_digest", "left_semi")
+    return salted_left_join(wanted, keyed, ["_digest"]).where(
+        F.col(order_col).isNotNull()).drop("_digest")
 
 
 def screened_subpools(source: DataFrame, results: DataFrame) -> DataFrame:

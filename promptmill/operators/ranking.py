@@ -5,29 +5,25 @@ from pyspark.sql import functions as F
 
 from promptmill.functions.text import col
 
-SALTS = 32
-
-
-def _group_limit_threshold(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+SALTS = 128
 
 
 def top_k_per_group(df: DataFrame, groups, order, max_k: int, k=None, rank="rank") -> DataFrame:
     """The first ``k`` rows of every group in a total order, with their rank.
 
-    ``max_k`` bounds ``k`` (a column or a number; default ``max_k``). For small bounds Spark trims
-    every input partition before the shuffle (window group limit). For larger ones each group is
-    first cut down inside salted parts, so that no task sorts more than its part of a hot group;
-    the second pass sees at most ``SALTS * max_k`` rows per group.
+    ``max_k`` bounds ``k`` (a column or a number; default ``max_k``). Each group is first cut down
+    inside parts made of whole input partitions, so that no task sorts more than its part of a hot
+    group; small bounds are applied to every input partition even before that shuffle (window group
+    limit). The second pass sees at most ``SALTS * max_k`` rows per group. Which part a row falls
+    into does not matter for the result, so a part may well be the number of its task.
     """
     order = [col(o) for o in order]
     groups = [col(g) for g in groups]
     limit = col(k) if k is not None and not isinstance(k, int) else F.lit(k or max_k)
-    if max_k > _group_limit_threshold(df):
-        salt = F.pmod(F.xxhash64(*order), F.lit(SALTS))
-        part = Window.partitionBy(*groups, salt).orderBy(*order)
-        df = (df.withColumn("_part_rank", F.row_number().over(part))
-              .where(F.col("_part_rank") <= max_k).drop("_part_rank"))
+    part = Window.partitionBy(*groups, "_part").orderBy(*order)
+    df = (df.withColumn("_part", F.spark_partition_id() % SALTS)
+          .withColumn("_part_rank", F.row_number().over(part))
+          .where(F.col("_part_rank") <= max_k).drop("_part_rank", "_part"))
     window = Window.partitionBy(*groups).orderBy(*order)
     return (df.withColumn(rank, F.row_number().over(window))
             .where(F.col(rank) <= F.lit(max_k)).where(F.col(rank) <= limit))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from promptmill.functions import keys
 from promptmill.functions.text import col
 from promptmill.operators import clean
+from promptmill.operators.joins import salted_left_join
 from promptmill.operators.ranking import distributed_rank, hash_bin, top_k_per_group
 from promptmill.params import taxonomy as tx
 
@@ -233,5 +234,8 @@ def without_completed(work: DataFrame, log: DataFrame) -> DataFrame:
         return df.withColumn("_key", keys.digest(
             keys.pair_key(prompt, "dimension", "severity")))
 
-    done = keyed(log.where("success"), "positive_prompt").select("_key").distinct()
-    return keyed(work, "prompt").join(done, "_key", "left_anti").drop("_key")
+    done = keyed(log.where("success"), "positive_prompt").select("_key").distinct().withColumn(
+        "_done", F.lit(True))
+    # Prompts may share their first 100 characters, so a key can be frequent among the work items.
+    return salted_left_join(keyed(work, "prompt"), done, ["_key"]).where(
+        F.col("_done").isNull()).drop("_key", "_done")

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promptmill.functions import answers, keys, text
+from promptmill.operators.joins import salted_left_join
 from promptmill.params import requests as rq
 
 
@@ -54,26 +55,15 @@ def parse_answers(raw: DataFrame, raw_col="raw_content") -> DataFrame:
                     text.strip("_i.reason").alias("reason")))
 
 
-def parse_family_answers(raw: DataFrame, raw_col="raw_content", key="request_id") -> DataFrame:
-    """Family answers; a broken one gives the items that can be read on their own.
-
-    Recovered items are unique by id inside their answer, first one first.
-    """
-    both = answers.with_result_items(raw, raw_col, "_items", recover=True).withColumn(
-        "_broken", F.col("_items").isNull())
-    rows = both.select(*raw.drop(raw_col).columns, "_broken",
-                       F.posexplode_outer(F.coalesce("_items", "recovered")).alias("_pos", "_i"))
-    rows = rows.where(F.col("_i").isNotNull())
-    rows = rows.select(
-        *raw.drop(raw_col).columns, "_broken", "_pos",
-        text.strip("_i.sample_id").alias("sample_id"),
+def parse_family_answers(raw: DataFrame, raw_col="raw_content") -> DataFrame:
+    """Family answers; a broken one gives the items that can be read on their own."""
+    listed = answers.with_result_items(raw, raw_col, "_items", recover=True)
+    kept = raw.drop(raw_col).columns
+    rows = listed.select(*kept, F.explode_outer(F.coalesce("_items", "recovered")).alias("_i"))
+    return rows.where(F.col("_i").isNotNull()).select(
+        *kept, text.strip("_i.sample_id").alias("sample_id"),
         F.lower(text.strip(F.coalesce("_i.label", F.lit("fail")))).alias("label"),
         text.strip("_i.reason").alias("reason"))
-    firsts = rows.groupBy(key, "sample_id").agg(F.min("_pos").alias("_first"))
-    # An intact answer keeps every item; the smallest position only matters in a broken one.
-    return (rows.join(firsts, [key, "sample_id"])
-            .where(~F.col("_broken") | (F.col("_pos") == F.col("_first")))
-            .drop("_broken", "_pos", "_first"))
 
 
 def parse_prompt_answers(raw: DataFrame, expected, raw_col="raw_content") -> DataFrame:
@@ -152,8 +142,8 @@ def reuse_cached(tasks: DataFrame, cache: DataFrame) -> DataFrame:
     usable = cache.where(F.col("negative_prompt").isNotNull()).groupBy(
         keys.digest("positive_prompt").alias("_digest"), "severity").agg(
         F.max_by("negative_prompt", "ord").alias("cached_negative"))
-    joined = tasks.withColumn("_digest", keys.digest("positive_prompt")).join(
-        usable, ["_digest", "severity"], "left").drop("_digest")
+    joined = salted_left_join(tasks.withColumn("_digest", keys.digest("positive_prompt")), usable,
+                              ["_digest", "severity"]).drop("_digest")
     return joined.withColumn(
         "needs_call", text.strip("cached_negative") == "")
 

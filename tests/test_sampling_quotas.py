@@ -41,7 +41,7 @@ def test_top_k_trims_before_the_shuffle(spark):
     small = top_k_per_group(df, ["g"], ["id"], 5)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in small
     large = top_k_per_group(df, ["g"], ["id"], 5000)._jdf.queryExecution().executedPlan().toString()
-    assert large.count("Window ") >= 2  # salted parts, then groups
+    assert large.count("Window ") >= 2  # parts of a group, then groups
 
 
 def test_top_k_with_a_limit_per_group(spark):
