@@ -33,6 +33,9 @@ def special_rule_reason(dimension: str, prompt, lowered) -> Column:
 
 
 def _has(tags, names, every: bool) -> Column:
+    if names and isinstance(tags, str):
+        glue = " AND " if every else " OR "
+        return F.expr(glue.join(f"array_contains(`{tags}`, {text.literal(n)})" for n in names))
     tests = [F.array_contains(col(tags), n) for n in names]
     if not every:
         return text.any_of(tests)
@@ -57,8 +60,10 @@ def tags_satisfied(req: Requirement | None, tags, mode="all") -> Column:
 def is_compatible(dimension, prompt, lowered, tags, requirements=None, mode="all") -> Column:
     """Row compatibility: tag rule first, then the text rules of the dimension."""
     reqs = tx.REQUIREMENTS if requirements is None else requirements
-    reason = special_rule_reason(dimension, prompt, lowered)
-    return tags_satisfied(reqs.get(dimension), tags, mode) & reason.isNull()
+    fits = tags_satisfied(reqs.get(dimension), tags, mode)
+    if dimension not in ("text_error", *FACE_RULE_DIMENSIONS):
+        return fits
+    return fits & special_rule_reason(dimension, prompt, lowered).isNull()
 
 
 def batch_verdict(dimension, prompt, lowered, tags, requirements=None,
@@ -122,9 +127,9 @@ def with_lower(df: DataFrame, prompt="prompt") -> DataFrame:
 
 
 def _one_row_to_dimensions(counted: DataFrame, dimensions, *extra) -> DataFrame:
-    rows = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(f"n_{d}").alias("available"))
-                     for d in dimensions])
-    return counted.select(*extra, F.inline(rows))
+    rows = ", ".join(f"struct({text.literal(d)} AS dimension, `n_{d}` AS available)"
+                     for d in dimensions)
+    return counted.select(*extra, F.expr(f"inline(array({rows}))"))
 
 
 def count_per_dimension(df: DataFrame, dimensions, test) -> DataFrame:
