@@ -59,7 +59,7 @@ def next_actions(attempts: DataFrame, max_retries: int, pair="pair_id") -> DataF
         .when(failed & drifted & (F.col("attempt") == F.col("_drifted")),
               F.lit("anchor_negative"))
         .otherwise(F.lit("rewrite")))
-    return salted_left_join(attempts, firsts, [pair]).withColumn("next_action", action).drop(
+    return salted_left_join(attempts, firsts, [pair], ["attempt"]).withColumn("next_action", action).drop(
         "_incompatible", "_drifted")
 
 

@@ -6,12 +6,15 @@ from pyspark.sql import functions as F
 SALTS = 8
 
 
-def salted_left_join(large: DataFrame, small: DataFrame, keys, salts=SALTS) -> DataFrame:
+def salted_left_join(large: DataFrame, small: DataFrame, keys, salt_by=None,
+                     salts=SALTS) -> DataFrame:
     """Left join against a side with one row per key, spreading every key over ``salts`` tasks.
 
-    The salt of a row comes from its own content, so a retried task puts it in the same place.
+    The salt of a row comes from its own content, so a retried task puts it in the same place:
+    ``salt_by`` names the columns that tell rows of one key apart (default: all columns).
     """
     keys = list(keys)
-    salted = large.withColumn("_salt", F.pmod(F.xxhash64(*large.columns), F.lit(salts)).cast("int"))
+    salt = F.pmod(F.xxhash64(*(salt_by or large.columns)), F.lit(salts)).cast("int")
+    salted = large.withColumn("_salt", salt)
     spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(spread, [*keys, "_salt"], "left").drop("_salt")

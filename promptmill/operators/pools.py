@@ -21,13 +21,14 @@ def match_source(results: DataFrame, source: DataFrame, order_col="record_id") -
     """Result prompts with the first source record of the same prompt; unmatched ones dropped."""
     first = clean.first_wins(source.where(F.coalesce("prompt", F.lit("")) != ""), "prompt",
                              order_col)
-    wanted = results.withColumn("_digest", keys.digest("prompt")).drop("prompt", order_col)
+    wanted = results.withColumn("_digest", keys.digest("prompt")).withColumn(
+        "_result", F.col(order_col)).drop("prompt", order_col)
     # One record per prompt, only for prompts that have results; a prompt with very many results
     # is spread over salts.
     keyed = first.withColumn("_digest", keys.digest("prompt")).join(
         wanted.select("_digest").distinct(), "_digest", "left_semi")
-    return salted_left_join(wanted, keyed, ["_digest"]).where(
-        F.col(order_col).isNotNull()).drop("_digest")
+    return salted_left_join(wanted, keyed, ["_digest"], ["_result"]).where(
+        F.col(order_col).isNotNull()).drop("_digest", "_result")
 
 
 def screened_subpools(source: DataFrame, results: DataFrame) -> DataFrame:

@@ -103,7 +103,7 @@ def sql_batch(older) -> str:
 
 def _batch_counts(v, special_without_requirement):
     keyed = compat.with_lower(v.prompts()).withColumn("_digest", keys.digest("prompt"))
-    looked = salted_left_join(keyed, tag_map(v), ["_digest"])
+    looked = salted_left_join(keyed, tag_map(v), ["_digest"], ["record_id"])
     rows = F.array(*[F.struct(F.lit(d).alias("dimension"), compat.batch_verdict(
         d, "prompt", "_lower", "semantic_tags", BATCH_REQUIREMENTS,
         special_without_requirement).alias("verdict")) for d in BATCH_DIMENSIONS])
