@@ -59,18 +59,17 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` as the cluster names it.
 
-    Where it is unset and the master is local (tests, laptops) a temporary folder is set once.
+    Where no checkpoint folder is set and the master is local (tests, laptops) a temporary one is
+    set once.
     """
-    conf = spark.sparkContext.getConf()
-    root = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    root = root or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    root = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="promptmill-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="promptmill-"))
+    return context.getCheckpointDir()
 
 
 def work_folder(spark: SparkSession, name: str) -> str:

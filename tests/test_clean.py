@@ -114,6 +114,16 @@ def test_hot_text_needs_no_hot_task(spark):
     assert "partial_min" in plan and "Window" not in plan
 
 
+def test_text_rules_are_not_repeated_by_pushed_filters(spark, tmp_path):
+    spark.createDataFrame(RAW, SCHEMA).write.parquet(str(tmp_path / "p"))
+    df = spark.read.parquet(str(tmp_path / "p"))
+    kept, _ = clean.clean_records(df.where("source <> 'x'"))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(coalesce(prompt") == 1
+    executed = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Not(EqualTo(source,x))" in executed  # plain filters still reach the scan
+
+
 # --- scalar functions against their definition in Python -------------------------------------
 
 TEXTS = st.lists(st.text(
