@@ -15,3 +15,12 @@ def computed(df: DataFrame, **columns: Column) -> DataFrame:
     kept = [c for c in df.columns if c not in columns]
     row = F.struct(*[value.alias(name) for name, value in columns.items()])
     return df.select(*kept, F.inline(F.array(row)))
+
+
+def held(df: DataFrame, *names: str) -> DataFrame:
+    """Fix columns a projection below has computed, before a filter on them.
+
+    Unlike computing them with :func:`computed` from the start, branches that do not need the
+    columns still drop them.
+    """
+    return computed(df, **{name: F.col(name) for name in names})

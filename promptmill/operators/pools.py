@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promptmill.functions import keys, text
+from promptmill.functions.plan import held
 from promptmill.operators import clean, families, screening
 from promptmill.operators.joins import salted_left_join
 from promptmill.params import taxonomy as tx
@@ -129,7 +130,8 @@ def finalize_dimensions(results: DataFrame, family_dimensions: DataFrame) -> Dat
 def rule_only_pool(source: DataFrame, base_tags, dimension, order_col="record_id",
                    signature=None) -> DataFrame:
     """Pool of a dimension that needs any base tag and no screening."""
-    recalled = source.where(families.has_base_tags(base_tags, signature=signature, every=False))
+    recalled = held(source, "semantic_tags").where(
+        families.has_base_tags(base_tags, signature=signature, every=False))
     return clean.dedup_stripped(recalled, "prompt", order_col).withColumn(
         "dimension", F.lit(dimension)).withColumn("source_pool_mode", F.lit("rule_recall_only"))
 
@@ -141,8 +143,9 @@ def finalize_index(results: DataFrame, source: DataFrame, family_dimensions: Dat
     screened = family_dimensions.join(per_family, "family_name", "left").select(
         "dimension", F.coalesce("pool_count", F.lit(0)).alias("count"),
         F.col("family_name").alias("source_family"))
-    stripped = source.where(families.has_base_tags(list(rule_tags), every=False)).withColumn(
-        "prompt", text.strip("prompt")).where(F.col("prompt") != "")
+    recalled = held(source, "semantic_tags").where(
+        families.has_base_tags(list(rule_tags), every=False))
+    stripped = recalled.withColumn("prompt", text.strip("prompt")).where(F.col("prompt") != "")
     ruled = stripped.select(keys.digest("prompt").alias("_d")).distinct().agg(
         F.count(F.lit(1)).alias("count")).select(
         F.lit(rule_dimension).alias("dimension"), "count",

@@ -4,11 +4,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from promptmill.functions import keys
+from promptmill.functions.plan import held
 from promptmill.functions.text import col
 from promptmill.operators import clean
 from promptmill.operators.joins import salted_left_join
-from promptmill.operators.ranking import distributed_rank, hash_bin, top_k_per_group
+from promptmill.operators.ranking import distributed_rank, top_k_per_group
 from promptmill.params import taxonomy as tx
+from promptmill.session import written
 
 
 def _lookup(pairs: dict, key, default=0) -> Column:
@@ -147,7 +149,9 @@ def select_shard(ranked: DataFrame, num_shards: int, shard_index: int, rank="ran
 def candidate_shards(df: DataFrame, num_shards: int, id_col="record_id") -> DataFrame:
     """Rank candidates by id and add the shard each one belongs to."""
     from promptmill.operators.ranking import with_id_bin
-    ranked = distributed_rank(with_id_bin(df, id_col), [], [id_col], "_bin")
+    # Ranking reads its input three times; the rules that chose the candidates run once.
+    candidates = written(df, "shard-candidates")
+    ranked = distributed_rank(with_id_bin(candidates, id_col), [], [id_col], "_bin")
     return ranked.withColumn("shard", F.pmod(F.col("rank") - 1, F.lit(num_shards)).cast("int"))
 
 
@@ -189,7 +193,7 @@ def severity(mode="weighted", key=None, neg_idx=None, fixed=None) -> Column:
 
 def tag_spot_check(df: DataFrame, tag: str, n: int, seed, key="record_id") -> DataFrame:
     """A seeded sample of prompts carrying a tag."""
-    return (df.where(F.array_contains("semantic_tags", tag))
+    return (held(df, "semantic_tags").where(F.array_contains("semantic_tags", tag))
             .orderBy(keys.sample_order(seed, key), key).limit(n))
 
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from promptmill.functions.plan import held
 from promptmill.operators import clean
 from promptmill.params import taxonomy as tx
 from promptmill.plans.registry import query
@@ -146,7 +147,7 @@ WITH {SQL_TAGGED}, parts AS (
 SELECT record_id, priority FROM parts
 QUALIFY row_number() OVER (PARTITION BY prompt ORDER BY priority, record_id) = 1""")
 def core_then_delta_union(v):
-    tagged = v.tagged()
+    tagged = held(v.tagged(), "semantic_tags")
     core = tagged.where(F.array_contains("semantic_tags", "has_person"))
     delta = tagged.where(F.array_contains("semantic_tags", "has_face"))
     return clean.union_first_wins([core, delta]).select("record_id", "priority")

@@ -9,7 +9,7 @@ from promptmill.params import lexicon as lx
 from promptmill.params import taxonomy as tx
 from promptmill.params.taxonomy import Requirement
 from promptmill.plans.registry import query
-from promptmill.plans.views import (SQL_MACRO, SQL_PAIRS, SQL_PROMPTS, SQL_TAGGED, MODELS, q,
+from promptmill.plans.views import (SQL_MACRO, SQL_PAIRS, SQL_TAGGED, MODELS, q,
                                     sql_compatible, sql_has, sql_list, sql_pick, sql_special,
                                     sql_subpools, sql_tags_ok, sql_word)
 

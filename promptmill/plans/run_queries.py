@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from promptmill.functions import text
 from promptmill.operators import attempts as at
 from promptmill.operators import quotas, runs
 from promptmill.plans.compat_queries import INDEX_SQL

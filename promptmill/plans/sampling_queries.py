@@ -2,10 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from promptmill.functions import keys
+from promptmill.functions.plan import held
 from promptmill.operators import quotas, sampling
-from promptmill.operators.clean import clean_and_dedup
-from promptmill.params import lexicon as lx
 from promptmill.params import requests as rq
 from promptmill.params import taxonomy as tx
 from promptmill.plans.clean_queries import STATUS_SQL
@@ -145,7 +143,8 @@ WITH {SQL_TAGGED}, c AS (SELECT record_id, row_number() OVER (ORDER BY record_id
   FROM tagged WHERE {sql_has('has_person')})
 SELECT record_id, rank, CAST((rank - 1) % 3 AS INT) AS shard FROM c""")
 def candidate_shards(v):
-    people = v.tagged().where(F.array_contains("semantic_tags", "has_person"))
+    people = held(v.tagged(), "semantic_tags").where(
+        F.array_contains("semantic_tags", "has_person"))
     return sampling.candidate_shards(people.select("record_id"), 3)
 
 

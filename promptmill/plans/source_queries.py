@@ -2,11 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from promptmill.operators import runs, screening
-from promptmill.params import taxonomy as tx
+from promptmill.operators import screening
 from promptmill.plans.registry import query
-from promptmill.plans.views import (SQL_PAIRS, SQL_PROMPTS, SQL_RESULTS, SQL_TAGGED, pick, q,
-                                    sql_has, sql_pick, sql_strip, sql_subpools)
+from promptmill.plans.views import (SQL_PAIRS, SQL_PROMPTS, SQL_RESULTS, SQL_TAGGED, pick,
+                                    sql_pick, sql_strip, sql_subpools)
 from promptmill.session import work_folder
 from promptmill.sources import readers, writers
 
