@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promptmill.functions import keys, text
+from promptmill.functions.plan import computed
 
 PROMPT_SCHEMA = ("record_id long, source string, prompt string, text string, model string, "
                  "semantic_tags array<string>, tags array<string>, "
@@ -54,16 +55,16 @@ def normalize_items(items: DataFrame, model_filter=None, item="item") -> DataFra
     prompt = F.when(F.col("_f").isNotNull(),
                     text.strip(F.coalesce("_f.prompt", "_f.text"))).otherwise(
         text.strip(_plain_text(F.col(item))))
-    wrong_model = F.lit(False)
-    if model_filter:
-        wrong_model = (model != "") & ~model.contains(model_filter)
-    return fields.select(
+    records = fields.select(
         *[c for c in items.columns if c != item], prompt.alias("prompt"),
         text.normalize_tags("_f.semantic_tags", "_f.tags").alias("semantic_tags"),
         F.coalesce("_f.prompt_signature", "_f.signature").alias("prompt_signature"),
-        model.alias("model"),
-        F.when(wrong_model, F.lit("model")).when(prompt == "", F.lit("invalid"))
-        .alias("drop_reason"))
+        model.alias("model"))
+    wrong_model = F.lit(False)
+    if model_filter:
+        wrong_model = (F.col("model") != "") & ~F.col("model").contains(model_filter)
+    return computed(records, drop_reason=F.when(wrong_model, F.lit("model")).when(
+        F.col("prompt") == "", F.lit("invalid")))
 
 
 def drop_counts(normalized: DataFrame) -> DataFrame:
@@ -75,10 +76,10 @@ def drop_counts(normalized: DataFrame) -> DataFrame:
 
 def prompt_texts(items: DataFrame, item="item") -> DataFrame:
     """Prompt texts of items in any of the four accepted formats; texts are not stripped."""
-    fields = item_fields(item)
-    value = F.when(fields.isNotNull(), F.nullif(F.coalesce(fields["prompt"], fields["text"]),
-                                                F.lit(""))).otherwise(_plain_text(F.col(item)))
-    return items.withColumn("prompt", value).where(F.col("prompt").isNotNull())
+    fields = items.withColumn("_f", item_fields(item))
+    value = F.when(F.col("_f").isNotNull(), F.nullif(F.coalesce("_f.prompt", "_f.text"), F.lit(""))
+                   ).otherwise(_plain_text(F.col(item)))
+    return computed(fields, prompt=value).where(F.col("prompt").isNotNull()).drop("_f")
 
 
 def tagged_map(df: DataFrame, order_col="record_id") -> DataFrame:
