@@ -220,9 +220,9 @@ def merged_index(v):
 
 @query("tag_snapshot_diff", "SET5", f"""
 WITH {SQL_TAGGED}, o AS (SELECT record_id, contains(low, 'hand') AS was FROM tagged
-  WHERE record_id % 10 <> 0),
+  WHERE lang <> 'fr'),
 n AS (SELECT record_id, {sql_has('has_hand')} OR {sql_has('has_person')} AS now FROM tagged
-  WHERE record_id % 7 <> 0),
+  WHERE source <> 'parti_prompts'),
 j AS (SELECT o.record_id AS old_id, coalesce(was, FALSE) AS was, coalesce(now, FALSE) AS now
   FROM o FULL JOIN n ON o.record_id = n.record_id)
 SELECT count(*) FILTER (WHERE was) AS old_count, count(*) FILTER (WHERE now) AS new_count,
@@ -231,9 +231,9 @@ SELECT count(*) FILTER (WHERE was) AS old_count, count(*) FILTER (WHERE now) AS
 def tag_snapshot_diff(v):
     tag = F.array(F.lit("has_hand"))
     none = F.array().cast("array<string>")
-    old = v.prompts().where("record_id % 10 <> 0").select("record_id", F.when(
+    old = v.prompts().where("lang <> 'fr'").select("record_id", F.when(
         F.lower("prompt").contains("hand"), tag).otherwise(none).alias("semantic_tags"))
-    new = v.tagged().where("record_id % 7 <> 0").select("record_id", F.when(
+    new = v.tagged().where("source <> 'parti_prompts'").select("record_id", F.when(
         F.arrays_overlap("semantic_tags", F.array(F.lit("has_hand"), F.lit("has_person"))),
         tag).otherwise(none).alias("semantic_tags"))
     return clean.compare_tag_snapshots(old, new, "has_hand", key="record_id")

@@ -270,7 +270,9 @@ def routing_status(v):
         "shared_pool_family", "llm_screening_required", "pool_count", "current_mode")
 
 
-OBSERVED = "SELECT DISTINCT dimension FROM pairs WHERE success AND ord % 3 = 0 AND seed % 40 = 1"
+# Dimensions that succeed more often than they fail.
+OBSERVED = """SELECT dimension FROM pairs GROUP BY dimension
+  HAVING count(*) FILTER (WHERE success) > count(*) FILTER (WHERE NOT success)"""
 
 
 @query("routing_warnings", "SET4", f"""
@@ -281,8 +283,9 @@ SELECT dimension, 'missing_in_config' AS warning FROM o WHERE dimension NOT IN
 UNION ALL SELECT dimension, 'extra_in_config' FROM c WHERE dimension NOT IN
   (SELECT dimension FROM o)""")
 def routing_warnings(v):
-    observed = v.pairs().where("success and ord % 3 = 0 and seed % 40 = 1").select(
-        "dimension").distinct()
+    ok = F.col("success")
+    observed = v.pairs().groupBy("dimension").agg(
+        F.count_if(ok).alias("s"), F.count_if(~ok).alias("f")).where("s > f").select("dimension")
     return pools.routing_warnings(observed, routing(v))
 
 

@@ -116,17 +116,17 @@ def unfinished_samples(v):
 
 @query("reused_answers", "JN8", f"""
 WITH {SQL_PAIRS}, cache AS (SELECT positive_prompt, severity, arg_max(CASE WHEN ord % 10 = 0 THEN
-    ' ' ELSE pair_id END, ord) AS cached_negative FROM pairs WHERE dimension < 'f' GROUP BY 1, 2)
+    ' ' ELSE pair_id END, ord) AS cached_negative FROM pairs WHERE success GROUP BY 1, 2)
 SELECT p.pair_id, c.cached_negative, trim(coalesce(c.cached_negative, '')) = '' AS needs_call
 FROM pairs p LEFT JOIN cache c ON c.positive_prompt = p.positive_prompt
-  AND c.severity = p.severity WHERE p.dimension >= 'm'""")
+  AND c.severity = p.severity""")
 def reused_answers(v):
     pairs = v.pairs()
-    cache = pairs.where("dimension < 'f'").select(
+    cache = pairs.where("success").select(
         "ord", "positive_prompt", "severity",
         F.when(F.col("ord") % 10 == 0, F.lit(" ")).otherwise(F.col("pair_id")).alias(
             "negative_prompt"))
-    tasks = pairs.where("dimension >= 'm'").select("pair_id", "positive_prompt", "severity")
+    tasks = pairs.select("pair_id", "positive_prompt", "severity")
     return screening.reuse_cached(tasks, cache).select("pair_id", "cached_negative", "needs_call")
 
 

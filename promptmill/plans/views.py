@@ -142,7 +142,7 @@ def attempts_of(conversations: DataFrame) -> DataFrame:
         F.col("conv_id").alias("pair_id"), turn.cast("int").alias("attempt"),
         status.alias("status"), F.when(status == "failed", failure).alias("failure"),
         F.when(status == "failed", style).alias("style_type"),
-        F.substring("text", 1, 60).alias("negative_prompt"))
+        F.col("text").alias("negative_prompt"))
 
 
 # --- the same views as SQL -------------------------------------------------------------------
@@ -234,7 +234,7 @@ attempts AS (SELECT conv_id AS pair_id, CAST(turn AS INT) AS attempt, status,
        WHEN kind = 4 THEN 'content_drift' ELSE 'insufficient_effect' END AS failure,
   CASE WHEN status <> 'failed' THEN NULL WHEN n % 3 = 0 THEN 'realistic'
        WHEN n % 3 = 1 THEN 'illustration' END AS style_type,
-  substr(text, 1, 60) AS negative_prompt FROM judged)"""
+  text AS negative_prompt FROM judged)"""
 SQL_RUNS = f"""runs AS (
   SELECT o_orderkey AS run_dir, {sql_pick(MODELS, 'o_custkey')} AS model_id,
          o_orderdate AS created_at, l.ended AS completed_at, total_pairs, valid_pairs
