@@ -3,8 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from promptmill.llm import (chat, exact_dedup, license_scan, mixing, quality_rules, sharding,
-                            token_codes)
+from promptmill.llm import (chat, exact_dedup, license_scan, mixing, ngram_join, quality_rules,
+                            sentencepiece_codec, sharding, token_codes)
 
 from .common import new_folder, table, whole
 
@@ -80,6 +80,22 @@ def op6_line_quality(spark, sf_dir):
         "base_failed", "kept", "n_removed_lines", "left_chars")
 
 
+def op7_ngram_jaccard_join(spark, sf_dir):
+    return ngram_join.components(table(spark, sf_dir, "documents"))
+
+
+def op8_max_plus_sentencepiece(spark, sf_dir):
+    """Ids of every document by their hash, and the text read back from them."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    out = sentencepiece_codec.encoded(table(spark, sf_dir, "documents"), model)
+    out = out.select("doc_id", F.sha2("text", 256).alias("text_sha256"), "ids", "n_chunks")
+    return sentencepiece_codec.decoded(out, model).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.xxhash64("ids").alias("ids_hash"), "n_chunks",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"))
+
+
 def op9_license_scan(spark, sf_dir):
     return license_scan.scanned(table(spark, sf_dir, "documents"))
 
@@ -92,6 +108,6 @@ def op10_direct_codes(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_slot_shards, op2_content_sort_dedup, op3_exponential_mix, op4_chat_format,
-    op6_line_quality, op9_license_scan, op10_direct_codes)}
+    op6_line_quality, op7_ngram_jaccard_join, op8_max_plus_sentencepiece, op9_license_scan, op10_direct_codes)}
 
 ORACLE = {}
