@@ -48,7 +48,7 @@ from .common import whole, written
 
 N = 4
 PERCENT = 85
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 BATCH_DOCS = 4096
 BUCKET_BYTES = 6 << 20     # text for each bucket of hashes
 MIN_BUCKETS = 64

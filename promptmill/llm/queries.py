@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from promptmill.llm import (chat, exact_dedup, license_scan, mixing, ngram_join, quality_rules,
-                            sentencepiece_codec, sharding, token_codes)
+                            sentencepiece_codec, sharding, suffix_dedup, token_codes)
 
 from .common import new_folder, table, whole
 
@@ -74,6 +74,12 @@ def op4_chat_format(spark, sf_dir):
         F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op5_suffix_sort_dedup(spark, sf_dir):
+    out = suffix_dedup.removed(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans",
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_line_quality(spark, sf_dir):
     return quality_rules.judged(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -108,6 +114,6 @@ def op10_direct_codes(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_slot_shards, op2_content_sort_dedup, op3_exponential_mix, op4_chat_format,
-    op6_line_quality, op7_ngram_jaccard_join, op8_max_plus_sentencepiece, op9_license_scan, op10_direct_codes)}
+    op5_suffix_sort_dedup, op6_line_quality, op7_ngram_jaccard_join, op8_max_plus_sentencepiece, op9_license_scan, op10_direct_codes)}
 
 ORACLE = {}
