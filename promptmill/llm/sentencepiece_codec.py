@@ -41,10 +41,24 @@ BLOCK = 64            # chunk matrices combined by one task
 SPACE, MARK = " ", "▁"
 UNKNOWN_PENALTY = 10.0
 CACHE_WORDS = 300_000
-ROWS = 256
+ROWS = 512
+WIDE, LANES = 40, 20_000     # longest word, and most words, segmented side by side
 LOWEST = float("-inf")
 
 
+HASH_START = np.uint64(0xCBF29CE484222325)
+HASH_STEP = np.uint64(0x9E3779B97F4A7C15)
+HASH_SHIFT = np.uint64(29)
+
+
+def _hash_one(text: str) -> int:
+    value, whole_word = int(HASH_START), (1 << 64) - 1
+    for c in text:
+        value = (value ^ ord(c)) * int(HASH_STEP) & whole_word
+        value ^= value >> int(HASH_SHIFT)
+    return value
+
+
 class Pieces:
     """The vocabulary: a table of all pieces and their prefixes, and the bytes of every id."""
 
@@ -74,6 +88,14 @@ class Pieces:
         for text in list(self.table):
             for end in range(1, len(text)):
                 self.table.setdefault(text[:end], None)
+        # the same table for many words at once: sorted hashes of pieces and prefixes
+        entries = sorted((_hash_one(t), t) for t in self.table)
+        self.hashes = np.array([h for h, _ in entries], np.uint64)
+        if len(np.unique(self.hashes)) < len(entries):
+            raise ValueError("two pieces have one hash")
+        found = [self.table[t] or (-1, LOWEST) for _, t in entries]
+        self.entry_ids = np.array([i for i, _ in found], np.int32)
+        self.entry_scores = np.array([v for _, v in found])
         cut = "" if "\n" in known else "\n"
         self.words = re.compile(f" +[^ {cut}]*|[^ {cut}]+" + ("|\n" if cut else ""))
 
@@ -124,6 +146,50 @@ class Pieces:
         return ids[::-1], best[end]
 
 
+    def paths(self, words: list) -> list:
+        """(ids as bytes, score) of the best segmentation of words of up to ``WIDE`` characters:
+        the same recursion as :meth:`path`, run over all words side by side."""
+        n, wide = len(words), max(map(len, words))
+        sizes = np.fromiter(map(len, words), np.int64, n)
+        chars = np.array(words, f"<U{wide}").view(np.uint32).reshape(n, wide).astype(np.uint64)
+        best = np.full((n, wide + 1), LOWEST)
+        best[:, 0] = 0.0
+        back = np.zeros((n, wide + 1), np.int8)
+        back_id = np.full((n, wide + 1), -1, np.int32)
+        for at in range(wide):
+            lanes = np.flatnonzero(sizes > at)
+            value = np.full(len(lanes), HASH_START, np.uint64)
+            for to in range(at + 1, min(wide, at + self.longest) + 1):
+                if to > at + 1:
+                    fits = sizes[lanes] >= to
+                    lanes, value = lanes[fits], value[fits]
+                if not len(lanes):
+                    break
+                value = (value ^ chars[lanes, to - 1]) * HASH_STEP
+                value ^= value >> HASH_SHIFT
+                place = np.minimum(np.searchsorted(self.hashes, value), len(self.hashes) - 1)
+                hit = self.hashes[place] == value
+                lanes, value, place = lanes[hit], value[hit], place[hit]
+                score = best[lanes, at] + self.entry_scores[place]
+                better = score > best[lanes, to]
+                rows = lanes[better]
+                best[rows, to] = score[better]
+                back[rows, to] = at
+                back_id[rows, to] = self.entry_ids[place[better]]
+        steps, at, every = [], sizes.copy(), np.arange(n)
+        while at.any():
+            steps.append(np.where(at > 0, back_id[every, at], -2))
+            at = np.where(at > 0, back[every, at], 0).astype(np.int64)
+        tokens = np.array(steps[::-1], np.int32).T
+        total = best[every, sizes]
+        # a word with an unknown character has no path here
+        counts = (tokens != -2).sum(axis=1)
+        flat = np.ascontiguousarray(tokens)[tokens != -2].astype("<i4").tobytes()
+        ends = np.cumsum(counts) * 4
+        return [(flat[e - 4 * c:e], v) if v != LOWEST else None
+                for e, c, v in zip(ends.tolist(), counts.tolist(), total.tolist())]
+
+
 class Encoder:
     def __init__(self, model_path: str):
         self.pieces, self.known = Pieces(model_path), {}
@@ -135,17 +201,33 @@ class Encoder:
             found = self.known[word] = (np.array(ids, "<i4").tobytes(), score)
         return found
 
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        # MARK itself is no space: as an unknown character it becomes bytes
-        words = self.pieces.words.findall(SPACE + text)
+    def learn(self, words) -> None:
+        """Segment the words not yet known, side by side."""
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        for word in set(words) - self.known.keys():
+        new = sorted(set(words) - self.known.keys(), key=len)
+        at = 0
+        while at < len(new) and len(new[at]) <= WIDE:
+            # words of about one length share a matrix
+            end, limit = at, max(8, len(new[at]) + 2)
+            while end < len(new) and len(new[end]) <= limit and end - at < LANES:
+                end += 1
+            self.known.update((w, p) for w, p in zip(new[at:end], self.pieces.paths(new[at:end]))
+                              if p)
+            at = end
+        for word in new:
             self.word(word)
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts) -> list:
+        # MARK itself is no space: as an unknown character it becomes bytes
+        find = self.pieces.words.findall
+        words = [find(SPACE + t) if t else [] for t in texts]
+        self.learn(w for found in words for w in found)
         known = self.known
-        return b"".join([known[w][0] for w in words])
+        return [b"".join([known[w][0] for w in found]) for found in words]
 
     def matrix(self, text: str, size: int) -> np.ndarray:
         """The transfer matrix of text[:size]; the rest of the text is what lies behind."""
@@ -162,7 +244,9 @@ class Encoder:
         if cuts:
             self._advance(text[:first], 0, first, rows)
             if last > first:
-                inner = sum(self.word(w)[1] for w in self.pieces.words.findall(text[first:last]))
+                words = self.pieces.words.findall(text[first:last])
+                self.learn(words)
+                inner = sum(self.known[w][1] for w in words)
                 rows[last] = rows[first] + inner
         self._advance(text, last if cuts else 0, size, rows)
         for j in range(states):
@@ -182,6 +266,7 @@ class Encoder:
         """Ids of the pieces of a chunk between two border states."""
         end, at, out = size + leave, entry, []
         words = [m.span() for m in self.pieces.words.finditer(text[:end])]
+        self.learn(text[a:b] for a, b in words)
         for a, b in words:
             if b > at:
                 ids, _ = self.pieces.path(text[at:b], 0, b - at) if (a < at or b == end) else (
@@ -211,7 +296,7 @@ def _encode_small(model_path: str):
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(at, ROWS)
-                ids = [encoder.encode(t or "") for t in rows.column(1).to_pylist()]
+                ids = encoder.encode_all(rows.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), rows.column(1), _lists(ids), pa.array([1] * len(ids),
                                                                            pa.int32())],
