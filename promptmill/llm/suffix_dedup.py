@@ -46,7 +46,7 @@ from .ngram_join import (LOW_BITS, ODD, _block, _mix, _open_block, _pack_low, _p
 
 LENGTH = 50
 GRAM = 24
-BATCH_BYTES = 3 << 20
+BATCH_BYTES = 2 << 20
 BATCH_DOCS = 4096
 BUCKET_BYTES = 3 << 20
 MIN_BUCKETS = 64
@@ -144,10 +144,8 @@ def _send(bits: int, length: int, gram: int):
             value, anchor, _, _ = runs_of(raw, bounds, length, gram)
             doc = np.searchsorted(bounds, anchor, "right") - 1
             bucket = (value >> np.uint64(64 - bits)).astype(np.uint16)
-            counts = np.bincount(doc, minlength=len(rows)).astype("<u4")
             meta = (struct.pack("<I", len(rows)) + np.array([r[0] for r in rows], "<i8").tobytes()
-                    + np.array([r[1] for r in rows], "<i4").tobytes() + counts.tobytes()
-                    + bucket.tobytes())
+                    + np.array([r[1] for r in rows], "<i4").tobytes())
             out = [((1 << bits) + batch_id % (1 << bits), batch_id, meta)]
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[order].astype(np.int64), prepend=-1,
@@ -185,7 +183,7 @@ def _answer(bits: int):
         out, at = [], 0
         for counts, _ in opened:
             total = int(counts.sum())
-            out.append(np.packbits(shared[at:at + total]).tobytes())
+            out.append(_block(counts, np.packbits(shared[at:at + total]).tobytes()))
             at += total
         return pd.DataFrame({"batch": frame["batch"].to_numpy(), "slot": np.int64(slot),
                              "blob": out})
@@ -193,25 +191,23 @@ def _answer(bits: int):
 
 
 def _per_document(frame: pd.DataFrame) -> pd.DataFrame:
-    """The answers of one batch, in the order of each document's anchors."""
+    """The answers of one batch: each document's anchors bucket by bucket."""
     meta = frame["blob"][frame["slot"] < 0].iloc[0]
     (n,) = struct.unpack_from("<I", meta)
     keys = np.frombuffer(meta, "<i8", n, 4)
     ties = np.frombuffer(meta, "<i4", n, 4 + 8 * n)
-    counts = np.frombuffer(meta, "<u4", n, 4 + 12 * n).astype(np.int64)
-    bucket = np.frombuffer(meta, np.uint16, int(counts.sum()), 4 + 16 * n)
-    sizes = np.bincount(bucket, minlength=1 << 16)
-    answers = frame[frame["slot"] >= 0].sort_values("slot")
-    bits = [np.unpackbits(np.frombuffer(b, np.uint8))[:sizes[s]]
-            for s, b in zip(answers["slot"], answers["blob"])]
-    shared = np.zeros(len(bucket), np.uint8)
-    if bits:
-        shared[np.argsort(bucket, kind="stable")] = np.concatenate(bits)
-    cuts = np.concatenate(([0], np.cumsum(counts)))
-    found = [i for i in range(n) if shared[cuts[i]:cuts[i + 1]].any()]
+    docs, bits = [np.empty(0, np.int64)], [np.empty(0, np.uint8)]
+    for blob in frame[frame["slot"] >= 0].sort_values("slot")["blob"]:
+        counts, data = _open_block(blob)
+        docs.append(np.repeat(np.arange(n), counts))
+        bits.append(np.unpackbits(np.frombuffer(data, np.uint8))[:len(docs[-1])])
+    docs, bits = np.concatenate(docs), np.concatenate(bits)
+    bits = bits[np.argsort(docs, kind="stable")]
+    cuts = np.concatenate(([0], np.cumsum(np.bincount(docs, minlength=n))))
+    found = [i for i in range(n) if bits[cuts[i]:cuts[i + 1]].any()]
     return pd.DataFrame({
         "key": keys[found], "tie": ties[found],
-        "bits": [np.packbits(shared[cuts[i]:cuts[i + 1]]).tobytes() for i in found]})
+        "bits": [np.packbits(bits[cuts[i]:cuts[i + 1]]).tobytes() for i in found]})
 
 
 # ---- stage 2: stretches around shared anchors ------------------------------------------------
@@ -229,8 +225,10 @@ def _cut_out(bits: int, length: int, gram: int):
             value, anchor, first, last = runs_of(raw, bounds, length, gram)
             doc = np.searchsorted(bounds, anchor, "right") - 1
             counts = np.bincount(doc, minlength=len(rows))
-            shared = np.concatenate([np.unpackbits(np.frombuffer(r[2], np.uint8))[:c]
-                                     for r, c in zip(rows, counts)]).astype(bool)
+            shared = np.zeros(len(doc), bool)
+            by_bucket = np.lexsort((value >> np.uint64(64 - bits), doc))
+            shared[by_bucket] = np.concatenate(
+                [np.unpackbits(np.frombuffer(r[2], np.uint8))[:c] for r, c in zip(rows, counts)])
             value, anchor, first, last, doc = (x[shared] for x in (value, anchor, first, last,
                                                                    doc))
             keys = np.array([r[0] for r in rows], "<i8")
@@ -446,28 +444,32 @@ def _merge_spans(frame: pd.DataFrame) -> pd.DataFrame:
                          "spans": [spans[a:b].tobytes() for a, b in zip(docs, ends)]})
 
 
-def _remove(batches):
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            rows = batch.slice(at, 256)
-            out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept": []}
-            for text, data in zip(rows.column("text").to_pylist(),
-                                  rows.column("spans").to_pylist()):
-                raw = text.encode()
-                spans = np.frombuffer(data or b"", "<i8").reshape(-1, 2).tolist()
-                kept, last = [], 0
-                for a, b in spans:
-                    kept.append(raw[last:a])
-                    last = b
-                kept = b"".join(kept + [raw[last:]])
-                out["n_bytes"].append(len(raw))
-                out["n_removed"].append(len(raw) - len(kept))
-                out["n_spans"].append(len(spans))
-                out["kept"].append(kept)
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), *(pa.array(out[c], pa.int64()) for c in (
-                    "n_bytes", "n_removed", "n_spans")), pa.array(out["kept"], pa.binary())],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+def _remove(length: int):
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                rows = batch.slice(at, 256)
+                out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept": []}
+                for text, data, copy in zip(*(rows.column(c).to_pylist()
+                                              for c in ("text", "spans", "copy"))):
+                    raw = text.encode()
+                    spans = np.frombuffer(data or b"", "<i8").reshape(-1, 2).tolist()
+                    if copy and len(raw) >= length:
+                        spans = [[0, len(raw)]]
+                    kept, last = [], 0
+                    for a, b in spans:
+                        kept.append(raw[last:a])
+                        last = b
+                    kept = b"".join(kept + [raw[last:]])
+                    out["n_bytes"].append(len(raw))
+                    out["n_removed"].append(len(raw) - len(kept))
+                    out["n_spans"].append(len(spans))
+                    out["kept"].append(kept)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("doc_id"), *(pa.array(out[c], pa.int64()) for c in (
+                        "n_bytes", "n_removed", "n_spans")), pa.array(out["kept"], pa.binary())],
+                    ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+    return run
 
 
 def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
@@ -475,21 +477,30 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes)."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), whole(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    rows = rows.select("doc_id", F.coalesce("doc_id", F.lit(LEAST)).alias("key"),
+    rows = rows.select(F.coalesce("doc_id", F.lit(LEAST)).alias("key"),
                        F.hash("text").alias("tie"), "text")
     bits = min(16, max(MIN_BUCKETS, math.ceil(size / BUCKET_BYTES)).bit_length())
-    sent = rows.select("key", "tie", "text").mapInArrow(
+    # of equal texts only the first goes on; all bytes of the others are covered by it
+    named = rows.select("key", "tie", F.md5("text").alias("digest"))
+    first = named.groupBy("digest").agg(F.min("key").alias("first"))
+    roles = named.join(first, "digest").groupBy("key", "tie").agg(F.min("first").alias("first"))
+    firsts = roles.where("key = first").select("key", "tie")
+    # all joins with the texts read one shuffle
+    texts = rows.join(firsts, ["key", "tie"])
+    sent = texts.select("key", "tie", "text").mapInArrow(
         _send(bits, length, gram), "slot long, batch long, blob binary")
     answered = sent.groupBy("slot").applyInPandas(
         _answer(bits), "batch long, slot long, blob binary")
     shared = answered.groupBy("batch").applyInPandas(
         _per_document, "key long, tie int, bits binary").groupBy("key", "tie").agg(
         F.first("bits").alias("bits"))
-    # both joins with the texts read the same shuffle
     stretches = rows.join(shared, ["key", "tie"]).select("key", "tie", "bits", "text").mapInArrow(
         _cut_out(bits, length, gram), "slot long, blob binary")
     spans = (stretches.groupBy("slot")
              .applyInPandas(_sort_bucket(1 << bits, length, gram), "part long, blob binary")
              .groupBy("part").applyInPandas(_merge_spans, "key long, tie int, spans binary"))
-    return rows.join(spans, ["key", "tie"], "left").select("doc_id", "text", "spans").mapInArrow(
-        _remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    found = roles.join(spans, ["key", "tie"], "left").select(
+        "key", "tie", "spans", (F.col("key") != F.col("first")).alias("copy"))
+    return rows.join(found, ["key", "tie"], "left").select(
+        F.nullif("key", F.lit(LEAST)).alias("doc_id"), "text", "spans", "copy").mapInArrow(
+        _remove(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
