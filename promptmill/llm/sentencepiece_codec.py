@@ -40,8 +40,9 @@ CHUNK = 8_192
 BLOCK = 64            # chunk matrices combined by one task
 SPACE, MARK = " ", "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 ROWS = 512
+CHUNKS = 128
 WIDE, LANES = 40, 20_000     # longest word, and most words, segmented side by side
 LOWEST = float("-inf")
 
@@ -49,6 +50,7 @@ LOWEST = float("-inf")
 HASH_START = np.uint64(0xCBF29CE484222325)
 HASH_STEP = np.uint64(0x9E3779B97F4A7C15)
 HASH_SHIFT = np.uint64(29)
+SLOT_MASK = np.uint64((1 << 20) - 1)
 
 
 def _hash_one(text: str) -> int:
@@ -93,6 +95,10 @@ class Pieces:
         self.hashes = np.array([h for h, _ in entries], np.uint64)
         if len(np.unique(self.hashes)) < len(entries):
             raise ValueError("two pieces have one hash")
+        self.slots = np.zeros(int(SLOT_MASK) + 1, np.int32)
+        self.slots[(self.hashes & SLOT_MASK).astype(np.int64)] = np.arange(len(entries))
+        self.crowded = np.bincount((self.hashes & SLOT_MASK).astype(np.int64),
+                                   minlength=len(self.slots)) > 1
         found = [self.table[t] or (-1, LOWEST) for _, t in entries]
         self.entry_ids = np.array([i for i, _ in found], np.int32)
         self.entry_scores = np.array([v for _, v in found])
@@ -147,41 +153,52 @@ class Pieces:
 
 
     def paths(self, words: list) -> list:
-        """(ids as bytes, score) of the best segmentation of words of up to ``WIDE`` characters:
+        """(ids as bytes, score) of the best segmentation of words, sorted by length:
         the same recursion as :meth:`path`, run over all words side by side."""
-        n, wide = len(words), max(map(len, words))
+        n, wide = len(words), len(words[-1])
         sizes = np.fromiter(map(len, words), np.int64, n)
-        chars = np.array(words, f"<U{wide}").view(np.uint32).reshape(n, wide).astype(np.uint64)
-        best = np.full((n, wide + 1), LOWEST)
-        best[:, 0] = 0.0
-        back = np.zeros((n, wide + 1), np.int8)
-        back_id = np.full((n, wide + 1), -1, np.int32)
+        chars = np.ascontiguousarray(np.array(words, f"<U{wide}").view(np.uint32)
+                                     .reshape(n, wide).T).astype(np.uint64)
+        best = np.full((wide + 1, n), LOWEST)
+        best[0] = 0.0
+        back = np.zeros((wide + 1, n), np.int8)
+        back_id = np.full((wide + 1, n), -1, np.int32)
         for at in range(wide):
-            lanes = np.flatnonzero(sizes > at)
+            # words come by length: those longer than a place are the last ones
+            lanes = np.arange(np.searchsorted(sizes, at, "right"), n)
             value = np.full(len(lanes), HASH_START, np.uint64)
             for to in range(at + 1, min(wide, at + self.longest) + 1):
                 if to > at + 1:
-                    fits = sizes[lanes] >= to
-                    lanes, value = lanes[fits], value[fits]
+                    begin = np.searchsorted(lanes, np.searchsorted(sizes, to))
+                    lanes, value = lanes[begin:], value[begin:]
                 if not len(lanes):
                     break
-                value = (value ^ chars[lanes, to - 1]) * HASH_STEP
+                value = (value ^ chars[to - 1].take(lanes)) * HASH_STEP
                 value ^= value >> HASH_SHIFT
-                place = np.minimum(np.searchsorted(self.hashes, value), len(self.hashes) - 1)
-                hit = self.hashes[place] == value
-                lanes, value, place = lanes[hit], value[hit], place[hit]
-                score = best[lanes, at] + self.entry_scores[place]
-                better = score > best[lanes, to]
-                rows = lanes[better]
-                best[rows, to] = score[better]
-                back[rows, to] = at
-                back_id[rows, to] = self.entry_ids[place[better]]
+                place = self.slots.take((value & SLOT_MASK).view(np.int64))
+                hit = self.hashes.take(place) == value
+                if not hit.all():
+                    # perhaps another entry of the same slot
+                    wrong = np.flatnonzero(~hit & self.crowded.take(
+                        (value & SLOT_MASK).view(np.int64)))
+                    found = np.searchsorted(self.hashes, value[wrong])
+                    np.minimum(found, len(self.hashes) - 1, out=found)
+                    good = self.hashes.take(found) == value[wrong]
+                    place[wrong[good]] = found[good]
+                    hit[wrong[good]] = True
+                    lanes, value, place = lanes[hit], value[hit], place[hit]
+                score = best[at].take(lanes) + self.entry_scores.take(place)
+                better = np.flatnonzero(score > best[to].take(lanes))
+                rows = lanes.take(better)
+                best[to][rows] = score.take(better)
+                back[to][rows] = at
+                back_id[to][rows] = self.entry_ids.take(place.take(better))
         steps, at, every = [], sizes.copy(), np.arange(n)
         while at.any():
-            steps.append(np.where(at > 0, back_id[every, at], -2))
-            at = np.where(at > 0, back[every, at], 0).astype(np.int64)
+            steps.append(np.where(at > 0, back_id[at, every], -2))
+            at = np.where(at > 0, back[at, every], 0).astype(np.int64)
         tokens = np.array(steps[::-1], np.int32).T
-        total = best[every, sizes]
+        total = best[sizes, every]
         # a word with an unknown character has no path here
         counts = (tokens != -2).sum(axis=1)
         flat = np.ascontiguousarray(tokens)[tokens != -2].astype("<i4").tobytes()
@@ -206,18 +223,25 @@ class Encoder:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         new = sorted(set(words) - self.known.keys(), key=len)
-        at = 0
-        while at < len(new) and len(new[at]) <= WIDE:
+        sizes, at = np.fromiter(map(len, new), np.int64, len(new)), 0
+        wide = int(np.searchsorted(sizes, WIDE, "right"))
+        while at < wide:
             # words of about one length share a matrix
-            end, limit = at, max(8, len(new[at]) + 2)
-            while end < len(new) and len(new[end]) <= limit and end - at < LANES:
-                end += 1
-            self.known.update((w, p) for w, p in zip(new[at:end], self.pieces.paths(new[at:end]))
-                              if p)
+            end = int(np.searchsorted(sizes[:wide], max(8, sizes[at] + 2), "right"))
+            end = min(end, at + LANES)
+            for word, found in zip(new[at:end], self.pieces.paths(new[at:end])):
+                if found:
+                    self.known[word] = found
+                else:
+                    self.word(word)
             at = end
-        for word in new:
+        for word in new[wide:]:
             self.word(word)
 
+    def learn_all(self, texts) -> None:
+        find = self.pieces.words.findall
+        self.learn(w for t in texts for w in find(t))
+
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
 
@@ -245,8 +269,7 @@ class Encoder:
             self._advance(text[:first], 0, first, rows)
             if last > first:
                 words = self.pieces.words.findall(text[first:last])
-                self.learn(words)
-                inner = sum(self.known[w][1] for w in words)
+                inner = sum(self.word(w)[1] for w in words)
                 rows[last] = rows[first] + inner
         self._advance(text, last if cuts else 0, size, rows)
         for j in range(states):
@@ -266,7 +289,6 @@ class Encoder:
         """Ids of the pieces of a chunk between two border states."""
         end, at, out = size + leave, entry, []
         words = [m.span() for m in self.pieces.words.finditer(text[:end])]
-        self.learn(text[a:b] for a, b in words)
         for a, b in words:
             if b > at:
                 ids, _ = self.pieces.path(text[at:b], 0, b - at) if (a < at or b == end) else (
@@ -310,8 +332,9 @@ def _matrices(model_path: str):
     def run(batches):
         encoder = Encoder(model_path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 8):
-                rows = batch.slice(at, 8)
+            for at in range(0, batch.num_rows, CHUNKS):
+                rows = batch.slice(at, CHUNKS)
+                encoder.learn_all(rows.column("chunk").to_pylist())
                 found = [encoder.matrix(t, n).tobytes() for t, n in zip(
                     rows.column("chunk").to_pylist(), rows.column("size").to_pylist())]
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(found, pa.binary())],
@@ -367,8 +390,9 @@ def _trace(model_path: str):
     def run(batches):
         encoder = Encoder(model_path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 8):
-                rows = batch.slice(at, 8).to_pydict()
+            for at in range(0, batch.num_rows, CHUNKS):
+                rows = batch.slice(at, CHUNKS).to_pydict()
+                encoder.learn_all(rows["chunk"])
                 ids = [encoder.between(t, n, a, b) for t, n, a, b in zip(
                     rows["chunk"], rows["size"], rows["enter"], rows["leave"])]
                 yield pa.RecordBatch.from_arrays(
