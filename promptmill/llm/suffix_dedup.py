@@ -46,9 +46,10 @@ from .ngram_join import (LOW_BITS, ODD, _block, _mix, _open_block, _pack_low, _p
 
 LENGTH = 50
 GRAM = 24
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 3 << 19
 BATCH_DOCS = 4096
 BUCKET_BYTES = 3 << 20
+SLICE_BYTES = 1 << 19
 MIN_BUCKETS = 64
 LEAST = -(1 << 63)
 BASE = ODD[0]
@@ -401,7 +402,18 @@ def covered_windows(keys, size, offset, raw, length: int = LENGTH, gram: int = G
 def _sort_bucket(parts: int, length: int, gram: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         keys, ties, place, size, offset, raw = _open_stretches(frame["blob"])
-        flags = covered_windows(keys, size, offset, raw, length, gram)
+        flags = np.zeros(int((size.astype(np.int64) - length + 1).sum()), bool)
+        # stretches of one anchor stay together; a slice of the anchors at a time
+        begin = np.cumsum(size, dtype=np.int64) - size
+        anchor = _mix(PrefixHashes(raw).of(begin + offset, np.int64(gram)))
+        turn = anchor % np.uint64(-(-len(raw) // SLICE_BYTES))
+        first = np.cumsum(size.astype(np.int64) - length + 1) - (size.astype(np.int64) - length + 1)
+        for one in np.unique(turn):
+            mine = np.flatnonzero(turn == one)
+            some = size[mine].astype(np.int64)
+            flags[_ragged(first[mine], some - length + 1)] = covered_windows(
+                keys[mine], size[mine], offset[mine], raw[_ragged(begin[mine], some)], length,
+                gram)
         windows = size.astype(np.int64) - length + 1
         owner = np.repeat(np.arange(len(size)), windows)
         start = _ragged(place.astype(np.int64), windows)
