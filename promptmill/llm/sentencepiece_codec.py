@@ -26,6 +26,8 @@ an empty table gives an empty table; extra columns of the input do not reach the
 """
 
 import re
+import sys
+import types
 
 import numpy as np
 import pandas as pd
@@ -40,7 +42,7 @@ CHUNK = 8_192
 BLOCK = 64            # chunk matrices combined by one task
 SPACE, MARK = " ", "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 ROWS = 512
 CHUNKS = 128
 WIDE, LANES = 40, 20_000     # longest word, and most words, segmented side by side
@@ -262,7 +264,7 @@ class Encoder:
         cuts += [m.end() for m in self.pieces.words.finditer(text[:size])
                  if m.end() < size and text[m.end()] == "\n"]
         first, last = (min(cuts), max(cuts)) if cuts else (size, size)
-        rows = [np.full(states, LOWEST) for _ in range(min(len(text), size + states) + 1)]
+        rows = np.full((min(len(text), size + states) + 1, states), LOWEST)
         for i in range(min(states, first + 1)):
             rows[i][i] = 0.0
         if cuts:
@@ -283,7 +285,7 @@ class Encoder:
                 continue
             for to, _, score in self.pieces.steps(text, at):
                 if to < len(rows):
-                    np.maximum(rows[to], rows[at] + score, out=rows[to])
+                    rows[to] = np.maximum(rows[to], rows[at] + score)
 
     def between(self, text: str, size: int, entry: int, leave: int) -> bytes:
         """Ids of the pieces of a chunk between two border states."""
@@ -299,6 +301,14 @@ class Encoder:
         return b"".join(out)
 
 
+def worker_encoder(model_path: str) -> Encoder:
+    """The encoder of this Python worker; it and the words it knows serve later tasks too."""
+    held = sys.modules.setdefault("_promptmill_encoders", types.ModuleType("_promptmill_encoders"))
+    if model_path not in held.__dict__:
+        held.__dict__[model_path] = Encoder(model_path)
+    return held.__dict__[model_path]
+
+
 def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The max-plus product."""
     return (a[:, :, None] + b[None, :, :]).max(axis=1)
@@ -314,7 +324,7 @@ def _lists(ids) -> pa.ListArray:
 
 def _encode_small(model_path: str):
     def run(batches):
-        encoder = Encoder(model_path)
+        encoder = worker_encoder(model_path)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(at, ROWS)
@@ -330,7 +340,7 @@ def _encode_small(model_path: str):
 
 def _matrices(model_path: str):
     def run(batches):
-        encoder = Encoder(model_path)
+        encoder = worker_encoder(model_path)
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNKS):
                 rows = batch.slice(at, CHUNKS)
@@ -388,7 +398,7 @@ def _chunk_states(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
 
 def _trace(model_path: str):
     def run(batches):
-        encoder = Encoder(model_path)
+        encoder = worker_encoder(model_path)
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNKS):
                 rows = batch.slice(at, CHUNKS).to_pydict()
@@ -449,7 +459,7 @@ def encoded(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "
 
 def _decode(model_path: str, column: str):
     def run(batches):
-        table = Pieces(model_path).bytes
+        table = worker_encoder(model_path).pieces.bytes
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(at, ROWS)
