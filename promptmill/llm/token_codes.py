@@ -20,6 +20,8 @@ empty table gives an empty file; extra columns do not reach the file.
 import os
 import re
 import struct
+import sys
+import types
 import zlib
 
 import numpy as np
@@ -168,6 +170,15 @@ class WordEncoder:
         return [b"".join(held) for held in out]
 
 
+def worker_encoder(path: str) -> WordEncoder:
+    """The encoder of this Python worker; it and the words it knows serve later tasks too."""
+    held = sys.modules.setdefault("_promptmill_word_encoders",
+                                  types.ModuleType("_promptmill_word_encoders"))
+    if path not in held.__dict__:
+        held.__dict__[path] = WordEncoder(path)
+    return held.__dict__[path]
+
+
 SEGMENTS = ("part long, seq long, first_doc long, n_docs long, n_ids long, doc_ids binary, "
             "begins binary, codes binary")
 
@@ -176,7 +187,7 @@ def _segment_writer(path: str, end_id: int, segment_ids: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def write(batches):
-        encoder = WordEncoder(path)
+        encoder = worker_encoder(path)
         part, seq = TaskContext.get().partitionId(), 0
         docs, ids, size = [], [], 0
 
