@@ -233,13 +233,13 @@ def random_grid(prompts: DataFrame, dimensions, severities, k: int, base_seed: i
 
 
 def without_completed(work: DataFrame, log: DataFrame) -> DataFrame:
-    """Work items whose (prompt, dimension, severity) key has no success in the log yet."""
+    """Work items whose (prompt, dimension, severity) has no success in the log yet; the whole
+    prompt counts, not only the part that the short pair key shows."""
     def keyed(df, prompt):
-        return df.withColumn("_key", keys.digest(
-            keys.pair_key(prompt, "dimension", "severity")))
+        return df.withColumn("_key", keys.digest(F.concat(
+            F.col(prompt), F.lit("|"), F.col("dimension"), F.lit("|"), F.col("severity"))))
 
     done = keyed(log.where("success"), "positive_prompt").select("_key").distinct().withColumn(
         "_done", F.lit(True))
-    # Prompts may share their first 100 characters, so a key can be frequent among the work items.
     return salted_left_join(keyed(work, "prompt"), done, ["_key"]).where(
         F.col("_done").isNull()).drop("_key", "_done")
