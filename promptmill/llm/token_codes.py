@@ -37,7 +37,8 @@ BLOCK = 512                # bits of a bitmap for each entry of its rank directo
 SEGMENT_IDS = 1 << 20
 END_ID = 0
 SLICE_CHARS = 1 << 20
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
+LEARN_WORDS = 2_000        # new words in one call of the tokenizer
 ROWS = 256
 NO_ID = -(1 << 63)         # stands for a null identifier inside a segment
 
@@ -119,23 +120,52 @@ class Codes:
 
 # In front of a space that is followed by other text the tokenizer always begins a new word.
 _CUT = re.compile(r" (?=\S)")
+_OTHER_SPACE = re.compile(r" (?:\s|\Z)")
+
+
+def _words(text: str) -> list:
+    """The text cut in front of each such space, which is left out."""
+    return _CUT.split(text) if _OTHER_SPACE.search(text) else text.split(" ")
 
 
 class WordEncoder:
-    """Whole-text ids by looking up words; words not seen before go to the tokenizer."""
+    """Whole-text ids by looking up words; words not seen before go to the tokenizer, many in one
+    call. Two generations of words are kept, so frequent ones stay when the older one goes."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.after_space, self.first = {}, {}
-
-    def _learn(self, known: dict, words, prefix: str) -> None:
-        new = list(set(words) - known.keys())
-        encoded = self.tokenizer.encode_batch_fast([prefix + w for w in new],
-                                                   add_special_tokens=False)
-        known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, encoded))
+        vocabulary = self.tokenizer.get_vocab()
+        # ids whose bytes begin with a space, which byte-level vocabularies write as U+0120
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.known, self.older = {}, {}
+
+    def _tokenize(self, text: str) -> np.ndarray:
+        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, "<u4")
+
+    def _learn(self, words) -> None:
+        plain = [w for w in words if " " not in w]
+        for at in range(0, len(plain), LEARN_WORDS):
+            group = plain[at:at + LEARN_WORDS]
+            ids = self._tokenize(" " + " ".join(group))
+            data = ids.tobytes()
+            # each word has one space, in front, so it has one such id, the first
+            begins = (4 * np.flatnonzero(self.spaced[ids])).tolist()
+            self.known.update(zip(group, map(data.__getitem__, map(
+                slice, begins, begins[1:] + [len(data)])), strict=True))
+        for w in words:
+            if " " in w:
+                self.known[w] = self._tokenize(" " + w).tobytes()
+
+    def _look_up(self, words: set) -> None:
+        new = [w for w in words if w not in self.known]
+        seen = [w for w in new if w in self.older]
+        self.known.update(zip(seen, map(self.older.__getitem__, seen)))
+        self._learn([w for w in new if w not in self.older])
 
     def _slices(self, text: str):
         at = 0
@@ -147,27 +177,24 @@ class WordEncoder:
             at = cut.start()
         yield text[at:] if at else text
 
+    def _encode_small(self, texts) -> list:
+        if len(self.known) > CACHE_WORDS:
+            self.known, self.older = {}, self.known
+        firsts, rests = [], []
+        for text in texts:
+            first, *rest = _words(text)
+            firsts.append(self._tokenize(first).tobytes() if first else b"")
+            rests.append(rest)
+        self._look_up(set().union(*rests))
+        return [first + b"".join(map(self.known.__getitem__, rest))
+                for first, rest in zip(firsts, rests)]
+
     def encode(self, texts) -> list:
         """The ids of each text as little-endian 32-bit integers."""
-        if len(self.after_space) + len(self.first) > CACHE_WORDS:
-            self.after_space, self.first = {}, {}
-        out = [[] for _ in texts]
-        small = [t if len(t) <= SLICE_CHARS else "" for t in texts]
-        parts = [_CUT.split(t) for t in small]
-        self._learn(self.first, [p[0] for p in parts], "")
-        self._learn(self.after_space, (w for p in parts for w in p[1:]), " ")
-        for held, p in zip(out, parts):
-            held.append(self.first[p[0]])
-            held += map(self.after_space.__getitem__, p[1:])
-        for held, text in zip(out, texts):
-            if len(text) > SLICE_CHARS:
-                for piece in self._slices(text):
-                    p = _CUT.split(piece)
-                    self._learn(self.first, p[:1], "")
-                    self._learn(self.after_space, p[1:], " ")
-                    held.append(self.first[p[0]])
-                    held += map(self.after_space.__getitem__, p[1:])
-        return [b"".join(held) for held in out]
+        small = iter(self._encode_small([t for t in texts if len(t) <= SLICE_CHARS]))
+        return [next(small) if len(t) <= SLICE_CHARS else
+                b"".join(self._encode_small([piece])[0] for piece in self._slices(t))
+                for t in texts]
 
 
 def worker_encoder(path: str) -> WordEncoder:
