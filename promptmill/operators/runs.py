@@ -6,8 +6,6 @@ from pyspark.sql import functions as F
 from promptmill.functions import keys, text
 from promptmill.operators.joins import salted_left_join
 
-SUCCESS_MODELS = ["flux-schnell", "qwen-image-lightning", "sd3.5-large-turbo"]
-
 
 def _given(*columns) -> Column:
     """First text that is neither null nor empty."""
@@ -21,9 +19,11 @@ def pair_records(log: DataFrame, dataset_pairs: DataFrame, runs: DataFrame) -> D
     ``log``: ``run_dir, pair_id, dimension, expected_attribute, severity, positive_prompt,
     success`` and the structs ``final_validation`` and ``judge_result`` (``valid, failure``);
     ``dataset_pairs``: ``run_dir, pair_id, d_prompt, d_attribute, d_severity``; ``runs``:
-    ``run_dir, model_id``. Unmatched log rows are kept.
+    ``run_dir, model_id``. Unmatched log rows are kept; a verdict without any field is no verdict.
     """
-    verdict = F.coalesce("final_validation", "judge_result")
+    given = F.col("final_validation.valid").isNotNull() | F.col(
+        "final_validation.failure").isNotNull()
+    verdict = F.when(given, F.col("final_validation")).otherwise(F.col("judge_result"))
     joined = log.drop("model_id").join(dataset_pairs, ["run_dir", "pair_id"], "left").join(
         runs.select("run_dir", "model_id"), "run_dir", "left")
     return joined.select(
@@ -37,6 +37,17 @@ def pair_records(log: DataFrame, dataset_pairs: DataFrame, runs: DataFrame) -> D
         F.coalesce("success", F.lit(False)).alias("success"))
 
 
+def _success() -> Column:
+    """A missing success is none."""
+    return F.coalesce("success", F.lit(False))
+
+
+def _attempts(pairs: DataFrame) -> Column:
+    """Attempts of a pair: their stated number, else the length of their list, else none."""
+    listed = [F.array_size("attempts")] if "attempts" in pairs.columns else []
+    return F.coalesce("total_attempts", *listed, F.lit(0)).cast("long")
+
+
 def _usable(pairs: DataFrame, models, dimensions) -> DataFrame:
     rows = pairs.where((F.coalesce("dimension", F.lit("")) != "")
                        & (F.coalesce("severity", F.lit("")) != ""))
@@ -48,16 +59,16 @@ def _usable(pairs: DataFrame, models, dimensions) -> DataFrame:
 def run_statistics(pairs: DataFrame, models=None, dimensions=None) -> DataFrame:
     """Pairs, outcomes and attempts by model, dimension and severity."""
     grouped = _usable(pairs, models, dimensions).groupBy("model_id", "dimension", "severity").agg(
-        F.count(F.lit(1)).alias("pairs"), F.count_if("success").alias("valid_pairs"),
-        F.count_if(~F.col("success")).alias("invalid_pairs"),
-        F.sum("total_attempts").alias("total_attempts"))
+        F.count(F.lit(1)).alias("pairs"), F.count_if(_success()).alias("valid_pairs"),
+        F.count_if(~_success()).alias("invalid_pairs"),
+        F.sum(_attempts(pairs)).alias("total_attempts"))
     return grouped.withColumn("avg_attempts", text.rate("total_attempts", "pairs", 2)).withColumn(
         "validation_rate", text.rate("valid_pairs", "pairs"))
 
 
 def failure_histogram(pairs: DataFrame, models=None, dimensions=None) -> DataFrame:
     """Failure types of unsuccessful pairs; a missing failure counts as ``unknown``."""
-    failed = _usable(pairs, models, dimensions).where(~F.col("success"))
+    failed = _usable(pairs, models, dimensions).where(~_success())
     return failed.groupBy("model_id", "dimension", "severity", F.coalesce(
         F.nullif("failure", F.lit("")), F.lit("unknown")).alias("failure")).agg(
         F.count(F.lit(1)).alias("pairs"))
@@ -183,47 +194,47 @@ def memory_stats(pairs: DataFrame, threshold=2) -> DataFrame:
 
 def validation_summary(pairs: DataFrame) -> DataFrame:
     """Totals, rates and the first-try / retry / failed split."""
-    ok = F.col("success")
+    ok, tries = _success(), _attempts(pairs)
     totals = pairs.agg(
         F.count(F.lit(1)).alias("total_pairs"), F.count_if(ok).alias("valid_pairs"),
         F.count_if(~ok).alias("invalid_pairs"),
-        F.coalesce(F.sum("total_attempts"), F.lit(0)).alias("total_attempts"),
-        F.count_if(ok & (F.col("total_attempts") == 1)).alias("first_try_success"),
-        F.count_if(ok & (F.col("total_attempts") != 1)).alias("retry_success"),
+        F.coalesce(F.sum(tries), F.lit(0)).alias("total_attempts"),
+        F.count_if(ok & (tries == 1)).alias("first_try_success"),
+        F.count_if(ok & (tries != 1)).alias("retry_success"),
         # Pairs that never got to an attempt are invalid but exhausted no retries.
-        F.count_if(~ok & (F.col("total_attempts") > 0)).alias("all_retries_failed"))
+        F.count_if(~ok & (tries > 0)).alias("all_retries_failed"))
     return totals.withColumn("validation_rate", text.rate("valid_pairs", "total_pairs")).withColumn(
         "avg_attempts_per_pair", text.rate("total_attempts", "total_pairs", 2))
 
 
 def validation_by_dimension(pairs: DataFrame) -> DataFrame:
     """Outcomes and attempts per dimension; pairs without any attempt are left out."""
-    ok = F.col("success")
-    return pairs.where(F.col("total_attempts") > 0).groupBy("dimension").agg(
+    ok, tries = _success(), _attempts(pairs)
+    return pairs.where(tries > 0).groupBy("dimension").agg(
         F.count_if(ok).alias("valid"), F.count_if(~ok).alias("invalid"),
-        F.sum("total_attempts").alias("attempts"))
+        F.sum(tries).alias("attempts"))
 
 
 def validation_failure_types(attempts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Failure types per failed attempt, plus one ``error`` for every pair without attempts."""
     failed = attempts.where(F.col("status") == "failed").select(
         F.coalesce("failure", F.lit("unknown")).alias("failure"))
-    lost = pairs.where(F.col("total_attempts") == 0).select(F.lit("error").alias("failure"))
+    lost = pairs.where(_attempts(pairs) == 0).select(F.lit("error").alias("failure"))
     return failed.unionByName(lost).groupBy("failure").agg(F.count(F.lit(1)).alias("pairs"))
 
 
 def severity_totals(pairs: DataFrame) -> DataFrame:
     """Severity counts of a batch with its successes and failures."""
     return pairs.groupBy("severity").agg(
-        F.count(F.lit(1)).alias("pairs"), F.count_if("success").alias("success_count"),
-        F.count_if(~F.col("success")).alias("fail_count"))
+        F.count(F.lit(1)).alias("pairs"), F.count_if(_success()).alias("success_count"),
+        F.count_if(~_success()).alias("fail_count"))
 
 
 def timing_summary(pairs: DataFrame, seconds="seconds") -> DataFrame:
     """Success rate and seconds per image; a successful pair has two images."""
     totals = pairs.agg(
-        F.count(F.lit(1)).alias("total_pairs"), F.count_if("success").alias("success_count"),
-        F.count_if(~F.col("success")).alias("fail_count"),
+        F.count(F.lit(1)).alias("total_pairs"), F.count_if(_success()).alias("success_count"),
+        F.count_if(~_success()).alias("fail_count"),
         F.bround(F.sum(seconds), 2).alias("total_generation_time"))
     return totals.withColumn("success_rate", text.percent("success_count", "total_pairs", 1)
                              ).withColumn("avg_time_per_image", text.rate(

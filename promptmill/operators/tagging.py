@@ -8,9 +8,8 @@ from promptmill.functions.text import col, contains_any
 from promptmill.params import lexicon as lx
 
 
-def tag_array(prompt, lowered, lex=None) -> Column:
-    """Sorted array of the tags whose keywords occur in the prompt."""
-    lex = lx.TAG_LEXICON if lex is None else lex
+def tag_array(prompt, lowered, lex) -> Column:
+    """Sorted array of the tags whose keywords (``lex``: tag -> words) occur in the prompt."""
     tests = {tag: contains_any(lowered, words) for tag, words in lex.items()}
     quoted = text.has_quoted_text(prompt)
     tests[lx.QUOTED_TEXT_TAG] = (tests[lx.QUOTED_TEXT_TAG] | quoted
@@ -18,15 +17,15 @@ def tag_array(prompt, lowered, lex=None) -> Column:
     return F.array_compact(F.array(*[F.when(tests[t], F.lit(t)) for t in sorted(tests)]))
 
 
-def tag_candidates(df: DataFrame, lex=None, prompt="prompt") -> DataFrame:
+def tag_candidates(df: DataFrame, lex, prompt="prompt") -> DataFrame:
     """Add ``semantic_tags``; the boolean signature follows from it (:func:`signature`)."""
     lowered = df.withColumn("_lower", F.lower(F.coalesce(col(prompt), F.lit(""))))
     return lowered.withColumn("semantic_tags", tag_array(prompt, "_lower", lex)).drop("_lower")
 
 
-def signature(tags="semantic_tags", lex=None) -> Column:
+def signature(tags, lex) -> Column:
     """Tag -> boolean map over the whole vocabulary."""
-    names = sorted({*(lx.TAG_LEXICON if lex is None else lex), lx.QUOTED_TEXT_TAG})
+    names = sorted({*lex, lx.QUOTED_TEXT_TAG})
     entries = [c for n in names for c in (F.lit(n), F.array_contains(col(tags), n))]
     return F.create_map(*entries)
 

@@ -161,16 +161,19 @@ def family_requests(v):
 
 @query("parsed_prompt_lists", "PRS3", """
 WITH r AS (SELECT l_orderkey, list('item ' || l_partkey ORDER BY l_partkey, l_linenumber) AS items
-  FROM lineitem GROUP BY 1), e AS (SELECT l_orderkey, CASE WHEN l_orderkey % 4 = 3 THEN
-    list_filter(items[1:3], lambda x: TRUE) ELSE items[1:3] END AS items FROM r)
+  FROM lineitem GROUP BY 1)
 SELECT l_orderkey AS request_id, unnest(items) AS prompt, unnest(range(len(items))) AS position
-FROM e""", ints="position")
+FROM r""", ints="position")
 def parsed_prompt_lists(v):
-    """Generation answers rendered from the line items of an order, in four shapes."""
+    """Generation answers rendered from the line items of an order, in four shapes; every fifth
+    answer holds one prompt more than its request asked for."""
     parts = v.table("lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(
         F.struct("l_partkey", "l_linenumber"))).alias("p"))  # a handful of lines per order
     items = F.transform("p", lambda s: F.concat(F.lit("item "), s["l_partkey"].cast("string")))
-    named = parts.select(F.col("l_orderkey").alias("request_id"), items.alias("items"))
+    more = F.when(F.col("l_orderkey") % 5 == 0, F.array(F.lit("one more"))).otherwise(
+        F.array().cast("array<string>"))
+    named = parts.select(F.col("l_orderkey").alias("request_id"), F.size("p").alias("asked"),
+                         F.concat(items, more).alias("items"))
     array = F.to_json("items")
     kind = F.col("request_id") % 4
     numbered = F.transform("items", lambda x, i: F.concat(
@@ -180,7 +183,8 @@ def parsed_prompt_lists(v):
            .when(kind == 1, F.concat(F.lit("```json\n"), array, F.lit("\n```")))
            .when(kind == 2, F.concat(F.lit("Prompts:\n"), array, F.lit(" done")))
            .otherwise(F.concat(F.lit("```\n"), F.array_join(numbered, "\n\n"), F.lit("\n```"))))
-    return screening.parse_prompt_answers(named.select("request_id", raw.alias("raw_content")), 3)
+    return screening.parse_prompt_answers(
+        named.select("request_id", "asked", raw.alias("raw_content")), "asked").drop("asked")
 
 
 @query("judge_answers", "PRS4 PRS5", f"""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# A parameter table is written by hand or derived from one; more rows than this is data.
+# A parameter table of up to so many rows is marked for broadcast.
 MAX_PARAM_ROWS = 20_000
 
 
@@ -31,16 +31,15 @@ def build_session(app="promptmill", master=None, **conf) -> SparkSession:
 
 
 def param_table(spark: SparkSession, rows, schema) -> DataFrame:
-    """A bounded table of parameters, built as a local relation and marked for broadcast."""
+    """A table of parameters as a local relation, marked for broadcast while it is small."""
     rows = [tuple(r) for r in rows]
-    if len(rows) > MAX_PARAM_ROWS:
-        raise ValueError(f"{len(rows)} rows is data, not parameters: read it as a table")
     struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     columns = [[r[i] for r in rows] for i in range(len(struct))]
     arrow_schema = to_arrow_schema(struct)
     table = pa.table([pa.array(c, type=f.type) for c, f in zip(columns, arrow_schema)],
                      schema=arrow_schema)
-    return F.broadcast(spark.createDataFrame(table, schema=struct))
+    params = spark.createDataFrame(table, schema=struct)
+    return F.broadcast(params) if len(rows) <= MAX_PARAM_ROWS else params
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

@@ -212,3 +212,31 @@ def test_every_rule_is_reached():
     seen = set(itertools.chain.from_iterable(
         simulate(a, 4) for s in range(5) for a in random_attempts(s).values()))
     assert len(seen) == 8
+
+
+def test_missing_fields_of_a_run_log(spark, rows):
+    log = spark.createDataFrame(
+        [("r", "a", "m", "blur", "mild", True, 2, None), ("r", "b", "m", "blur", "mild", None, None, [1, 2, 3]),
+         ("r", "c", "m", "blur", "mild", None, None, None)],
+        "run_dir string, pair_id string, model_id string, dimension string, severity string, "
+        "success boolean, total_attempts long, attempts array<int>")
+    (got,) = rows(runs.run_statistics(log))
+    assert (got["pairs"], got["valid_pairs"], got["invalid_pairs"], got["total_attempts"]) == (3, 1, 2, 5)
+    (got,) = rows(runs.failure_histogram(log.withColumn("failure", F.lit(None).cast("string"))))
+    assert (got["failure"], got["pairs"]) == ("unknown", 2)
+    (got,) = rows(runs.validation_summary(log))
+    assert (got["valid_pairs"], got["invalid_pairs"], got["all_retries_failed"]) == (1, 2, 1)
+
+
+def test_an_empty_verdict_is_no_verdict(spark, rows):
+    verdict = "struct<valid:boolean,failure:string>"
+    log = spark.createDataFrame(
+        [("r", "a", "blur", None, "mild", "p", True, (None, None), (True, None)),
+         ("r", "b", "blur", None, "mild", "p", True, (False, "weak"), (True, None))],
+        "run_dir string, pair_id string, dimension string, expected_attribute string, severity string, "
+        f"positive_prompt string, success boolean, final_validation {verdict}, judge_result {verdict}")
+    pairs = spark.createDataFrame([], "run_dir string, pair_id string, d_prompt string, "
+                                      "d_attribute string, d_severity string")
+    known = spark.createDataFrame([("r", "m")], "run_dir string, model_id string")
+    got = {r["pair_id"]: (r["valid"], r["failure"]) for r in rows(runs.pair_records(log, pairs, known))}
+    assert got == {"a": (True, None), "b": (False, "weak")}

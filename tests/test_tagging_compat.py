@@ -5,6 +5,8 @@ from promptmill.operators import compat, tagging
 from promptmill.params import taxonomy as tx
 from promptmill.params.taxonomy import Requirement
 
+LEX = {"has_person": ["woman"], "has_hand": ["holding"], "has_text": ["saying"],
+       "has_reflective_surface": ["reflection"]}
 TAGGED = "record_id long, source string, prompt string, semantic_tags array<string>"
 
 
@@ -12,13 +14,13 @@ def test_keyword_tags(spark, rows):
     df = spark.createDataFrame([
         (1, 's', 'a woman holding a sign saying "OPEN"'), (2, 's', "a lake reflection at sunset"),
         (3, 's', None)], "record_id long, source string, prompt string")
-    got = rows(tagging.tag_candidates(df).orderBy("record_id"))
+    got = rows(tagging.tag_candidates(df, LEX).orderBy("record_id"))
     assert {"has_person", "has_hand", "has_text", "has_quoted_text"} <= set(got[0]["semantic_tags"])
     assert "has_reflective_surface" in got[1]["semantic_tags"]
     assert got[2]["semantic_tags"] == []
     for r in got:
         assert r["semantic_tags"] == sorted(set(r["semantic_tags"]))
-    counts = {r["tag"]: r["prompts"] for r in rows(tagging.tag_counts(tagging.tag_candidates(df)))}
+    counts = {r["tag"]: r["prompts"] for r in rows(tagging.tag_counts(tagging.tag_candidates(df, LEX)))}
     assert counts["has_hand"] == 1
 
 
@@ -172,7 +174,7 @@ def test_subpools_and_index_agree(spark, rows):
 
 
 def test_report_is_one_scan_without_row_explosion(spark):
-    df = tagging.tag_candidates(spark.createDataFrame(MACRO, TAGGED).drop("semantic_tags"))
+    df = tagging.tag_candidates(spark.createDataFrame(MACRO, TAGGED).drop("semantic_tags"), LEX)
     plan = compat.coverage_report(df)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert plan.count("partial_count") >= 1
