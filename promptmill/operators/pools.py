@@ -73,18 +73,6 @@ def screened_subpools(source: DataFrame, results: DataFrame) -> DataFrame:
     return exploded.select("_e.dimension", "_e.part", "_e.result_ord", *source.columns)
 
 
-def refine_by_signature(dimension: str, signature="signature") -> Column:
-    """Signature test of a screened dimension."""
-    def flag(tag):
-        return F.coalesce(F.element_at(signature, tag), F.lit(False))
-
-    if dimension == "expression_mismatch":
-        return flag("has_person") & flag("has_face")
-    if dimension in (BODY_CORE, "impossible_pose", "extra_limbs"):
-        return flag("has_person") & flag("has_full_body")
-    return F.lit(True)
-
-
 def targeted_subpools(object_pool: DataFrame,
                       dimensions=("object_structure_error", "material_mismatch")) -> DataFrame:
     """Targeted pools derived from an existing pool: unique prompts, one copy per dimension."""

@@ -148,13 +148,6 @@ def reuse_cached(tasks: DataFrame, cache: DataFrame) -> DataFrame:
         "needs_call", text.strip("cached_negative") == "")
 
 
-def pass_rows(results: DataFrame, order_col="record_id") -> DataFrame:
-    """Passed result rows, first one per prompt."""
-    from promptmill.operators.clean import dedup_stripped
-    passed = results.where(F.lower(text.strip("label")) == "pass")
-    return dedup_stripped(passed, "prompt", order_col)
-
-
 def pass_stats(results: DataFrame, by=()) -> DataFrame:
     passed = F.lower(text.strip("label")) == "pass"
     return results.groupBy(*by).agg(
