@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promptmill.operators.joins import salted_left_join
 from promptmill.params import taxonomy as tx
 
 
@@ -59,7 +58,7 @@ def next_actions(attempts: DataFrame, max_retries: int, pair="pair_id") -> DataF
         .when(failed & drifted & (F.col("attempt") == F.col("_drifted")),
               F.lit("anchor_negative"))
         .otherwise(F.lit("rewrite")))
-    return salted_left_join(attempts, firsts, [pair], ["attempt"]).withColumn("next_action", action).drop(
+    return attempts.join(firsts, pair, "left").withColumn("next_action", action).drop(
         "_incompatible", "_drifted")
 
 

@@ -7,7 +7,7 @@ from promptmill.functions import keys, text
 from promptmill.functions.plan import computed
 from promptmill.functions.text import col, contains_phrase
 from promptmill.operators import clean
-from promptmill.operators.ranking import distributed_rank, with_id_bin
+from promptmill.operators.ranking import unique_rank
 from promptmill.params import lexicon as lx
 from promptmill.params import taxonomy as tx
 from promptmill.session import written
@@ -107,9 +107,9 @@ def excluded_reasons(df: DataFrame, family, base_tags=None, signature=None) -> D
 
 
 def _ranked(candidates: DataFrame, family, digits, order_col):
-    # Ranking reads its input three times (range, counts, ranks): the rules run once, into a file.
+    # Ranking reads its input three times (ids, counts, rows): the rules run once, into a file.
     candidates = written(candidates, f"{family}-candidates")
-    ranked = distributed_rank(with_id_bin(candidates, order_col), [], [order_col], "_bin")
+    ranked = unique_rank(candidates, order_col)
     return ranked.withColumn("family_name", F.lit(family)).withColumn(
         "sample_id", keys.sample_id("family_name", "rank", "prompt", digits))
 

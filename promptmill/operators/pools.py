@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from promptmill.functions import keys, text
 from promptmill.functions.plan import held
 from promptmill.operators import clean, families, screening
-from promptmill.operators.joins import salted_left_join
 from promptmill.params import taxonomy as tx
 from promptmill.session import param_table
 
@@ -28,7 +27,7 @@ def match_source(results: DataFrame, source: DataFrame, order_col="record_id") -
     # is spread over salts.
     keyed = first.withColumn("_digest", keys.digest("prompt")).join(
         wanted.select("_digest").distinct(), "_digest", "left_semi")
-    return salted_left_join(wanted, keyed, ["_digest"], ["_result"]).where(
+    return wanted.join(keyed, "_digest", "left").where(
         F.col(order_col).isNotNull()).drop("_digest", "_result")
 
 

@@ -1,11 +1,13 @@
 """Exact ranks and top-k that do not put a whole group into one task."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from promptmill.functions.text import col
 
 SALTS = 128
+BIN_BITS = 16     # rows of one sort at most
+SPAN_BITS = 40    # at most 2 ** 24 bins in a span, and as many spans
 
 
 def top_k_per_group(df: DataFrame, groups, order, max_k: int, k=None, rank="rank") -> DataFrame:
@@ -29,38 +31,27 @@ def top_k_per_group(df: DataFrame, groups, order, max_k: int, k=None, rank="rank
             .where(F.col(rank) <= F.lit(max_k)).where(F.col(rank) <= limit))
 
 
-def hash_bin(order_key, digits=3) -> Column:
-    """Bin of a uniform hex key; bins follow the order of the key."""
-    return F.conv(F.substring(col(order_key), 1, digits), 16, 10).cast("int")
+def unique_rank(df: DataFrame, id_col: str, rank="rank") -> DataFrame:
+    """Exact 1-based rank of every row by a unique whole number.
 
-
-def with_id_bin(df: DataFrame, id_col: str, bins=256, name="_bin") -> DataFrame:
-    """Equal-width bins over a numeric id; the range comes from a one-row aggregate."""
-    span = F.broadcast(df.agg(F.min(id_col).alias("_lo"), F.max(id_col).alias("_hi")))
-    width = F.greatest(F.lit(1.0), (F.col("_hi") - F.col("_lo") + 1) / F.lit(float(bins)))
-    return (df.crossJoin(span)
-            .withColumn(name, F.floor((F.col(id_col) - F.col("_lo")) / width).cast("int"))
-            .drop("_lo", "_hi"))
-
-
-def distributed_rank(df: DataFrame, groups, order, bin_col: str, rank="rank") -> DataFrame:
-    """Exact 1-based rank inside every group, computed over ordered bins.
-
-    ``bin_col`` must rise with ``order``. Rows are ranked inside (group, bin); the rows of the
-    earlier bins of the group are added from a table of counts, so a group that holds a large part
-    of the data is spread over as many tasks as it has bins. Group columns must not be null.
+    A bin is a fixed span of numbers, so it holds at most ``2 ** BIN_BITS`` rows whatever gaps or
+    clusters the numbers have, and there are as many bins as the data fill. The rows of earlier
+    bins are summed inside a wide span, then over the spans. Only the numbers are sorted; the other
+    columns come back by a join on the number. Rows without a number are left out.
     """
-    groups = list(groups)
-    if not groups:
-        df = df.withColumn("_all", F.lit(0))
-        return distributed_rank(df, ["_all"], order, bin_col, rank).drop("_all")
-    before = Window.partitionBy(*groups).orderBy(bin_col).rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = (df.groupBy(*groups, bin_col).agg(F.count(F.lit(1)).alias("_n"))
-               .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-               .drop("_n"))
-    local = Window.partitionBy(*groups, bin_col).orderBy(*[col(o) for o in order])
-    return (df.withColumn("_local", F.row_number().over(local))
-            .join(offsets, [*groups, bin_col])
-            .withColumn(rank, F.col("_local") + F.col("_offset"))
-            .drop("_local", "_offset", bin_col))
+    def earlier(n, window):
+        return F.coalesce(F.sum(n).over(window.rowsBetween(Window.unboundedPreceding, -1)),
+                          F.lit(0))
+
+    ids = df.select(id_col).where(F.col(id_col).isNotNull()).withColumn(
+        "_bin", F.shiftright(F.col(id_col).cast("long"), BIN_BITS))
+    counts = ids.groupBy("_bin").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_span", F.shiftright("_bin", SPAN_BITS - BIN_BITS))
+    spans = counts.groupBy("_span").agg(F.sum("_n").alias("_all")).select(
+        "_span", earlier("_all", Window.orderBy("_span")).alias("_before"))
+    offsets = counts.join(spans, "_span").select("_bin", (F.col("_before") + earlier(
+        "_n", Window.partitionBy("_span").orderBy("_bin"))).alias("_offset"))
+    inside = Window.partitionBy("_bin").orderBy(id_col)
+    ranks = ids.withColumn("_local", F.row_number().over(inside)).join(offsets, "_bin").select(
+        id_col, (F.col("_local") + F.col("_offset")).alias(rank))
+    return df.join(ranks, id_col)

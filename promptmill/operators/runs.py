@@ -4,7 +4,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promptmill.functions import keys, text
-from promptmill.operators.joins import salted_left_join
 
 
 def _given(*columns) -> Column:
@@ -156,7 +155,7 @@ def curation_decisions(pairs: DataFrame, threshold=2) -> DataFrame:
     keyed = pairs.withColumn("_digest", keys.digest("positive_prompt"))
     listed = (keyed.where(failed).groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
               .where(F.col("_n") >= threshold).select(*key, F.lit(True).alias("_listed")))
-    joined = salted_left_join(keyed, listed, key, ["run_dir", "pair_id"])
+    joined = keyed.join(listed, key, "left")
     decision = (F.when(F.col("_listed"), F.lit("blacklist_candidate"))
                 .when(F.col("valid"), F.lit("keep")).otherwise(F.lit("review")))
     reason = (F.when(F.col("_listed"),

@@ -7,8 +7,7 @@ from promptmill.functions import keys
 from promptmill.functions.plan import held
 from promptmill.functions.text import col
 from promptmill.operators import clean
-from promptmill.operators.joins import salted_left_join
-from promptmill.operators.ranking import distributed_rank, top_k_per_group
+from promptmill.operators.ranking import top_k_per_group, unique_rank
 from promptmill.params import taxonomy as tx
 from promptmill.session import written
 
@@ -148,10 +147,9 @@ def select_shard(ranked: DataFrame, num_shards: int, shard_index: int, rank="ran
 
 def candidate_shards(df: DataFrame, num_shards: int, id_col="record_id") -> DataFrame:
     """Rank candidates by id and add the shard each one belongs to."""
-    from promptmill.operators.ranking import with_id_bin
     # Ranking reads its input three times; the rules that chose the candidates run once.
     candidates = written(df, "shard-candidates")
-    ranked = distributed_rank(with_id_bin(candidates, id_col), [], [id_col], "_bin")
+    ranked = unique_rank(candidates, id_col)
     return ranked.withColumn("shard", F.pmod(F.col("rank") - 1, F.lit(num_shards)).cast("int"))
 
 
@@ -215,8 +213,7 @@ def systematic_grid(subpools: DataFrame, dimensions: DataFrame, k: int, severiti
 def random_grid(prompts: DataFrame, dimensions, severities, k: int, base_seed: int, seed,
                 id_col="record_id") -> DataFrame:
     """``k`` draws of (dimension, severity) per prompt; the seed counts all draws in id order."""
-    from promptmill.operators.ranking import with_id_bin
-    ranked = distributed_rank(with_id_bin(prompts, id_col), [], [id_col], "_bin")
+    ranked = unique_rank(prompts, id_col)
     drawn = ranked.withColumn("pair_idx", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
 
     def pick(names, label):
@@ -241,5 +238,5 @@ def without_completed(work: DataFrame, log: DataFrame) -> DataFrame:
 
     done = keyed(log.where("success"), "positive_prompt").select("_key").distinct().withColumn(
         "_done", F.lit(True))
-    return salted_left_join(keyed(work, "prompt"), done, ["_key"]).where(
+    return keyed(work, "prompt").join(done, "_key", "left").where(
         F.col("_done").isNull()).drop("_key", "_done")

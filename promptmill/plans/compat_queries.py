@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from promptmill.operators import compat, pools
-from promptmill.operators.joins import salted_left_join
 from promptmill.functions import keys
 from promptmill.params import lexicon as lx
 from promptmill.params import taxonomy as tx
@@ -103,7 +102,7 @@ def sql_batch(older) -> str:
 
 def _batch_counts(v, special_without_requirement):
     keyed = compat.with_lower(v.prompts()).withColumn("_digest", keys.digest("prompt"))
-    looked = salted_left_join(keyed, tag_map(v), ["_digest"], ["record_id"])
+    looked = keyed.join(tag_map(v), "_digest", "left")
     rows = F.array(*[F.struct(F.lit(d).alias("dimension"), compat.batch_verdict(
         d, "prompt", "_lower", "semantic_tags", BATCH_REQUIREMENTS,
         special_without_requirement).alias("verdict")) for d in BATCH_DIMENSIONS])

@@ -11,7 +11,7 @@ from promptmill.functions.text import SPACE
 from promptmill.operators import compat, tagging
 from promptmill.params import lexicon as lx
 from promptmill.params import taxonomy as tx
-from promptmill.session import param_table, spread
+from promptmill.session import param_table
 
 # The corpus is invented prose: this lexicon uses words that occur in it as substrings.
 LEXICON = {
@@ -50,7 +50,7 @@ class Views:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def documents(self) -> DataFrame:
-        return spread(self.table("documents"), "doc_id")
+        return self.table("documents")
 
     def prompts(self) -> DataFrame:
         """Documents as prompts of five public sources, one of which holds almost half."""
@@ -86,7 +86,7 @@ class Views:
         valid = ~kind.isin("error", "view")
         failure = (F.when(kind == "error", F.lit(FAILURES[0]))
                    .when((kind == "view") & (event % 5 != 0), pick(FAILURES, event)))
-        return spread(self.table("events"), "event_id").select(
+        return self.table("events").select(
             F.concat(F.lit("run-"), F.date_format("ts", "yyyy-MM-dd")).alias("run_dir"),
             F.concat(F.lit("pair-"), event.cast("string")).alias("pair_id"), event.alias("ord"),
             F.col("ts").cast("timestamp").alias("ts"),

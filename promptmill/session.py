@@ -42,19 +42,6 @@ def param_table(spark: SparkSession, rows, schema) -> DataFrame:
     return F.broadcast(params) if len(rows) <= MAX_PARAM_ROWS else params
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores when the input files give fewer splits than there are cores.
-
-    Text work is bound by the processor, so a small input in one row group is worth one shuffle.
-    Larger inputs have more splits than cores and pass through untouched. The key makes the
-    placement repeatable.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or 2 * df.rdd.getNumPartitions() > cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` as the cluster names it.
 

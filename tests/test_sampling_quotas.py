@@ -6,8 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from promptmill.operators import quotas, sampling, tagging
-from promptmill.operators.ranking import (distributed_rank, hash_bin, top_k_per_group,
-                                          with_id_bin)
+from promptmill.operators.ranking import top_k_per_group, unique_rank
 from promptmill.params import requests as rq
 from promptmill.params import taxonomy as tx
 from promptmill.plans.sampling_queries import MIX, MIX_SCHEMA
@@ -51,18 +50,14 @@ def test_top_k_with_a_limit_per_group(spark):
     assert got == {0: 1, 1: 2, 2: 3, 3: 4, 4: 5}
 
 
-def test_distributed_rank_equals_brute_force(spark):
-    data, df = skewed(spark)
-    got = {(r["id"], r["g"]): r["rank"] for r in distributed_rank(
-        with_id_bin(df, "id", 16), ["g"], ["id"], "_bin").collect()}
-    for g in range(5):
-        for n, i in enumerate(sorted(i for i, h in data if h == g), 1):
-            assert got[(i, g)] == n
-    ordered = df.withColumn("h", F.md5(F.col("id").cast("string"))).withColumn(
-        "_bin", hash_bin("h", 2))
-    ranks = {r["id"]: r["rank"] for r in distributed_rank(ordered, [], ["h"], "_bin").collect()}
-    assert [i for i, _ in sorted(ranks.items(), key=lambda kv: kv[1])] == sorted(
-        (i for i, _ in data), key=md5)
+def test_unique_rank_with_gaps_clusters_and_negative_numbers(spark):
+    ids = ([*range(-5, 300)] + [2 ** 16 - 1, 2 ** 16, 2 ** 40 - 1, 2 ** 40, 2 ** 40 + 3 * 2 ** 16,
+                                -2 ** 63, 2 ** 63 - 1] + [10 ** 12 + i for i in range(200)])
+    random.Random(4).shuffle(ids)
+    df = spark.createDataFrame([(i, f"text {i}") for i in [*ids, None]], "id long, text string")
+    got = sorted(map(tuple, unique_rank(df, "id").select("id", "rank", "text").collect()))
+    assert got == [(i, n, f"text {i}") for n, i in enumerate(sorted(ids), 1)]
+    assert unique_rank(df.where("id = 0 and id = 1"), "id").count() == 0
 
 
 POOL = [

@@ -256,14 +256,3 @@ def test_routing_defaults_and_overrides(spark, rows):
     assert spec["floating_objects"]["shared_pool_family"] is None
     warnings = {r["dimension"]: r["warning"] for r in rows(pools.routing_warnings(dims, routing))}
     assert warnings == {"blur": "missing_in_config"}
-
-
-def test_salted_join_equals_plain_join(spark):
-    from promptmill.operators.joins import salted_left_join
-    r = random.Random(1)
-    big = spark.createDataFrame([(i, "hot" if i % 3 else str(r.randrange(50)))
-                                 for i in range(3000)], "i int, k string")
-    small = spark.createDataFrame([("hot", 1), ("7", 2), ("8", 3)], "k string, v int")
-    assert sorted(map(tuple, salted_left_join(big, small, ["k"]).select("i", "k", "v").collect()),
-                  key=str) == sorted(
-        map(tuple, big.join(small, "k", "left").select("i", "k", "v").collect()), key=str)

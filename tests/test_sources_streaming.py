@@ -117,8 +117,12 @@ def test_parameter_tables_are_bounded(spark):
                         "d string, t array<string>, b boolean")
     assert [tuple(r) for r in table.orderBy("d").collect()] == [("a", ["x"], True),
                                                                ("b", None, None)]
-    with pytest.raises(ValueError):
-        param_table(spark, [(i,) for i in range(20_001)], "i int")
+    def hinted(n):
+        table = param_table(spark, [(i,) for i in range(n)], "i int")
+        assert table.count() == n
+        return "ResolvedHint" in table._jdf.queryExecution().analyzed().toString()
+
+    assert hinted(20_000) and not hinted(20_001)
 
 
 def drain(spark, source, pool, checkpoint):
