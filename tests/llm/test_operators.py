@@ -297,6 +297,44 @@ def test_license_scan(docs, texts):
                if d not in (72, 73))
 
 
+WRAPPED = {
+    "mit-grant": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights""",
+    "bsd-grant": """ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions
+ * are met:"""}
+
+
+def test_license_scan_across_lines(spark):
+    import re
+    filler = "the of lake is granted\nsoftware to any person without the use\n\n"
+    mit, bsd = WRAPPED["mit-grant"], WRAPPED["bsd-grant"]
+    texts = [mit, bsd, filler + mit + "\n" + filler, mit.replace(" ", "\n"), filler * 40,
+             f"{filler}{bsd}\n{filler * 5}{mit}\n{filler * 5}{bsd}", mit[:100],
+             "Released under the\nMIT License", "Released under the MIT License\nand the",
+             "software\n" + " ".join(mit.split()), None, "\n\n"]
+    out = license_scan.scanned(spark.createDataFrame(list(enumerate(texts)),
+                                                     "doc_id long, text string"))
+    rows = {r.doc_id: r for r in out.collect()}
+    for i, text in enumerate(texts):
+        words = re.findall(license_scan.WORDS, (text or "").lower())
+        lines = [re.findall(license_scan.WORDS, x) for x in (text or "").lower().split("\n")]
+        want = {}
+        for (label, notice), own in zip(license_scan.TEMPLATES,
+                                        license_scan.template_words().values()):
+            span = license_scan.window_words(notice)
+            shared = max(len(set(own) & set(b)) for b in
+                         lines + [words[a:a + span] for a in range(len(words))])
+            if shared >= license_scan.needed_words(len(own)):
+                want[label] = shared / len(own)
+        assert set(rows[i].labels.split(",")) - {"mit", ""} == set(want), i
+        assert rows[i].score == max(want.values(), default=0), i
+    assert [rows[i].labels for i in range(4)] == ["mit-grant", "bsd-grant", "mit-grant",
+                                                  "mit-grant"]
+    assert [rows[i].n_blocks for i in range(10)] == [1, 1, 1, 1, 0, 3, 0, 1, 1, 1]
+
+
 # ---- op10 -----------------------------------------------------------------------------------
 
 def test_codes_give_any_token():
