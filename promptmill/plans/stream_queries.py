@@ -41,8 +41,9 @@ SELECT CAST(window_start AS VARCHAR) AS window_start, model_id, total_pairs, val
   invalid_pairs, total_attempts, round_even(valid_pairs / total_pairs, 4) AS validation_rate
 FROM g WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM pairs) - INTERVAL 1 HOUR""")
 def streamed_run_report(v):
-    report = incremental.running_report(streaming(v).pairs())
-    table = incremental.run_to_table(report, "run-report")
+    table = incremental.complete_report(
+        streaming(v).pairs(), work_folder(v.spark, "run-report"),
+        work_folder(v.spark, "run-report-checkpoint"))
     return table.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 

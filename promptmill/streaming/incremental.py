@@ -52,9 +52,38 @@ def running_report(stream: DataFrame, time_col="ts", delay="1 hour", window="1 d
     The watermark bounds the state: a window is emitted once and forgotten when the log has moved
     ``delay`` past its end.
     """
+    return _report(stream.withWatermark(time_col, delay), time_col, window)
+
+
+def complete_report(stream: DataFrame, path: str, checkpoint: str, time_col="ts",
+                    window="1 day") -> DataFrame:
+    """The report of everything that has arrived, the last windows and late rows too.
+
+    Without a watermark no row comes too late; the state holds one row per window and model. Each
+    micro-batch writes the rows it changed to a folder of its own number, so a batch that is run
+    again replaces its own output, and the newest row of a window and model counts. Run again with
+    the same path and checkpoint, the report goes on.
+    """
+    report = _report(stream, time_col, window)
+    spark = stream.sparkSession
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    (report.writeStream.foreachBatch(process).outputMode("update")
+     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+     .awaitTermination())
+    written = existing_pool(spark, path)
+    if written is None:
+        return spark.createDataFrame([], report.schema)
+    row = F.struct(*report.columns)
+    return (written.groupBy("window_start", "model_id").agg(F.max_by(row, "batch").alias("row"))
+            .select("row.*"))
+
+
+def _report(pairs: DataFrame, time_col: str, window: str) -> DataFrame:
     ok = F.col("success")
-    return (stream.withWatermark(time_col, delay)
-            .groupBy(F.window(time_col, window), "model_id")
+    return (pairs.groupBy(F.window(time_col, window), "model_id")
             .agg(F.count(F.lit(1)).alias("total_pairs"), F.count_if(ok).alias("valid_pairs"),
                  F.count_if(~ok).alias("invalid_pairs"),
                  F.sum("total_attempts").alias("total_attempts"))
