@@ -231,9 +231,9 @@ SELECT count(*) FILTER (WHERE was) AS old_count, count(*) FILTER (WHERE now) AS
 def tag_snapshot_diff(v):
     tag = F.array(F.lit("has_hand"))
     none = F.array().cast("array<string>")
-    old = v.prompts().where("lang <> 'fr'").select("record_id", F.when(
+    old = v.prompts().select("record_id", F.when(
         F.lower("prompt").contains("hand"), tag).otherwise(none).alias("semantic_tags"))
-    new = v.tagged().where("source <> 'parti_prompts'").select("record_id", F.when(
+    new = v.tagged().select("record_id", F.when(
         F.arrays_overlap("semantic_tags", F.array(F.lit("has_hand"), F.lit("has_person"))),
         tag).otherwise(none).alias("semantic_tags"))
     return clean.compare_tag_snapshots(old, new, "has_hand", key="record_id")

@@ -65,10 +65,9 @@ def row_compatibility(v):
 
 
 def tag_map(v):
-    """Tags of the English prompts only, one row per prompt text."""
+    """Tags of the prompts, one row per prompt text."""
     from promptmill.operators.clean import first_wins
-    english = v.tagged().where("lang = 'en'")
-    return first_wins(english, "prompt", "record_id").select(
+    return first_wins(v.tagged(), "prompt", "record_id").select(
         keys.digest("prompt").alias("_digest"), "semantic_tags")
 
 

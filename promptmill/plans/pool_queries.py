@@ -134,7 +134,7 @@ WITH {SQL_TAGGED}, {SQL_RESULTS}, src AS (SELECT * FROM tagged WHERE prompt <> '
 SELECT r.dimension, r.label, s.record_id, s.source FROM results r JOIN src s
   ON s.prompt = r.prompt""")
 def matched_sources(v):
-    return pools.match_source(v.results(), v.tagged().where("lang = 'en'")).select(
+    return pools.match_source(v.results(), v.tagged()).select(
         "dimension", "label", "record_id", "source")
 
 

@@ -271,8 +271,7 @@ def timing_summary(v):
 WITH {SQL_ATTEMPTS} SELECT pair_id, attempt FROM attempts WHERE coalesce(negative_prompt, '') <> ''
   AND status = 'success'""")
 def successful_pairs(v):
-    return runs.successful_pairs(v.attempts().where("status = 'success'")).select("pair_id",
-                                                                                  "attempt")
+    return runs.successful_pairs(v.attempts()).select("pair_id", "attempt")
 
 
 def _template_columns():

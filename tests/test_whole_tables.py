@@ -19,6 +19,47 @@ def test_generated_files_hold_every_prompt(spark):
     assert {r.source: r.prompts for r in got} == want
 
 
+def first_by_prompt(spark):
+    """Tagged rows by prompt, the one with the smallest identifier of each."""
+    rows = sorted(Views(spark, SMALL).tagged().collect(), key=lambda r: r.record_id)
+    return rows, {r.prompt: r for r in reversed(rows) if r.prompt}
+
+
+def test_results_match_sources_of_every_language(spark):
+    first = first_by_prompt(spark)[1]
+    want = Counter((r.dimension, r.label, first[r.prompt].record_id, first[r.prompt].source)
+                   for r in Views(spark, SMALL).results().collect() if r.prompt in first)
+    got = contract.queries()["matched_sources"](spark, SMALL).collect()
+    assert Counter(map(tuple, got)) == want
+
+
+@pytest.mark.parametrize("name", ["batch_filter_verdicts", "older_batch_filter_verdicts"])
+def test_no_prompt_goes_untagged(spark, name):
+    n = Views(spark, SMALL).prompts().count()
+    got = contract.queries()[name](spark, SMALL).collect()
+    assert {r.verdict for r in got} <= {"ok", "tags", "special"}
+    total = Counter()
+    for r in got:
+        total[r.dimension] += r.prompts
+    assert set(total.values()) == {n}
+
+
+def test_pairs_of_every_status_reach_the_operator(spark):
+    want = Counter((r.pair_id, r.attempt) for r in Views(spark, SMALL).attempts().collect()
+                   if r.negative_prompt)
+    got = contract.queries()["successful_pairs"](spark, SMALL).collect()
+    assert Counter(map(tuple, got)) == want
+
+
+def test_tag_snapshots_hold_every_row(spark):
+    rows = first_by_prompt(spark)[0]
+    was = {r.record_id for r in rows if "hand" in (r.prompt or "").lower()}
+    now = {r.record_id for r in rows if {"has_hand", "has_person"} & set(r.semantic_tags)}
+    got = contract.queries()["tag_snapshot_diff"](spark, SMALL).collect()[0]
+    assert (got.old_count, got.new_count, got.removed, got.added) == (
+        len(was), len(now), len(was - now), len(now - was))
+
+
 def test_run_report_holds_every_pair(spark):
     want = Counter()
     for r in Views(spark, SMALL).pairs().select("ts", "model_id", "success", "total_attempts").collect():
