@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from promptmill.llm import (chat, exact_dedup, license_scan, mixing, ngram_join, oracles, quality_rules,
+from promptmill.llm import (alignment, chat, exact_dedup, license_scan, mixing, ngram_join, oracles, quality_rules,
                             sentencepiece_codec, sharding, suffix_dedup, token_codes)
 
 from .common import new_folder, table, whole
@@ -112,9 +112,18 @@ def op10_direct_codes(spark, sf_dir):
         public_tokenizers.path("byte_bpe_50k.json")).drop("part", "seq")
 
 
+def op12_interval_alignment(spark, sf_dir):
+    """Byte-level words against pieces; links are tokens that end together."""
+    pieces = public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.aligned(table(spark, sf_dir, "documents"),
+                             public_tokenizers.path("byte_bpe_50k.json"), pieces,
+                             alignment.piece_count(pieces), rule="end")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_slot_shards, op2_content_sort_dedup, op3_exponential_mix, op4_chat_format,
-    op5_suffix_sort_dedup, op6_line_quality, op7_ngram_jaccard_join, op8_max_plus_sentencepiece, op9_license_scan, op10_direct_codes)}
+    op5_suffix_sort_dedup, op6_line_quality, op7_ngram_jaccard_join, op8_max_plus_sentencepiece, op9_license_scan, op10_direct_codes,
+    op12_interval_alignment)}
 
 # op1 needs crc32 and op5, op7, op8 and op10 have no SQL form of bearable cost: see tests/llm
 ORACLE = {"op2_content_sort_dedup": oracles.OP2, "op3_exponential_mix": oracles.OP3,
