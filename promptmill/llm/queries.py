@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from promptmill.llm import (alignment, chat, exact_dedup, license_scan, mixing, ngram_join, oracles, quality_rules,
-                            sentencepiece_codec, sharding, suffix_dedup, token_codes)
+                            sentencepiece_codec, sharding, suffix_dedup, token_codes, toxicity, whitening)
 
 from .common import new_folder, table, whole
 
@@ -112,6 +112,10 @@ def op10_direct_codes(spark, sf_dir):
         public_tokenizers.path("byte_bpe_50k.json")).drop("part", "seq")
 
 
+def op11_lanczos_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def op12_interval_alignment(spark, sf_dir):
     """Byte-level words against pieces; links are tokens that end together."""
     pieces = public_tokenizers.path("piece_bpe_32k.model")
@@ -120,12 +124,17 @@ def op12_interval_alignment(spark, sf_dir):
                              alignment.piece_count(pieces), rule="end")
 
 
+def op13_text_cnn_toxicity(spark, sf_dir):
+    return toxicity.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_slot_shards, op2_content_sort_dedup, op3_exponential_mix, op4_chat_format,
     op5_suffix_sort_dedup, op6_line_quality, op7_ngram_jaccard_join, op8_max_plus_sentencepiece, op9_license_scan, op10_direct_codes,
-    op12_interval_alignment)}
+    op11_lanczos_whitening, op12_interval_alignment, op13_text_cnn_toxicity)}
 
-# op1 needs crc32 and op5, op7, op8 and op10 have no SQL form of bearable cost: see tests/llm
+# op1 needs crc32, op5 and op7 have no SQL form of bearable cost, and op8 and op10 to op13 none at
+# all: see tests/llm
 ORACLE = {"op2_content_sort_dedup": oracles.OP2, "op3_exponential_mix": oracles.OP3,
           "op4_chat_format": oracles.OP4, "op6_line_quality": oracles.OP6,
           "op9_license_scan": oracles.OP9}
