@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from promptmill.functions.plan import held
-from promptmill.operators import clean
+from promptmill.operators import clean, neardup
 from promptmill.params import taxonomy as tx
 from promptmill.plans.registry import query
 from promptmill.plans.views import (SQL_PROMPTS, SQL_TAGGED, q, sql_has, sql_norm, sql_strip,
@@ -219,10 +219,8 @@ def merged_index(v):
 
 
 @query("tag_snapshot_diff", "SET5", f"""
-WITH {SQL_TAGGED}, o AS (SELECT record_id, contains(low, 'hand') AS was FROM tagged
-  WHERE lang <> 'fr'),
-n AS (SELECT record_id, {sql_has('has_hand')} OR {sql_has('has_person')} AS now FROM tagged
-  WHERE source <> 'parti_prompts'),
+WITH {SQL_TAGGED}, o AS (SELECT record_id, contains(low, 'hand') AS was FROM tagged),
+n AS (SELECT record_id, {sql_has('has_hand')} OR {sql_has('has_person')} AS now FROM tagged),
 j AS (SELECT o.record_id AS old_id, coalesce(was, FALSE) AS was, coalesce(now, FALSE) AS now
   FROM o FULL JOIN n ON o.record_id = n.record_id)
 SELECT count(*) FILTER (WHERE was) AS old_count, count(*) FILTER (WHERE now) AS new_count,
@@ -237,3 +235,65 @@ def tag_snapshot_diff(v):
         F.arrays_overlap("semantic_tags", F.array(F.lit("has_hand"), F.lit("has_person"))),
         tag).otherwise(none).alias("semantic_tags"))
     return clean.compare_tag_snapshots(old, new, "has_hand", key="record_id")
+
+
+@query("tag_snapshot_changes", "SET5", f"""
+WITH {SQL_TAGGED}, o AS (SELECT record_id, contains(low, 'hand') AS was FROM tagged
+  UNION ALL SELECT -1 - item_id, contains(lower(text), 'hand') FROM benchmark),
+n AS (SELECT record_id, {sql_has('has_hand')} AND {sql_has('has_person')}
+  OR {sql_has('has_face')} AS now FROM tagged
+  UNION ALL SELECT -1000 * (1000000 + conv_id) - turn, contains(lower(text), 'hand')
+  FROM conversations),
+j AS (SELECT o.record_id AS old_id, coalesce(was, FALSE) AS was, coalesce(now, FALSE) AS now
+  FROM o FULL JOIN n ON o.record_id = n.record_id)
+SELECT count(*) FILTER (WHERE was) AS old_count, count(*) FILTER (WHERE now) AS new_count,
+  count(*) FILTER (WHERE was AND NOT now) AS removed,
+  count(*) FILTER (WHERE old_id IS NOT NULL AND NOT was AND now) AS added FROM j""")
+def tag_snapshot_changes(v):
+    """Snapshots of different rules and rows: benchmark items have gone, turns have come."""
+    tag = F.array(F.lit("has_hand"))
+    none = F.array().cast("array<string>")
+
+    def snapshot(rows, found):
+        return rows.select("record_id", F.when(found, tag).otherwise(none).alias("semantic_tags"))
+
+    def has(name):
+        return F.array_contains("semantic_tags", name)
+
+    hand = F.lower("prompt").contains("hand")
+    gone = v.table("benchmark").select((-1 - F.col("item_id")).alias("record_id"),
+                                       F.col("text").alias("prompt"))
+    come = v.table("conversations").select(
+        (-1000 * (1000000 + F.col("conv_id")) - F.col("turn")).alias("record_id"),
+        F.col("text").alias("prompt"))
+    old = snapshot(v.prompts().select("record_id", "prompt").unionByName(gone), hand)
+    new = snapshot(v.tagged(), (has("has_hand") & has("has_person")) | has("has_face")
+                   ).unionByName(snapshot(come, hand))
+    return clean.compare_tag_snapshots(old, new, "has_hand", key="record_id")
+
+
+@query("near_duplicate_classes", "SET6", f"""
+WITH RECURSIVE {SQL_PROMPTS}, low AS (SELECT record_id, lower({sql_norm('prompt')}) AS low FROM prompts),
+firsts AS (SELECT low, min(record_id) AS id FROM low WHERE low <> '' GROUP BY 1),
+words AS (SELECT id, string_split(low, ' ') AS w FROM firsts),
+grams AS (SELECT DISTINCT id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)),
+  lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM words),
+sizes AS (SELECT id, count(*) AS n FROM grams GROUP BY 1),
+met AS (SELECT x.id AS a, y.id AS b, count(*) AS shared FROM grams x JOIN grams y
+  ON x.g = y.g AND x.id < y.id GROUP BY 1, 2),
+links AS (SELECT a, b FROM met JOIN sizes x ON x.id = a JOIN sizes y ON y.id = b
+  WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(id, other) AS (SELECT id, id FROM firsts UNION
+  SELECT r.id, s.b FROM reached r JOIN sides s ON s.a = r.other),
+classes AS (SELECT id, min(other) AS class_id FROM reached GROUP BY 1),
+facts AS (SELECT f.low, c.class_id, s.n, t.n AS first_n,
+  CASE WHEN c.class_id = c.id THEN s.n ELSE coalesce(m.shared, 0) END AS shared
+  FROM firsts f JOIN classes c ON c.id = f.id JOIN sizes s ON s.id = c.id
+  JOIN sizes t ON t.id = c.class_id LEFT JOIN met m ON m.a = c.class_id AND m.b = c.id)
+SELECT l.record_id, coalesce(f.class_id, l.record_id) AS class_id,
+  coalesce(f.class_id, l.record_id) = l.record_id AS kept, coalesce(f.n, 0) AS n_shingles,
+  coalesce(f.first_n, 0) AS first_shingles, coalesce(f.shared, 0) AS shared
+FROM low l LEFT JOIN facts f ON f.low = l.low""")
+def near_duplicate_classes(v):
+    return neardup.near_classes(v.prompts())

@@ -64,17 +64,20 @@ def row_compatibility(v):
         for d in ROW_DIMENSIONS])
 
 
-def tag_map(v):
+def tag_map(tagged):
     """Tags of the prompts, one row per prompt text."""
     from promptmill.operators.clean import first_wins
-    return first_wins(v.tagged(), "prompt", "record_id").select(
+    return first_wins(tagged, "prompt", "record_id").select(
         keys.digest("prompt").alias("_digest"), "semantic_tags")
 
 
-TAG_MAP_SQL = f"""{SQL_TAGGED}, tag_map AS (SELECT prompt, tags FROM tagged WHERE lang = 'en'
+def tag_map_sql(where="TRUE") -> str:
+    return f"""{SQL_TAGGED}, tag_map AS (SELECT prompt, tags FROM tagged WHERE {where}
   QUALIFY row_number() OVER (PARTITION BY prompt ORDER BY record_id) = 1),
 looked AS (SELECT t.record_id, t.prompt, t.low, m.tags FROM tagged t
   LEFT JOIN tag_map m ON t.prompt = m.prompt)"""
+
+
 BATCH_DIMENSIONS = ["hand_malformation", "text_error", "extra_limbs", "logo_symbol_error",
                     "count_error", "any_pool"]
 BATCH_REQUIREMENTS = {**tx.REQUIREMENTS, "any_pool": Requirement(())}
@@ -91,17 +94,17 @@ def sql_verdict(d, older=False) -> str:
             f"WHEN {special} IS NOT NULL THEN 'special' ELSE 'ok' END")
 
 
-def sql_batch(older) -> str:
+def sql_batch(older, where="TRUE") -> str:
     body = " UNION ALL ".join(
         f"SELECT {q(d)} AS dimension, {sql_verdict(d, older)} AS verdict FROM looked"
         for d in BATCH_DIMENSIONS)
-    return (f"WITH {TAG_MAP_SQL}, r AS ({body}) SELECT dimension, verdict, count(*) AS prompts "
+    return (f"WITH {tag_map_sql(where)}, r AS ({body}) SELECT dimension, verdict, count(*) AS prompts "
             f"FROM r GROUP BY 1, 2")
 
 
-def _batch_counts(v, special_without_requirement):
+def _batch_counts(v, special_without_requirement, tagged=None):
     keyed = compat.with_lower(v.prompts()).withColumn("_digest", keys.digest("prompt"))
-    looked = keyed.join(tag_map(v), "_digest", "left")
+    looked = keyed.join(tag_map(v.tagged() if tagged is None else tagged), "_digest", "left")
     rows = F.array(*[F.struct(F.lit(d).alias("dimension"), compat.batch_verdict(
         d, "prompt", "_lower", "semantic_tags", BATCH_REQUIREMENTS,
         special_without_requirement).alias("verdict")) for d in BATCH_DIMENSIONS])
@@ -119,6 +122,14 @@ def older_batch_filter_verdicts(v):
     return _batch_counts(v, False)
 
 
+@query("batch_verdicts_of_labelled_tags", "FLT8 JN3", sql_batch(
+    False, "record_id IN (SELECT doc_id FROM labels)"))
+def batch_verdicts_of_labelled_tags(v):
+    """Only labelled prompts have been tagged; the others are in no tag map."""
+    labelled = v.table("labels").select(F.col("doc_id").alias("record_id"))
+    return _batch_counts(v, True, v.tagged().join(labelled, "record_id", "left_semi"))
+
+
 def sql_router(d) -> str:
     req = tx.REQUIREMENTS.get(d)
     if req is None:

@@ -129,7 +129,7 @@ def screened_index(v):
 
 
 @query("matched_sources", "JN1", f"""
-WITH {SQL_TAGGED}, {SQL_RESULTS}, src AS (SELECT * FROM tagged WHERE prompt <> '' AND lang = 'en'
+WITH {SQL_TAGGED}, {SQL_RESULTS}, src AS (SELECT * FROM tagged WHERE prompt <> ''
   QUALIFY row_number() OVER (PARTITION BY prompt ORDER BY record_id) = 1)
 SELECT r.dimension, r.label, s.record_id, s.source FROM results r JOIN src s
   ON s.prompt = r.prompt""")
@@ -138,6 +138,24 @@ def matched_sources(v):
         "dimension", "label", "record_id", "source")
 
 
+@query("matched_answers", "JN1", f"""
+WITH {SQL_TAGGED}, {SQL_RESULTS}, src AS (SELECT * FROM tagged WHERE prompt <> ''
+  QUALIFY row_number() OVER (PARTITION BY prompt ORDER BY record_id) = 1),
+answers AS (SELECT label, prompt FROM results UNION ALL SELECT 'benchmark', text FROM benchmark)
+SELECT a.label, count(*) AS answers, count(s.record_id) AS matched FROM answers a
+LEFT JOIN src s ON s.prompt = a.prompt GROUP BY 1""")
+def matched_answers(v):
+    """How many answers have a source prompt; benchmark items as a whole are no prompts."""
+    items = v.table("benchmark").select(
+        (-1 - F.col("item_id")).alias("record_id"), F.lit("benchmark").alias("label"),
+        F.col("text").alias("prompt"))
+    answers = v.results().select("record_id", "label", "prompt").unionByName(items)
+    found = pools.match_source(answers, v.tagged()).groupBy("label").agg(
+        F.count(F.lit(1)).alias("matched"))
+    return (answers.groupBy("label").agg(F.count(F.lit(1)).alias("answers"))
+            .join(found, "label", "left").fillna(0, ["matched"]))
+
+
 @query("targeted_subpools", "PL3 DUP2", f"""
 WITH {sql_subpools(['object_structure_error'])}, u AS (SELECT record_id FROM subpools
   WHERE prompt <> '' QUALIFY row_number() OVER (PARTITION BY prompt ORDER BY record_id) = 1)

@@ -268,8 +268,7 @@ def timing_summary(v):
 
 
 @query("successful_pairs", "FLT21", f"""
-WITH {SQL_ATTEMPTS} SELECT pair_id, attempt FROM attempts WHERE coalesce(negative_prompt, '') <> ''
-  AND status = 'success'""")
+WITH {SQL_ATTEMPTS} SELECT pair_id, attempt FROM attempts WHERE coalesce(negative_prompt, '') <> ''""")
 def successful_pairs(v):
     return runs.successful_pairs(v.attempts()).select("pair_id", "attempt")
 

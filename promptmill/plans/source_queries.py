@@ -109,7 +109,7 @@ def jsonl_round_trip(v):
 
 
 @query("collected_generated_files", "SRC7 SNK3", f"""
-WITH {SQL_PROMPTS} SELECT source, count(*) AS prompts FROM prompts WHERE lang <> 'en' GROUP BY 1""")
+WITH {SQL_PROMPTS} SELECT source, count(*) AS prompts FROM prompts GROUP BY 1""")
 def collected_generated_files(v):
     root = work_folder(v.spark, "generated")
     rows = v.prompts().select("record_id", "source", "prompt")
