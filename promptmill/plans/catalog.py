@@ -2,5 +2,5 @@
 
 from promptmill.plans import (clean_queries, compat_queries, pool_queries,  # noqa: F401
                               run_queries, sampling_queries, screening_queries, source_queries,
-                              stream_queries, text_queries)
+                              stream_queries, text_queries, upkeep_queries)
 from promptmill.plans.registry import REGISTRY  # noqa: F401
