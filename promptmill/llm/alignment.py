@@ -7,7 +7,7 @@ smallest stretch that both tokenizations cover with whole tokens. Inside the gro
 tokens are expanded to pairs, of which a rule keeps the links: ``overlap`` (all), ``end`` (both end
 together), ``start`` or ``same``.
 
-Counts of linked id pairs over the whole corpus are made in three steps: every part (some 16 MB of
+Counts of linked id pairs over the whole corpus are made in three steps: every part (some 8 MB of
 text) writes its documents with their links as places in the part's own list of distinct pairs;
 the lists are summed up and joined with the sums, a pair once for each part however often it occurs;
 then each part's documents meet the part's list again. A pair that occurs everywhere is one row of
@@ -33,10 +33,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
-from .token_codes import worker_encoder
+from .token_codes import WordEncoder
 
-SLICE_BYTES = 2 << 20      # text aligned in one go
-PART_BYTES = 16 << 20      # text for each list of distinct pairs
+SLICE_BYTES = 1 << 20      # text aligned in one go
+PART_BYTES = 8 << 20       # text for each list of distinct pairs
+CACHE_WORDS = 200_000      # of vocabulary A, in each of two generations
 RULES = ("overlap", "end", "start", "same")
 
 
@@ -54,7 +55,7 @@ class ByteLevel:
     """Vocabulary A: ids of a space and the text, and the bytes of every id."""
 
     def __init__(self, path: str):
-        self.words = worker_encoder(path)
+        self.words = WordEncoder(path, CACHE_WORDS)
         if self.words.tokenizer.normalizer is not None:
             raise ValueError("a vocabulary without a normalizer is needed")
         value = byte_characters()

@@ -132,7 +132,7 @@ class WordEncoder:
     """Whole-text ids by looking up words; words not seen before go to the tokenizer, many in one
     call. Two generations of words are kept, so frequent ones stay when the older one goes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -141,7 +141,7 @@ class WordEncoder:
         # ids whose bytes begin with a space, which byte-level vocabularies write as U+0120
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self.spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
-        self.known, self.older = {}, {}
+        self.known, self.older, self.cache_words = {}, {}, cache_words
 
     def _tokenize(self, text: str) -> np.ndarray:
         (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
@@ -178,7 +178,7 @@ class WordEncoder:
         yield text[at:] if at else text
 
     def _encode_small(self, texts) -> list:
-        if len(self.known) > CACHE_WORDS:
+        if len(self.known) > self.cache_words:
             self.known, self.older = {}, self.known
         firsts, rests = [], []
         for text in texts:
