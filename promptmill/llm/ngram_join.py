@@ -15,9 +15,11 @@ Stages:
 2. Equal sets are one class, by a digest of the whole set; further work is on representatives.
 3. Representatives that share a prefix token are linked to the leader of that token (two rounds
    with different leaders, so each token gives as many pairs as it has members). Components of the
-   links are merged, then all remaining candidate pairs between different components are made and
-   verified, so no link that would join two components is missed. A frequent token among documents
-   already connected gives no pairs.
+   links are merged. A token whose members are then still in several components is a group: one of
+   up to ``FEW`` members is compared in one task, first by the prefixes under the other two orders,
+   then, for members that still have a candidate, by whole sets; a larger one is refined into
+   smaller groups (see :func:`_refined`) until none is left. No link that would join two components is missed, and no
+   step gives more rows than a fixed multiple of members.
 
 Hashes have 40 bits beside their bucket: in a bucket of a million distinct hashes about one in two
 millions falls on another one, which can only make a pair a candidate; for two equal hashes inside
@@ -41,7 +43,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import whole, written
@@ -52,6 +54,7 @@ BATCH_BYTES = 4 << 20
 BATCH_DOCS = 4096
 BUCKET_BYTES = 6 << 20     # text for each bucket of hashes
 MIN_BUCKETS = 64
+FEW = 256                  # members of a group that one task compares
 LOW_BITS = 40
 NO_ID = -(1 << 63)
 ODD = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)
@@ -219,9 +222,13 @@ def _from_planes(data: bytes) -> np.ndarray:
         .reshape(-1).view("<u8")
 
 
+def _scaled(slot: int) -> np.uint64:
+    return np.uint64(slot * ODD[0] % (1 << 64))
+
+
 def _gather(percent: int):
     """For one batch: its documents, and the shared tokens of those that can have a partner, in
-    the first order: frequency in the top byte, then bucket and hash."""
+    the first order: frequency in the top byte, then a hash of bucket and hash."""
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         meta = frame["blob"][frame["slot"] < 0].iloc[0]
         n = len(meta) // 32
@@ -235,8 +242,8 @@ def _gather(percent: int):
                 low = _unpack_low(data[:total * (LOW_BITS // 8)])
                 often = np.frombuffer(data, np.uint8, total, total * (LOW_BITS // 8))
                 docs.append(np.repeat(np.arange(n), counts))
-                tokens.append((often.astype(np.uint64) << np.uint64(56))
-                              | (np.uint64(slot) << np.uint64(LOW_BITS)) | low)
+                whole_hash = _mix(low + _scaled(slot)) >> np.uint64(8)
+                tokens.append((often.astype(np.uint64) << np.uint64(56)) | whole_hash)
         docs, tokens = np.concatenate(docs), np.concatenate(tokens)
         shared = np.bincount(docs, minlength=n)
         able = (100 * shared >= percent * sizes) & (sizes > 0)
@@ -257,7 +264,7 @@ def shared_sets(docs: DataFrame, key: str, text: str, n: int, percent: int) -> D
     """rid, doc_id, n (size of the set), digest, tokens (null if no partner is possible)."""
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length(whole("text")))).first()[0] or 0
-    bits = min(16, max(MIN_BUCKETS, math.ceil(size / BUCKET_BYTES)).bit_length())
+    bits = max(MIN_BUCKETS, math.ceil(size / BUCKET_BYTES)).bit_length()
     sent = rows.mapInArrow(_send(bits, n), "slot long, batch long, blob binary")
     answered = sent.groupBy("slot").applyInPandas(
         _answer(bits), "batch long, slot long, blob binary")
@@ -308,51 +315,153 @@ def _leader_pairs(members: DataFrame, salt: int, percent: int) -> DataFrame:
     return met.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
 
 
-def _all_pairs(percent: int):
-    """All candidate pairs of different components among the tokens of one group."""
+def _order_prefix(tokens: np.ndarray, n: int, percent: int, order: int) -> np.ndarray:
+    """The shared tokens of a set's prefix under one of the hash orders, as ranks."""
+    m = prefix_length(n, percent) - (n - len(tokens))
+    return np.sort(_mix(tokens * np.uint64(ODD[order])))[:max(0, m)]
+
+
+def _signatures(percent: int):
+    """The prefixes of representatives under the other two orders."""
+    mask = np.uint64((1 << 56) - 1)
+
+    def run(batches):
+        for batch in batches:
+            reps, second, third = [], [], []
+            for rep, n, data in zip(*(c.to_pylist() for c in batch.columns)):
+                tokens = _from_planes(data) & mask
+                reps.append(rep)
+                second.append(_order_prefix(tokens, n, percent, 0).tobytes())
+                third.append(_order_prefix(tokens, n, percent, 3).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(reps, pa.int64()), pa.array(second, pa.binary()),
+                 pa.array(third, pa.binary())], ["rep", "second", "third"])
+    return run
+
+
+def _meeting(members) -> np.ndarray:
+    """For arrays of hashes: which two share one (and how many) as a square matrix."""
+    sizes = [len(m) for m in members]
+    names, place = np.unique(np.concatenate(members), return_inverse=True)
+    held = np.zeros((len(members), len(names)), np.float32)
+    held[np.repeat(np.arange(len(members)), sizes), place] = 1
+    return held @ held.T
+
+
+def _able(group: pd.DataFrame, percent: int) -> np.ndarray:
+    """Pairs of different components whose sizes fit."""
+    comp, n = group["comp"].to_numpy(), group["n"].to_numpy()
+    return ((comp[:, None] != comp) & (100 * np.minimum(n[:, None], n)
+                                       >= percent * np.maximum(n[:, None], n)))
+
+
+def _with_candidates(percent: int):
+    """The members of small groups that have a candidate: another component's set of a fitting
+    size, with a common prefix token under the other two orders as well."""
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        kept = []
+        for _, group in frame.groupby("gid", sort=False):
+            able = _able(group, percent)
+            for order in ("second", "third"):
+                if able.any():
+                    able &= _meeting([np.frombuffer(b, np.uint64) for b in group[order]]) > 0
+            kept.append(group[able.any(axis=0)][["gid", "rep", "n", "comp"]])
+        return pd.concat(kept)
+    return run
+
+
+def _few_links(percent: int):
+    """Links of small groups by their whole sets: as many as connect what is linked."""
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("token", kind="stable")
-        token, rep = frame["token"].to_numpy(), frame["rep"].to_numpy()
-        comp, n = frame["comp"].to_numpy(), frame["n"].to_numpy()
-        place = frame["place"].to_numpy()
-        cuts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1], [True])))
         left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            if b - a < 2 or (comp[a:b] == comp[a]).all():
-                continue
-            names, counts = np.unique(comp[a:b], return_counts=True)
-            largest = names[np.argmax(counts)]
-            for i in a + np.flatnonzero(comp[a:b] != largest):
-                other = slice(a, b)
-                # each pair once: against the largest component, and against later ones
-                ok = (comp[other] != comp[i]) & ((comp[other] == largest) | (rep[other] > rep[i]))
-                small, large = np.minimum(n[other], n[i]), np.maximum(n[other], n[i])
-                rest = np.minimum(n[other] - place[other], n[i] - place[i])
-                ok &= (100 * small >= percent * large)
-                ok &= (100 + percent) * rest >= percent * (n[other] + n[i])
-                found = rep[other][ok]
-                left.append(np.minimum(found, rep[i]))
-                right.append(np.maximum(found, rep[i]))
+        for _, group in frame.groupby("gid", sort=False):
+            both = _meeting([_from_planes(b) for b in group["tokens"]])
+            n, rep = group["n"].to_numpy(), group["rep"].to_numpy()
+            linked = 100 * both >= percent * (n[:, None] + n - both)
+            # each member with the first of those it reaches, step by step
+            label = np.arange(len(n))
+            while True:
+                least = np.where(linked, label, len(n)).min(axis=1)
+                moved = least < label
+                if not moved.any():
+                    break
+                by = np.where(linked & (label == least[:, None]), 1, 0).argmax(axis=1)
+                left.append(rep[moved])
+                right.append(rep[by[moved]])
+                label = least
         pairs = pd.DataFrame({"a": np.concatenate(left), "b": np.concatenate(right)})
-        return pairs.drop_duplicates()
+        return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)}).drop_duplicates()
     return run
 
 
+def _deltas(batches):
+    """How each member of a group differs from the shared tokens of the group's leader: the size
+    of the difference, how much of it no other document can share, and the rest of it."""
+    for batch in batches:
+        sizes, alone, rest = [], [], []
+        for n, data, lead in zip(*(batch.column(c).to_pylist() for c in ("n", "tokens", "lead"))):
+            own, reference = _from_planes(data), _from_planes(lead)
+            differ = np.setxor1d(own, reference, True)
+            alone.append(n - len(own))
+            sizes.append(alone[-1] + len(differ))
+            rest.append(differ.view(np.int64))
+        cuts = np.concatenate(([0], np.cumsum([len(r) for r in rest]))).astype(np.int32)
+        flat = np.concatenate(rest) if rest else np.empty(0, np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(c) for c in ("gid", "rep", "n")]
+            + [pa.array(sizes, pa.int64()), pa.array(alone, pa.int64()),
+               pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat))],
+            ["gid", "rep", "n", "size", "alone", "rest"])
+
+
+def _refined(members: DataFrame, reps: DataFrame, percent: int):
+    """Sure links inside large groups, and smaller groups for all links that remain.
+
+    For any reference set R, two sets differ by as much as their differences from R do. Let d be
+    the size of a set's difference from R (here the shared tokens of one member) and
+    f = (100 + t) d - (100 - t) n, with t the threshold in percent. Sets are linked if their f add
+    up to at most 0. If f(x) + f(y) <= 0 for any y, the same holds for the member with the smallest
+    f, which is then linked with both: so linking members with that one leaves only links between
+    sets whose differences share a token. These are found as in the join itself: both have a
+    common token in the first ``d - o + 1`` tokens of their differences, rarest in the group first,
+    where o is the least overlap a link needs. Each such token is a smaller group. Every step
+    gives as many rows as members have differing tokens, never pairs.
+    """
+    first = members.groupBy("gid").agg(F.min(F.struct(
+        F.xxhash64("rep", "gid").alias("h"), F.col("rep").alias("leader"))).alias("l"))
+    leaders = first.select("gid", F.col("l.leader").alias("leader")).join(
+        reps.select(F.col("rep").alias("leader"), F.col("tokens").alias("lead")), "leader")
+    sets = members.select("gid", "rep", "n").join(reps.select("rep", "tokens"), "rep")
+    delta = written(sets.join(leaders, "gid").select("gid", "rep", "n", "tokens", "lead").mapInArrow(
+        _deltas, "gid long, rep long, n long, size long, alone long, rest array<long>"), "deltas")
+    delta = delta.withColumn("f", (100 + percent) * F.col("size") - (100 - percent) * F.col("n"))
+    nearest = delta.groupBy("gid").agg(F.min(F.struct("f", "rep")).alias("near")).select(
+        "gid", F.col("near.f").alias("near_f"), F.col("near.rep").alias("near_rep"))
+    sure = delta.join(nearest, "gid").where(
+        (F.col("f") + F.col("near_f") <= 0) & (F.col("rep") != F.col("near_rep"))).select(
+        F.least("rep", "near_rep").alias("a"), F.greatest("rep", "near_rep").alias("b")).distinct()
+    needed = F.greatest(F.lit(1), F.ceil((F.col("f") + F.col("near_f")) / (2 * (100 + percent))))
+    rows = delta.join(nearest, "gid").select(
+        "gid", "rep", "n", (F.col("size") - needed + 1 - F.col("alone")).alias("take"),
+        F.explode("rest").alias("token"))
+    often = rows.groupBy("gid", "token").agg(F.count(F.lit(1)).alias("often"))
+    rank = F.row_number().over(Window.partitionBy("gid", "rep").orderBy("often", "token"))
+    kept = rows.join(often, ["gid", "token"]).withColumn("rank", rank).where(
+        (F.col("rank") <= F.col("take")) & (F.col("often") > 1))
+    return sure, kept.select(F.xxhash64("gid", "token").alias("gid"), "rep", "n")
+
+
 def _verify(percent: int):
     mask = np.uint64((1 << 56) - 1)
 
-    def prefix(tokens, n, order):
-        m = prefix_length(n, percent) - (n - len(tokens))
-        ranked = _mix(tokens * np.uint64(ODD[order]))
-        return np.sort(ranked)[:max(0, m)]
-
     def run(batches):
         for batch in batches:
             left, right = [], []
             for a, b, an, bn, ad, bd in zip(*(c.to_pylist() for c in batch.columns)):
                 x, y = _from_planes(ad) & mask, _from_planes(bd) & mask
                 # the other orders first: without a common prefix token there is no link
-                if all(len(np.intersect1d(prefix(x, an, k), prefix(y, bn, k), True))
+                if all(len(np.intersect1d(_order_prefix(x, an, percent, k),
+                                          _order_prefix(y, bn, percent, k), True))
                        for k in (0, 3)):
                     both = len(np.intersect1d(x, y, True))
                     if 100 * both >= percent * (an + bn - both):
@@ -400,6 +509,31 @@ def _labelled(prefixes: DataFrame, labels) -> DataFrame:
             .withColumn("comp", F.coalesce("comp", "rep")))
 
 
+def _unconnected(marked: DataFrame) -> DataFrame:
+    """The members of groups that lie in several components; of groups with the same members one
+    is kept."""
+    groups = marked.groupBy("gid").agg(
+        F.count(F.lit(1)).alias("members"), F.min("comp").alias("_low"),
+        F.max("comp").alias("_high"), F.bit_xor(F.xxhash64("rep")).alias("_one"),
+        F.sum(F.xxhash64("rep", F.lit(1)).cast("decimal(38,0)")).alias("_two"))
+    groups = groups.where("_low != _high").groupBy("members", "_one", "_two").agg(
+        F.min("gid").alias("gid")).select("gid", "members")
+    return marked.join(groups, "gid")
+
+
+def _small_groups(few: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Links inside groups of up to ``FEW`` members: the prefixes under the other two orders are
+    intersected first, then sets are fetched for members with a candidate."""
+    signs = few.select("rep").distinct().join(reps, "rep").select("rep", "n", "tokens").mapInArrow(
+        _signatures(percent), "rep long, second binary, third binary")
+    spread = F.pmod(F.xxhash64("gid"), F.lit(max(MIN_BUCKETS, few.count() // 20_000)))
+    able = few.join(signs, "rep").groupBy(spread.alias("g")).applyInPandas(
+        _with_candidates(percent), "gid long, rep long, n long, comp long")
+    sets = written(able, "candidates").select("gid", "rep", "n").join(
+        reps.select("rep", "tokens"), "rep")
+    return sets.groupBy(spread.alias("g")).applyInPandas(_few_links(percent), "a long, b long")
+
+
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N,
                percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (the smallest doc_id it reaches by links),
@@ -418,11 +552,19 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
         found = written(_links(pairs, reps, percent), "links")
         links = found if links is None else links.unionByName(found)
         labels = connected(links)
-    groups = max(1, prefixes.count() // 100_000)
-    rest = _labelled(prefixes, labels).groupBy(
-        F.pmod(F.xxhash64("token"), F.lit(max(groups, MIN_BUCKETS))).alias("g"))
-    pairs = rest.applyInPandas(_all_pairs(percent), "a long, b long").distinct()
-    labels = connected(links.unionByName(written(_links(pairs, reps, percent), "links")))
+    groups = prefixes.select(F.xxhash64("token").alias("gid"), "rep", "n")
+    while True:
+        left = written(_unconnected(_labelled(groups, labels)), "unconnected")
+        few, many = left.where(F.col("members") <= FEW), left.where(F.col("members") > FEW)
+        over = many.isEmpty()
+        links = links.unionByName(written(_small_groups(few, reps, percent), "links"))
+        if not over:
+            sure, groups = _refined(many, reps, percent)
+            links = links.unionByName(written(sure, "links"))
+            groups = written(groups, "finer-groups")
+        labels = connected(links)
+        if over:
+            break
     named = classes.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     first = named.groupBy("comp").agg(F.min("first_doc").alias("component_id"))
     named = named.join(first, "comp").select("digest", "component_id",
