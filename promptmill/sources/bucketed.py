@@ -76,22 +76,38 @@ class BucketedTable:
         return (self.spark.read.schema(self.schema).option("basePath", self._path("data"))
                 .parquet(*paths).select(*self.schema.names))
 
-    def change(self, rows: DataFrame, gone: DataFrame | None = None) -> int:
+    def _touched(self, changed: DataFrame) -> set:
+        """All buckets of the keys that occur."""
+        first = {r[0] for r in changed.select(self._first_bucket()).distinct().collect()}
+        return {b + i for b in first for i in range(self.spread)}
+
+    def _same_key(self):
+        return [F.col(f"o.{k}").eqNullSafe(F.col(f"c.{k}")) for k in self.key]
+
+    def matching(self, rows: DataFrame, version: int | None = None) -> DataFrame:
+        """The rows of the table whose key occurs in ``rows``; only their buckets are read."""
+        changed = rows.select(*self.key).distinct()
+        held = self.read(version, self._touched(changed))
+        return held.alias("o").join(changed.alias("c"), self._same_key(), "left_semi")
+
+    def change(self, rows: DataFrame, gone: DataFrame | None = None,
+               after: int | None = None) -> int:
         """Rows of the table whose key occurs in ``rows`` or ``gone`` give way to ``rows``.
 
-        Returns the new version. Repeated rows of one key are all kept, as given.
+        Returns the new version. Repeated rows of one key are all kept, as given. ``after`` names
+        the version to change (default: the newest); the same change made again after the same
+        version replaces the version it made.
         """
         rows = written(rows.select(*self.schema.names), "changed-rows")
         changed = rows.select(*self.key)
         if gone is not None:
             changed = changed.unionByName(gone.select(*self.key))
         changed = changed.distinct()
-        first = {r[0] for r in changed.select(self._first_bucket()).distinct().collect()}
-        touched = {b + i for b in first for i in range(self.spread)}
-        before = self.version()
+        touched = self._touched(changed)
+        before = self.version() if after is None else after
         held, now = self.manifest(before), before + 1
-        same = [F.col(f"o.{k}").eqNullSafe(F.col(f"c.{k}")) for k in self.key]
-        old = self.read(before, touched).alias("o").join(changed.alias("c"), same, "left_anti")
+        old = self.read(before, touched).alias("o").join(
+            changed.alias("c"), self._same_key(), "left_anti")
         path = self._path("data", f"version={now}")
         (old.unionByName(rows).withColumn("bucket", self._bucket()).hint("rebalance", "bucket")
          .write.mode("overwrite").partitionBy("bucket").parquet(path))

@@ -6,31 +6,50 @@ from pyspark.sql import functions as F
 from promptmill.functions import keys, text
 from promptmill.operators import clean
 from promptmill.session import work_folder
+from promptmill.sources.bucketed import BucketedTable
 
 
 def append_new_prompts(stream: DataFrame, pool_path: str, checkpoint: str, order_col="record_id",
                        available_now=True):
-    """Append prompts of a stream that are not in the pool yet; first one wins inside a batch.
-
-    Each micro-batch is compared by digest with the pool on disk and written to a folder of its
-    own batch number, so a batch that is run again after a failure replaces its own output instead
-    of adding to it. The folder is a partition column, which also keeps a batch from being compared
-    with its own earlier output.
+    """Append prompts of a stream that are not in the pool yet; inside a batch the row with the
+    smallest ``order_col`` (not null) wins.
+
+    Which prompts have come is keyed state, one flag for each digest, in the state store beside the
+    checkpoint: a batch reads and writes the state of its own prompts, and opens no file of the
+    pool. Each micro-batch is written to a folder of its own number, so a batch that is run again
+    after a failure starts from the state before it and replaces its own output. Wide columns pass
+    the state step as one packed text.
     """
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    rows = clean.candidate_status(stream).where(F.col("status") == "candidate")
+    rows = rows.drop("status", "prompt").withColumnRenamed("normalized", "prompt").withColumn(
+        "digest", keys.digest("prompt"))
+    packed = rows.select("digest", F.col(order_col).alias("place"),
+                         F.to_json(F.struct(*rows.columns)).alias("packed"))
+    place = packed.schema["place"].dataType.simpleString()
+
+    def first_of_key(key, frames, state):
+        if state.exists:
+            return
+        state.update((True,))
+        best = None
+        for frame in frames:
+            row = frame.loc[frame["place"].idxmin()]
+            if best is None or row["place"] < best["place"]:
+                best = row
+        yield pd.DataFrame({"place": [best["place"]], "packed": [best["packed"]]})
+
+    fresh = packed.groupBy("digest").applyInPandasWithState(
+        first_of_key, f"place {place}, packed string", "seen boolean", "append",
+        GroupStateTimeout.NoTimeout)
+    fresh = fresh.select(F.from_json("packed", rows.schema).alias("row")).select("row.*")
+
     def process(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = clean.candidate_status(batch).where(F.col("status") == "candidate")
-        rows = rows.drop("status", "prompt").withColumnRenamed("normalized", "prompt").withColumn(
-            "digest", keys.digest("prompt"))
-        winners = rows.groupBy("digest").agg(F.min(order_col).alias(order_col))
-        earlier = existing_pool(spark, pool_path, rows.select("digest").schema)
-        if earlier is not None:
-            winners = winners.join(earlier.where(F.col("batch") < batch_id).select("digest"),
-                                   "digest", "left_anti")
-        fresh = rows.join(winners.select(order_col), order_col, "left_semi")
-        fresh.write.mode("overwrite").parquet(f"{pool_path}/batch={batch_id}")
-
-    writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+        batch.write.mode("overwrite").parquet(f"{pool_path}/batch={batch_id}")
+
+    writer = fresh.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
@@ -55,30 +74,33 @@ def running_report(stream: DataFrame, time_col="ts", delay="1 hour", window="1 d
     return _report(stream.withWatermark(time_col, delay), time_col, window)
 
 
+_SUMS = ("window_start timestamp, model_id string, total_pairs long, valid_pairs long, "
+         "invalid_pairs long, total_attempts long")
+
+
 def complete_report(stream: DataFrame, path: str, checkpoint: str, time_col="ts",
-                    window="1 day") -> DataFrame:
+                    window="1 day", buckets=16) -> DataFrame:
     """The report of everything that has arrived, the last windows and late rows too.
 
-    Without a watermark no row comes too late; the state holds one row per window and model. Each
-    micro-batch writes the rows it changed to a folder of its own number, so a batch that is run
-    again replaces its own output, and the newest row of a window and model counts. Run again with
-    the same path and checkpoint, the report goes on.
+    No window is held in streaming state. The sums of windows lie in a bucketed table; a micro-batch
+    sums its own rows and adds them to the windows they fall into, late or not, and only buckets of
+    such windows are written. Batch n makes version n + 1 from version n, so a batch that is run
+    again after a failure adds nothing twice. Run again with the same path and checkpoint, the
+    report goes on.
     """
-    report = _report(stream, time_col, window)
     spark = stream.sparkSession
+    table = BucketedTable(spark, path, _SUMS, ["window_start", "model_id"], buckets)
+    sums = [c.split()[0] for c in _SUMS.split(", ")][2:]
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    (report.writeStream.foreachBatch(process).outputMode("update")
-     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-     .awaitTermination())
-    written = existing_pool(spark, path)
-    if written is None:
-        return spark.createDataFrame([], report.schema)
-    row = F.struct(*report.columns)
-    return (written.groupBy("window_start", "model_id").agg(F.max_by(row, "batch").alias("row"))
-            .select("row.*"))
+        found = _report(batch, time_col, window).select("window_start", "model_id", *sums)
+        found = table.matching(found, batch_id).unionByName(found).groupBy(
+            "window_start", "model_id").agg(*[F.sum(c).alias(c) for c in sums])
+        table.change(found, after=batch_id)
+
+    (stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+    return table.read().withColumn("validation_rate", text.rate("valid_pairs", "total_pairs"))
 
 
 def _report(pairs: DataFrame, time_col: str, window: str) -> DataFrame:
