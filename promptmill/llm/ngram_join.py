@@ -15,10 +15,11 @@ Stages:
 2. Equal sets are one class, by a digest of the whole set; further work is on representatives.
 3. Representatives that share a prefix token are linked to the leader of that token (two rounds
    with different leaders, so each token gives as many pairs as it has members). Components of the
-   links are merged. A token whose members are then still in several components is a group: one of
-   up to ``FEW`` members is compared in one task, first by the prefixes under the other two orders,
-   then, for members that still have a candidate, by whole sets; a larger one is refined into
-   smaller groups (see :func:`_refined`) until none is left. No link that would join two components is missed, and no
+   links are merged. A token whose members are then still in several components is a group. Its
+   candidate pairs between components are made if there are few for its members, as is usual. A
+   denser group of up to ``FEW`` members is compared in one task, first by the prefixes under the
+   other two orders, then, for members that still have a candidate, by whole sets; a larger one is
+   refined into smaller groups (see :func:`_refined`) until none is left. No link that would join two components is missed, and no
    step gives more rows than a fixed multiple of members.
 
 Hashes have 40 bits beside their bucket: in a bucket of a million distinct hashes about one in two
@@ -54,7 +55,10 @@ BATCH_BYTES = 4 << 20
 BATCH_DOCS = 4096
 BUCKET_BYTES = 6 << 20     # text for each bucket of hashes
 MIN_BUCKETS = 64
-FEW = 256                  # members of a group that one task compares
+PAIRS_PER_MEMBER = 8       # candidate pairs of a group that are made, on average
+FEW = 256                  # members of a group that one task compares by whole sets
+MANY = 2048                # members of a group whose candidates are counted in one task
+IS_SPARSE, IS_FEW, IS_DENSE = 0, 1, 2
 LOW_BITS = 40
 NO_ID = -(1 << 63)
 ODD = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)
@@ -349,10 +353,40 @@ def _meeting(members) -> np.ndarray:
 
 
 def _able(group: pd.DataFrame, percent: int) -> np.ndarray:
-    """Pairs of different components whose sizes fit."""
+    """Pairs of different components whose sizes, and places in the first order, fit."""
     comp, n = group["comp"].to_numpy(), group["n"].to_numpy()
-    return ((comp[:, None] != comp) & (100 * np.minimum(n[:, None], n)
-                                       >= percent * np.maximum(n[:, None], n)))
+    rest = n - group["place"].to_numpy()
+    return ((comp[:, None] != comp)
+            & (100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n))
+            & ((100 + percent) * np.minimum(rest[:, None], rest) >= percent * (n[:, None] + n)))
+
+
+def _sorted_out(percent: int):
+    """What is to become of each group: ``SPARSE`` with its candidate pairs where those are few for
+    its members, ``FEW`` members to be compared in one task, or ``DENSE``."""
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        kinds, gids, one, two = [], [], [], []
+
+        def add(kind, gid, a, b):
+            kinds.append(np.full(len(a), kind))
+            gids.append(np.full(len(a), gid))
+            one.append(a)
+            two.append(b)
+        for gid, group in frame.groupby("gid", sort=False):
+            rep = group["rep"].to_numpy()
+            left, right = np.nonzero(np.triu(_able(group, percent), 1))
+            if len(left) > PAIRS_PER_MEMBER * len(rep):
+                if len(rep) <= FEW:
+                    add(IS_FEW, gid, rep, rep)
+                else:
+                    add(IS_DENSE, gid, rep[:1], rep[:1])
+            elif len(left):
+                add(IS_SPARSE, gid, np.minimum(rep[left], rep[right]),
+                    np.maximum(rep[left], rep[right]))
+        none = np.empty(0, np.int64)
+        return pd.DataFrame({name: np.concatenate([none, *parts]).astype(np.int64) for name, parts in (
+            ("kind", kinds), ("gid", gids), ("a", one), ("b", two))})
+    return run
 
 
 def _with_candidates(percent: int):
@@ -365,7 +399,7 @@ def _with_candidates(percent: int):
             for order in ("second", "third"):
                 if able.any():
                     able &= _meeting([np.frombuffer(b, np.uint64) for b in group[order]]) > 0
-            kept.append(group[able.any(axis=0)][["gid", "rep", "n", "comp"]])
+            kept.append(group[able.any(axis=0)][["gid", "rep", "n"]])
         return pd.concat(kept)
     return run
 
@@ -448,7 +482,8 @@ def _refined(members: DataFrame, reps: DataFrame, percent: int):
     rank = F.row_number().over(Window.partitionBy("gid", "rep").orderBy("often", "token"))
     kept = rows.join(often, ["gid", "token"]).withColumn("rank", rank).where(
         (F.col("rank") <= F.col("take")) & (F.col("often") > 1))
-    return sure, kept.select(F.xxhash64("gid", "token").alias("gid"), "rep", "n")
+    return sure, kept.select(F.xxhash64("gid", "token").alias("gid"), "rep", "n",
+                             F.lit(0).cast("long").alias("place"))
 
 
 def _verify(percent: int):
@@ -510,17 +545,22 @@ def _labelled(prefixes: DataFrame, labels) -> DataFrame:
 
 
 def _unconnected(marked: DataFrame) -> DataFrame:
-    """The members of groups that lie in several components; of groups with the same members one
-    is kept."""
+    """The members of groups that lie in several components."""
     groups = marked.groupBy("gid").agg(
         F.count(F.lit(1)).alias("members"), F.min("comp").alias("_low"),
-        F.max("comp").alias("_high"), F.bit_xor(F.xxhash64("rep")).alias("_one"),
-        F.sum(F.xxhash64("rep", F.lit(1)).cast("decimal(38,0)")).alias("_two"))
-    groups = groups.where("_low != _high").groupBy("members", "_one", "_two").agg(
-        F.min("gid").alias("gid")).select("gid", "members")
+        F.max("comp").alias("_high")).where("_low != _high").select("gid", "members")
     return marked.join(groups, "gid")
 
 
+def _distinct_groups(groups: DataFrame) -> DataFrame:
+    """One of all groups that have the same members, without the places in them."""
+    marks = groups.groupBy("gid").agg(
+        F.bit_xor(F.xxhash64("rep")).alias("one"), F.count(F.lit(1)).alias("members"),
+        F.sum(F.xxhash64("rep", F.lit(1)).cast("decimal(38,0)")).alias("two"))
+    kept = marks.groupBy("members", "one", "two").agg(F.min("gid").alias("gid")).select("gid")
+    return groups.join(kept, "gid", "left_semi").withColumn("place", F.lit(0).cast("long"))
+
+
 def _small_groups(few: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Links inside groups of up to ``FEW`` members: the prefixes under the other two orders are
     intersected first, then sets are fetched for members with a candidate."""
@@ -528,8 +568,8 @@ def _small_groups(few: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
         _signatures(percent), "rep long, second binary, third binary")
     spread = F.pmod(F.xxhash64("gid"), F.lit(max(MIN_BUCKETS, few.count() // 20_000)))
     able = few.join(signs, "rep").groupBy(spread.alias("g")).applyInPandas(
-        _with_candidates(percent), "gid long, rep long, n long, comp long")
-    sets = written(able, "candidates").select("gid", "rep", "n").join(
+        _with_candidates(percent), "gid long, rep long, n long")
+    sets = written(able, "candidates").join(
         reps.select("rep", "tokens"), "rep")
     return sets.groupBy(spread.alias("g")).applyInPandas(_few_links(percent), "a long, b long")
 
@@ -552,16 +592,29 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
         found = written(_links(pairs, reps, percent), "links")
         links = found if links is None else links.unionByName(found)
         labels = connected(links)
-    groups = prefixes.select(F.xxhash64("token").alias("gid"), "rep", "n")
+    groups = prefixes.select(F.xxhash64("token").alias("gid"), "rep", "n", "place")
     while True:
         left = written(_unconnected(_labelled(groups, labels)), "unconnected")
-        few, many = left.where(F.col("members") <= FEW), left.where(F.col("members") > FEW)
-        over = many.isEmpty()
-        links = links.unionByName(written(_small_groups(few, reps, percent), "links"))
+        small = left.where(F.col("members") <= MANY)
+        spread = F.pmod(F.xxhash64("gid"), F.lit(max(MIN_BUCKETS, small.count() // 20_000)))
+        kinds = written(small.groupBy(spread.alias("g")).applyInPandas(
+            _sorted_out(percent), "kind long, gid long, a long, b long"), "kinds")
+
+        def of_kind(kind):
+            gids = kinds.where(F.col("kind") == kind).select("gid").distinct()
+            return left.join(gids, "gid", "left_semi")
+
+        pairs = kinds.where(F.col("kind") == IS_SPARSE).select("a", "b").distinct()
+        found = _links(pairs, reps, percent).unionByName(
+            _small_groups(_distinct_groups(of_kind(IS_FEW)), reps, percent))
+        dense = written(_distinct_groups(of_kind(IS_DENSE).unionByName(
+            left.where(F.col("members") > MANY))), "dense-groups")
+        over = dense.isEmpty()
         if not over:
-            sure, groups = _refined(many, reps, percent)
-            links = links.unionByName(written(sure, "links"))
+            sure, groups = _refined(dense, reps, percent)
+            found = found.unionByName(sure)
             groups = written(groups, "finer-groups")
+        links = links.unionByName(written(found, "links"))
         labels = connected(links)
         if over:
             break

@@ -52,6 +52,7 @@ def component_ids(spark, texts, **options):
 @pytest.mark.parametrize("few", [20, ngram_join.FEW])
 def test_near_copies_without_their_original(spark, monkeypatch, few):
     monkeypatch.setattr(ngram_join, "FEW", few)
+    monkeypatch.setattr(ngram_join, "PAIRS_PER_MEMBER", 2)
     texts = near_copies(130, 4)
     want = brute(texts, 5, 80)
     assert 3 < len(set(want)) < 110
@@ -59,14 +60,16 @@ def test_near_copies_without_their_original(spark, monkeypatch, few):
 
 
 def test_rows_stay_in_proportion(spark, monkeypatch):
-    """Twice the near copies give about twice the rows of finer groups and links, not four times."""
+    """Candidate pairs, finer groups and links are a few for each near copy, not one for each pair
+    of them."""
     monkeypatch.setattr(ngram_join, "FEW", 50)
+    monkeypatch.setattr(ngram_join, "PAIRS_PER_MEMBER", 2)
     counts = []
     plain = ngram_join.written
 
     def counted(df, name):
         out = plain(df, name)
-        counts.append(out.count() if name in ("unconnected", "finer-groups", "links") else 0)
+        counts.append(out.count() if name in ("kinds", "finer-groups", "links") else 0)
         return out
     monkeypatch.setattr(ngram_join, "written", counted)
     totals = []
@@ -74,7 +77,7 @@ def test_rows_stay_in_proportion(spark, monkeypatch):
         counts.clear()
         component_ids(spark, near_copies(n, 9, changes=(2, 3)), n=5, percent=80)
         totals.append(sum(counts))
-    assert totals[1] < 3 * totals[0]
+    assert totals[0] < 12 * 120 and totals[1] < 12 * 240
 
 
 def test_token_of_many_unlinked_documents(spark):
