@@ -47,6 +47,22 @@ def cleaning_summary(df: DataFrame, by=(), prompt="prompt", **limits) -> DataFra
     return classed.groupBy(*by).agg(*counts)
 
 
+LIBRARY_WORDS, SYNTHETIC_WORDS = (10, 100), (20, 80)
+
+
+def word_ranges(df: DataFrame, by="source", prompt="prompt") -> DataFrame:
+    """Prompts per source inside the word ranges for library and for generated prompts, both ends
+    included, and below and above the first."""
+    counted = computed(df.withColumn("_norm", text.normalize_prompt(prompt)),
+                       _n=text.word_count("_norm"))
+    n = F.col("_n")
+    return counted.groupBy(by).agg(
+        F.count_if(n < LIBRARY_WORDS[0]).alias("too_short"),
+        F.count_if(n.between(*LIBRARY_WORDS)).alias("library_range"),
+        F.count_if(n.between(*SYNTHETIC_WORDS)).alias("synthetic_range"),
+        F.count_if(n > LIBRARY_WORDS[1]).alias("too_long"))
+
+
 def clean_flagged_subpools(subpools: DataFrame, index: DataFrame, prompt="prompt", **limits):
     """Length-clean only the dimensions whose index row says ``skip_runtime_compat_filter``.
 

@@ -4,9 +4,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from promptmill.functions.text import col
+from promptmill.session import MAX_PARAM_ROWS, written
 
 SALTS = 128
 BIN_BITS = 16     # rows of one sort at most
+HASH_DIGITS = 4   # of a hash that name its bin: 65,536 bins of a group
 SPAN_BITS = 40    # at most 2 ** 24 bins in a span, and as many spans
 
 
@@ -31,6 +33,46 @@ def top_k_per_group(df: DataFrame, groups, order, max_k: int, k=None, rank="rank
             .where(F.col(rank) <= F.lit(max_k)).where(F.col(rank) <= limit))
 
 
+def top_k_by_hash(df: DataFrame, groups, order: str, tie: str, k, rank="rank") -> DataFrame:
+    """The first ``k`` rows of every group in the order of a hash, for ``k`` of any size.
+
+    ``order`` is a column of hexadecimal hashes (as md5 gives), ``tie`` a unique column, ``k`` a
+    number or a column that is the same all over a group. The rows of each group are counted by
+    the first digits of their hash, which tells the bin that holds the k-th one: rows of earlier
+    bins are in, and only that one bin is sorted to trim it. The final rank sorts k rows of a group,
+    never the group. Groups are told apart null-safe; rows without a hash are left out.
+    """
+    limit = col(k) if not isinstance(k, int) else F.lit(k)
+    bins = F.conv(F.substring(order, 1, HASH_DIGITS), 16, 10).cast("int")
+    rows = written(df.where(F.col(order).isNotNull()).withColumn("_limit", limit.cast("long"))
+                   .withColumn("_bin", bins), "hashed-rows")
+    names = [f"_g{i}" for i in range(len(groups))]
+    counts = rows.groupBy(*[F.col(g).alias(n) for g, n in zip(groups, names)],
+                          F.col("_bin").alias("_at")).agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_limit").alias("_most"))
+    running = Window.partitionBy(*names).orderBy("_at")
+    before = F.sum("_n").over(running) - F.col("_n")
+    edges = counts.withColumn("_before", before).where(
+        (F.col("_before") < F.col("_most")) & (F.col("_before") + F.col("_n") >= F.col("_most")))
+    edges = written(edges.select(*names, F.col("_at").alias("_edge"), "_before"), "edge-bins")
+    if edges.count() <= MAX_PARAM_ROWS:
+        edges = F.broadcast(edges)
+    same = [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(groups, names)]
+    condition = same[0] if same else F.lit(True)
+    for one in same[1:]:
+        condition = condition & one
+    placed = rows.join(edges, condition, "left")
+    # a group without an edge has no more than k rows
+    inside = placed.where((F.col("_limit") > 0) & (F.col("_edge").isNull()
+                                                   | (F.col("_bin") < F.col("_edge"))))
+    in_edge = Window.partitionBy(*groups).orderBy(order, tie)
+    trimmed = placed.where((F.col("_limit") > 0) & (F.col("_bin") == F.col("_edge"))).withColumn(
+        "_place", F.row_number().over(in_edge)).where(
+        F.col("_place") + F.col("_before") <= F.col("_limit")).drop("_place")
+    kept = inside.unionByName(trimmed).drop("_bin", "_limit", "_edge", "_before", *names)
+    return kept.withColumn(rank, F.row_number().over(in_edge))
+
+
 def unique_rank(df: DataFrame, id_col: str, rank="rank") -> DataFrame:
     """Exact 1-based rank of every row by a unique whole number.
 

@@ -7,11 +7,14 @@ from promptmill.functions import keys
 from promptmill.functions.plan import held
 from promptmill.functions.text import col
 from promptmill.operators import clean
-from promptmill.operators.ranking import top_k_per_group, unique_rank
+from promptmill.operators.ranking import top_k_by_hash, top_k_per_group, unique_rank
 from promptmill.params import taxonomy as tx
 from promptmill.session import written
 
 
+LARGE_K = 1000      # beyond it a window cannot cut groups down before they are shuffled
+
+
 def _lookup(pairs: dict, key, default=0) -> Column:
     if not pairs:
         return F.lit(default)
@@ -49,9 +52,12 @@ def stratified_sample(df: DataFrame, plan: dict, seed=20260304, id_col="record_i
     shuffled = shuffled.withColumn("_quota", _lookup(quota, "source")).withColumn(
         "_slot_quota", _lookup(slot_quota, "_slot"))
     bound = max(quota.values(), default=0) + max(slot_quota.values(), default=0)
-    near = top_k_per_group(
-        shuffled.withColumn("_k", F.col("_quota") + F.col("_slot_quota")),
-        ["_slot"], ["_h", id_col], bound, "_k", "_slot_rank").withColumnRenamed("source", "src")
+    shuffled = shuffled.withColumn("_k", F.col("_quota") + F.col("_slot_quota"))
+    if bound > LARGE_K:
+        near = top_k_by_hash(shuffled, ["_slot"], "_h", id_col, "_k", "_slot_rank")
+    else:
+        near = top_k_per_group(shuffled, ["_slot"], ["_h", id_col], bound, "_k", "_slot_rank")
+    near = near.withColumnRenamed("source", "src")
 
     extra, top_source = plan.get("planned_top_up_size", 0), plan.get("top_up_source")
     if extra and top_source:
@@ -98,6 +104,8 @@ def stratified_sample(df: DataFrame, plan: dict, seed=20260304, id_col="record_i
 def reservoir_sample(df: DataFrame, group: str, k: int, seed, key="record_id") -> DataFrame:
     """A seeded uniform sample of ``k`` rows per group."""
     ordered = df.withColumn("_h", keys.sample_order(seed, group, key))
+    if k > LARGE_K:
+        return top_k_by_hash(ordered, [group], "_h", key, k, "sample_rank").drop("_h")
     return top_k_per_group(ordered, [group], ["_h", key], k, rank="sample_rank").drop("_h")
 
 
