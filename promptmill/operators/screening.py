@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from promptmill.functions import answers, keys, text
 from promptmill.params import requests as rq
+from promptmill.session import param_table
 
 
 def number_batches(samples: DataFrame, batch_size=20, group="dimension") -> DataFrame:
@@ -42,6 +43,28 @@ def family_requests(samples: DataFrame, family: str, goal: str, focus, dimension
                                 F.col("_lines")).alias("user_prompt")))
 
 
+def shared_family_requests(samples: DataFrame, dimensions: dict, batch_size=20) -> DataFrame:
+    """Request texts of all shared families in one pass.
+
+    ``samples``: ``family_name, rank`` (from 1 in each family), ``sample_id, prompt``;
+    ``dimensions`` names the target dimensions of each family. Goals and focus cues are those of the
+    screening spec; samples of other families are left out.
+    """
+    heads = param_table(samples.sparkSession, [
+        (family, "\n".join(rq.family_lines(family, *rq.FAMILY_GOALS[family], dims)))
+        for family, dims in dimensions.items()], "family_name string, _head string")
+    numbered = samples.withColumn("batch_no", F.floor((F.col("rank") - 1) / batch_size).cast(
+        "int") + 1)
+    line = F.concat(F.lit('- sample_id="'), "sample_id", F.lit('" prompt="'), "prompt", F.lit('"'))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("rank", line.alias("line")))),
+                        lambda s: s["line"])
+    return (numbered.join(heads, "family_name").groupBy("family_name", "batch_no")
+            .agg(F.count(F.lit(1)).alias("batch_size"), F.first("_head").alias("_head"),
+                 lines.alias("_lines"))
+            .select("family_name", "batch_no", "batch_size",
+                    F.concat_ws("\n", "_head", "_lines").alias("user_prompt")))
+
+
 def parse_answers(raw: DataFrame, raw_col="raw_content") -> DataFrame:
     """One row per answered item: ``sample_id, label, confidence, reason`` as text."""
     items = answers.with_result_items(raw, raw_col, "_items")

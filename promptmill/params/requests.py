@@ -118,6 +118,28 @@ ANCHOR_INSTRUCTION = ("The prompt must not already exhibit the target degradatio
                       "describe a clean positive anchor where the relevant structure is clearly "
                       "present, natural, and intact.")
 
+# Screening goal and focus cues of the shared families.
+FAMILY_GOALS = {
+    "human_full_body_realistic": (
+        "保留至少一个可读主人物的人体场景，优先自然人体呈现，并让身体、肢体或头身比例线索足够清楚，供 body_proportion_error 和 extra_limbs 复用。",
+        ["at least one readable main human subject",
+         "natural human presentation is preferred, but stylization is allowed if body readability remains clear",
+         "body, limbs, or head-to-body relation should be readable enough for later anatomical degradation",
+         "multi-person scenes are allowed when one main subject remains clearly readable",
+         "exclude non-human or heavily transformed humanoids, mannequin-like subjects, and explicit adult-pose prompts"]),
+    "structured_object_primary": (
+        "保留有单个主导性结构化非生物物体的 prompt，确保轮廓、部件和材质观感可读。",
+        ["one dominant structured non-living object",
+         "shape, parts, and surface material are easy to perceive",
+         "exclude biology-dominant or overly crowded scenes"]),
+    "multi_object_reference": (
+        "先做轻量规则预筛，再保留多个可读实体、或一个主体加清楚参照关系的 prompt；实体可以是物体、人或动物。",
+        ["entities may be objects, humans, or animals",
+         "at least two readable entities, or one main subject with a clear reference context",
+         "object boundaries or object relations are readable",
+         "do not require highly explicit geometric language"]),
+}
+
 DEFAULT_SCENE_BUCKET = "objects_products_tools"
 
 

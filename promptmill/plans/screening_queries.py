@@ -5,6 +5,7 @@ the text of a request takes one of the shapes answers really have (plain, fenced
 broken).
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from promptmill.functions import answers
@@ -141,22 +142,33 @@ def screening_requests(v):
         "dimension", "batch_no", "batch_size", F.md5("user_prompt").alias("request_md5"))
 
 
-GOAL, FOCUS = "readable people", ["one subject", "clear limbs"]
-FAMILY = "human_full_body_realistic"
-FAMILY_HEAD = "\n".join(rq.family_lines(FAMILY, GOAL, FOCUS, tx.FAMILY_DIMENSIONS[FAMILY]))
+FAMILY_OF = {d: f for f, dims in tx.FAMILY_DIMENSIONS.items() for d in dims}
+FAMILY_HEADS = ", ".join(
+    f"({q(f)}, {q(chr(10).join(rq.family_lines(f, *rq.FAMILY_GOALS[f], dims)))})"
+    for f, dims in tx.FAMILY_DIMENSIONS.items())
 
 
 @query("family_requests", "QTA10", f"""
-WITH {SAMPLES_SQL}, b AS (SELECT CAST((rank - 1) // 20 + 1 AS INT) AS batch_no, rank,
-  '- sample_id="' || sample_id || '" prompt="' || prompt || '"' AS line FROM named
-  WHERE dimension = 'body_proportion_error')
-SELECT batch_no, count(*) AS batch_size, md5({q(FAMILY_HEAD)} || chr(10) ||
-  string_agg(line, chr(10) ORDER BY rank)) AS request_md5 FROM b GROUP BY 1""")
+WITH {SAMPLES_SQL}, heads(family_name, head) AS (VALUES {FAMILY_HEADS}),
+of(dimension, family_name) AS (VALUES {", ".join(f"({q(d)}, {q(f)})" for d, f in FAMILY_OF.items())}),
+placed AS (SELECT of.family_name, n.sample_id, n.prompt, row_number() OVER (PARTITION BY
+  of.family_name ORDER BY n.dimension, n.rank) AS place FROM named n JOIN of
+  ON of.dimension = n.dimension),
+b AS (SELECT family_name, CAST((place - 1) // 20 + 1 AS INT) AS batch_no, place,
+  '- sample_id="' || sample_id || '" prompt="' || prompt || '"' AS line FROM placed)
+SELECT b.family_name, batch_no, count(*) AS batch_size, md5(any_value(head) || chr(10) ||
+  string_agg(line, chr(10) ORDER BY place)) AS request_md5
+FROM b JOIN heads h ON h.family_name = b.family_name GROUP BY 1, 2""")
 def family_requests(v):
-    people = samples(v).where("dimension = 'body_proportion_error'")
-    return screening.family_requests(people, FAMILY, GOAL, FOCUS,
-                                     tx.FAMILY_DIMENSIONS[FAMILY]).select(
-        "batch_no", "batch_size", F.md5("user_prompt").alias("request_md5"))
+    """The samples of all dimensions that share a family are screened together."""
+    family = F.create_map(*[F.lit(x) for pair in FAMILY_OF.items() for x in pair])
+    rows = samples(v).withColumn("family_name", F.element_at(family, F.col("dimension"))).where(
+        "family_name IS NOT NULL")
+    # at most 45 samples of each dimension
+    place = F.row_number().over(Window.partitionBy("family_name").orderBy("dimension", "rank"))
+    return screening.shared_family_requests(
+        rows.withColumn("rank", place), tx.FAMILY_DIMENSIONS).select(
+        "family_name", "batch_no", "batch_size", F.md5("user_prompt").alias("request_md5"))
 
 
 @query("parsed_prompt_lists", "PRS3", """
