@@ -58,4 +58,5 @@ WITH {ACTIONS_SQL} SELECT pair_id, attempt, status, failure, CASE WHEN status =
     THEN 'anchor_negative' ELSE 'rewrite' END AS next_action FROM w""")
 def streamed_next_actions(v):
     attempts = attempts_of(streaming(v).table("conversations"))
-    return incremental.run_to_table(incremental.stream_next_actions(attempts, 6), "next-actions")
+    return incremental.newest_actions(incremental.run_to_table(
+        incremental.stream_corrected_actions(attempts, 6), "next-actions"))

@@ -162,6 +162,68 @@ def stream_next_actions(stream: DataFrame, max_retries: int) -> DataFrame:
         step, _ACTIONS, _STATE, "append", GroupStateTimeout.NoTimeout)
 
 
+_CORRECTED = f"{_ACTIONS}, version int"
+
+
+def stream_corrected_actions(stream: DataFrame, max_retries: int) -> DataFrame:
+    """Next actions of attempts that arrive in any order, over any number of batches.
+
+    What an attempt leads to depends on earlier ones only by which incompatible and which drifted
+    attempt of the pair was the first. These two are the state of a pair, whatever it has seen.
+    A late attempt that turns out to be first takes that place, and the one that had it is given
+    out again with its new action and a higher ``version``; :func:`newest_actions` keeps the last
+    word. Attempts are numbered without repetition inside a pair.
+    """
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    none = 2 ** 31 - 1
+
+    def first(attempts, held):
+        return min(held, int(attempts.min())) if len(attempts) else held
+
+    def step(key, frames, state):
+        incompatible, drifted, version = state.get if state.exists else (none, none, 0)
+        for frame in frames:
+            version += 1
+            attempt = frame["attempt"].to_numpy()
+            status, failure = frame["status"], frame["failure"]
+            failed = (status == "failed").to_numpy()
+            odd = failed & (failure == "positive_incompatible").to_numpy()
+            drift = (failed & (failure == "style_drift").to_numpy() & (attempt < max_retries)
+                     & frame["style_type"].fillna("").ne("").to_numpy())
+            before = incompatible, drifted
+            incompatible, drifted = first(attempt[odd], incompatible), first(attempt[drift], drifted)
+            out = pd.DataFrame({"attempt": attempt, "status": status, "failure": failure,
+                                "next_action": np.select(
+                [(status == "success").to_numpy(), (status == "skipped").to_numpy(),
+                 failed & (failure == "positive_content_mismatch").to_numpy(),
+                 odd & (attempt > incompatible), attempt >= max_retries, odd,
+                 drift & (attempt == drifted)],
+                ["done", "stop_skipped", "stop_content_mismatch", "stop_still_incompatible",
+                 "stop_exhausted", "anchor_positive", "anchor_negative"], "rewrite")})
+            again = [(old, "failed", name, action) for old, new, name, action in (
+                (before[0], incompatible, "positive_incompatible", "stop_still_incompatible"),
+                (before[1], drifted, "style_drift", "rewrite")) if new < old < none]
+            if again:
+                out = pd.concat([out, pd.DataFrame(again, columns=list(out.columns))])
+            yield out.assign(pair_id=key[0], version=version)[
+                ["pair_id", "attempt", "status", "failure", "next_action", "version"]]
+        state.update((incompatible, drifted, version))
+
+    return stream.groupBy("pair_id").applyInPandasWithState(
+        step, _CORRECTED, "incompatible int, drifted int, version int", "append",
+        GroupStateTimeout.NoTimeout)
+
+
+def newest_actions(given: DataFrame) -> DataFrame:
+    """The action of every attempt as last given out."""
+    return given.groupBy("pair_id", "attempt").agg(F.max_by(F.struct(
+        "status", "failure", "next_action"), "version").alias("last")).select(
+        "pair_id", "attempt", "last.*")
+
+
 def run_to_table(result: DataFrame, name: str, mode="append") -> DataFrame:
     """Run a streaming query over everything available now and read its written output."""
     spark = result.sparkSession

@@ -2,8 +2,11 @@
 
 import json
 
+import random
+
 from pyspark.sql import functions as F
 
+from promptmill.operators import attempts as at
 from promptmill.streaming import incremental
 
 
@@ -87,3 +90,48 @@ def test_a_repeated_batch_adds_nothing(spark, tmp_path):
     (tmp_path / "c" / "commits" / ".0.crc").unlink(missing_ok=True)
     assert report(spark, tmp_path) == first
     assert report(spark, tmp_path) == first
+
+
+ATTEMPT = "pair_id long, attempt int, status string, failure string, style_type string"
+
+
+def random_attempts(seed, pairs, longest):
+    rng = random.Random(seed)
+    return [(p, n, *rng.choice([
+        ("failed", "positive_incompatible", None), ("failed", "style_drift", "realistic"),
+        ("failed", "style_drift", None), ("failed", "content_drift", "realistic"),
+        ("failed", "positive_content_mismatch", None), ("success", None, None),
+        ("skipped", None, None), ("error", None, None)]))
+        for p in range(pairs) for n in range(rng.randint(1, longest))]
+
+
+def actions_of(spark, folder):
+    stream = spark.readStream.schema(ATTEMPT).option("maxFilesPerTrigger", 1).parquet(folder)
+    got = incremental.run_to_table(incremental.stream_corrected_actions(stream, 4), "corrected")
+    return incremental.newest_actions(got)
+
+
+def test_attempts_in_any_order_over_batches(spark, tmp_path):
+    rows = random_attempts(4, 60, 9)
+    shuffled = random.Random(1).sample(rows, len(rows))
+    folder = str(tmp_path / "attempts")
+    for part in range(3):
+        spark.createDataFrame(shuffled[part::3], ATTEMPT).coalesce(1).write.mode("append").parquet(
+            folder)
+    got = actions_of(spark, folder)
+    want = at.next_actions(spark.createDataFrame(rows, ATTEMPT), 4).select(*got.columns)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_pair_of_many_attempts(spark, tmp_path):
+    """The latest attempts arrive first; the state of the pair stays three numbers."""
+    n = 30_000
+    rows = [(1, i, "failed", ("positive_incompatible", "style_drift")[i % 2], "realistic")
+            for i in range(n)]
+    folder = str(tmp_path / "attempts")
+    for part in (rows[n // 2:], rows[:n // 2]):
+        spark.createDataFrame(part[::-1], ATTEMPT).coalesce(1).write.mode("append").parquet(folder)
+    got = {r.attempt: r.next_action for r in actions_of(spark, folder).collect()}
+    assert len(got) == n
+    assert got[0] == "anchor_positive" and got[1] == "anchor_negative" and got[3] == "rewrite"
+    assert all(got[i] == ("stop_still_incompatible", "stop_exhausted")[i % 2] for i in range(4, n))
