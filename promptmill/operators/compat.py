@@ -17,18 +17,27 @@ from promptmill.params.taxonomy import Requirement
 FACE_RULE_DIMENSIONS = ("face_asymmetry", "extra_limbs")
 
 
-def special_rule_reason(dimension: str, prompt, lowered) -> Column:
+# Word lists of the text rules, by what they stand for.
+RULE_WORDS = {"visual_text": lx.WORDS_VISUAL_TEXT, "back_view": lx.WORDS_BACK_VIEW,
+              "animal": lx.WORDS_ANIMAL, "strong_face": lx.WORDS_STRONG_FACE,
+              "human": lx.WORDS_HUMAN}
+
+
+def special_rule_reason(dimension: str, prompt, lowered, words=None) -> Column:
     """Reason a prompt breaks the dimension's text rules; null when it passes."""
     prompt, lowered = col(prompt), col(lowered)
+    words = {**RULE_WORDS, **(words or {})}
+
+    def says(name):
+        return contains_word(lowered, words[name])
+
     if dimension == "text_error":
-        fits = text.has_quote_character(prompt) & contains_word(lowered, lx.WORDS_VISUAL_TEXT)
+        fits = text.has_quote_character(prompt) & says("visual_text")
         return F.when(~fits, F.lit("missing_quote_or_visual_text"))
     if dimension in FACE_RULE_DIMENSIONS:
-        return (F.when(contains_word(lowered, lx.WORDS_BACK_VIEW), F.lit("back_view"))
-                .when(contains_word(lowered, lx.WORDS_ANIMAL), F.lit("non_human"))
-                .when(~(contains_word(lowered, lx.WORDS_STRONG_FACE)
-                        & contains_word(lowered, lx.WORDS_HUMAN)),
-                      F.lit("missing_face_or_human")))
+        return (F.when(says("back_view"), F.lit("back_view"))
+                .when(says("animal"), F.lit("non_human"))
+                .when(~(says("strong_face") & says("human")), F.lit("missing_face_or_human")))
     return F.lit(None).cast("string")
 
 

@@ -55,6 +55,30 @@ def special_rule_reasons(v):
         "dimension", "reason").agg(F.count(F.lit(1)).alias("prompts"))
 
 
+# Words that occur in the corpus, so that every branch of the rules has rows on both sides.
+OCCURRING = {"visual_text": ["license", "mit", "the"], "back_view": ["idiot", "scum", "keit"],
+             "animal": ["moron", "stupid", "ung"], "strong_face": ["the", "der", "en"],
+             "human": ["and", "die", "la"]}
+RULE_DIMENSIONS = ["text_error", "extra_limbs", "face_asymmetry"]
+_RULE_COUNTS = " UNION ALL ".join(
+    f"SELECT {q(d)} AS dimension, {sql_special(d, words=OCCURRING)} AS reason, count(*) AS prompts "
+    "FROM p GROUP BY 1, 2" for d in RULE_DIMENSIONS)
+
+
+@query("special_rule_branches", "FLT6", f"""
+WITH p AS (SELECT prompt, lower(prompt) AS low FROM (SELECT text || CASE WHEN doc_id % 2 = 0
+  THEN {q(" 'sign'")} ELSE '' END AS prompt FROM documents))
+{_RULE_COUNTS}""")
+def special_rule_branches(v):
+    """The rules under words of the corpus; every second prompt has a quoted word behind it."""
+    quoted = F.concat("prompt", F.when(F.col("record_id") % 2 == 0, F.lit(" 'sign'")).otherwise(
+        F.lit("")))
+    rules = F.array(*[F.struct(F.lit(d).alias("dimension"), compat.special_rule_reason(
+        d, "prompt", "_lower", OCCURRING).alias("reason")) for d in RULE_DIMENSIONS])
+    return compat.with_lower(v.prompts().withColumn("prompt", quoted)).select(
+        F.inline(rules)).groupBy("dimension", "reason").agg(F.count(F.lit(1)).alias("prompts"))
+
+
 @query("row_compatibility", "FLT7", f"""
 WITH {SQL_TAGGED} SELECT record_id, {', '.join(
     f'{sql_compatible(d)} AS {d}' for d in ROW_DIMENSIONS)} FROM tagged""")

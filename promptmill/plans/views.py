@@ -243,16 +243,17 @@ SQL_RUNS = f"""runs AS (
   ON o_orderkey = l_orderkey)"""
 
 
-def sql_special(dimension: str, prompt="prompt", low="low") -> str:
+def sql_special(dimension: str, prompt="prompt", low="low", words=None) -> str:
     """Reason of the text rules, NULL when the prompt passes."""
+    words = {**compat.RULE_WORDS, **(words or {})}
     if dimension == "text_error":
         return (f"(CASE WHEN NOT ((contains({prompt}, '''') OR contains({prompt}, '\"')) AND "
-                f"{sql_word(low, lx.WORDS_VISUAL_TEXT)}) THEN 'missing_quote_or_visual_text' END)")
+                f"{sql_word(low, words['visual_text'])}) THEN 'missing_quote_or_visual_text' END)")
     if dimension in compat.FACE_RULE_DIMENSIONS:
-        return (f"(CASE WHEN {sql_word(low, lx.WORDS_BACK_VIEW)} THEN 'back_view' "
-                f"WHEN {sql_word(low, lx.WORDS_ANIMAL)} THEN 'non_human' "
-                f"WHEN NOT ({sql_word(low, lx.WORDS_STRONG_FACE)} AND "
-                f"{sql_word(low, lx.WORDS_HUMAN)}) THEN 'missing_face_or_human' END)")
+        return (f"(CASE WHEN {sql_word(low, words['back_view'])} THEN 'back_view' "
+                f"WHEN {sql_word(low, words['animal'])} THEN 'non_human' "
+                f"WHEN NOT ({sql_word(low, words['strong_face'])} AND "
+                f"{sql_word(low, words['human'])}) THEN 'missing_face_or_human' END)")
     return "CAST(NULL AS VARCHAR)"
 
 
