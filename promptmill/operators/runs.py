@@ -240,6 +240,31 @@ def timing_summary(pairs: DataFrame, seconds="seconds") -> DataFrame:
                                  "total_generation_time", F.col("success_count") * 2, 2))
 
 
+LEAST_GAP = 0.5
+
+
+def score_gap_pairs(pairs: DataFrame, least_gap=LEAST_GAP) -> DataFrame:
+    """Pairs whose positive score lies so far above the negative one; unscored pairs go."""
+    gap = F.col("positive_score") - F.col("negative_score")
+    return pairs.withColumn("score_gap", gap).where(gap >= least_gap)
+
+
+def score_statistics(pairs: DataFrame, by=()) -> DataFrame:
+    """Pairs with both scores, their average scores and average difference, to four digits.
+
+    Scores are best given as decimals, whose sums do not depend on the order of rows.
+    """
+    scored = pairs.where(F.col("positive_score").isNotNull() & F.col("negative_score").isNotNull())
+    sums = scored.groupBy(*by).agg(F.count(F.lit(1)).alias("total_pairs"),
+                                   F.sum("positive_score").cast("double").alias("_p"),
+                                   F.sum("negative_score").cast("double").alias("_n"))
+    return sums.select(*by, "total_pairs", *[
+        F.when(F.col("total_pairs") > 0, F.bround(total / F.col("total_pairs"), 4)).alias(name)
+        for name, total in (("average_positive_score", F.col("_p")),
+                            ("average_negative_score", F.col("_n")),
+                            ("average_score_difference", F.col("_p") - F.col("_n")))])
+
+
 def successful_pairs(pairs: DataFrame, negative="negative_prompt") -> DataFrame:
     """Rows that have a negative prompt."""
     return pairs.where(F.coalesce(negative, F.lit("")) != "")

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promptmill.functions import text
+from promptmill.functions.plan import computed
 from promptmill.functions.text import col, contains_any
 from promptmill.params import lexicon as lx
 
@@ -122,6 +123,35 @@ def macro_category(tags, lowered) -> Column:
     return category.otherwise(F.lit(lx.DEFAULT_MACRO))
 
 
+# Words of the finer signature flags; all are parameters.
+SIGNATURE_WORDS = {
+    "contains_hands_visible": ["hand", "hands", "finger", "fingers", "holding"],
+    "contains_full_body": ["full body", "standing", "walking", "running"],
+    "contains_closeup_face": ["close-up", "headshot", "portrait"],
+    "contains_explicit_text_literal": ["text", "sign", "saying", "written"],
+    "contains_reflection_surface": ["mirror", "reflection", "water surface", "glass"],
+    "contains_count_constraint": ["two", "three", "four", "five", "several"],
+    "contains_multiple_distinct_objects": ["next to", "beside", "and a"],
+    "contains_indoor_layout": ["room", "kitchen", "office", "indoor"],
+    "contains_action_pose": ["jumping", "dancing", "playing", "riding"],
+    "contains_human_subject": ["person", "man", "woman", "child", "people"],
+    "contains_animal_subject": ["dog", "cat", "bird", "horse", "animal"],
+}
+
+
+def with_signature_flags(df: DataFrame, words=None, prompt="prompt") -> DataFrame:
+    """Adds one boolean for each flag: a whole word or phrase of it occurs in any case. A text in
+    quotes alone makes an explicit text literal. Null prompts have no flag."""
+    raw = F.coalesce(col(prompt), F.lit(""))
+    lowered = df.withColumn("_low", F.lower(raw))
+    flags = {name: text.contains_word("_low", some)
+             for name, some in (words or SIGNATURE_WORDS).items()}
+    literal = "contains_explicit_text_literal"
+    if literal in flags:
+        flags[literal] = flags[literal] | text.has_quoted_text(raw)
+    return computed(lowered, **flags).drop("_low")
+
+
 def with_macro_category(df: DataFrame, prompt="prompt", tags="semantic_tags") -> DataFrame:
     lowered = df.withColumn("_lower", F.lower(F.coalesce(col(prompt), F.lit(""))))
     return lowered.withColumn("macro_taxonomy", macro_category(tags, "_lower")).drop("_lower")

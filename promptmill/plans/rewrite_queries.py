@@ -1,12 +1,14 @@
-"""Queries over booster removal, rule-based degradation and samples to a target distribution."""
+"""Queries over booster removal, rule-based degradation, samples to a target distribution, finer
+signature flags and score statistics."""
 
 from pyspark.sql import functions as F
 
-from promptmill.operators import clean, compat, distribution, rewriting
+from promptmill.functions.text import SPACE_CHARS
+from promptmill.operators import clean, compat, distribution, rewriting, runs, tagging
 from promptmill.params import taxonomy as tx
 from promptmill.plans.registry import query
-from promptmill.plans.views import SQL_PROMPTS, pick, q, sql_any, sql_list, sql_norm, sql_pick, sql_words
-from promptmill.functions.text import SPACE_CHARS
+from promptmill.plans.views import (QUOTED_SQL, SQL_PROMPTS, pick, q, sql_any, sql_list, sql_norm,
+                                    sql_pick, sql_word, sql_words)
 
 # Phrases that occur in the corpus; some hold shorter ones, and some follow each other.
 PHRASES = ["of the", "the", "and the", "to", "on the", "in the", "the is", "der", "und die", "die",
@@ -165,3 +167,62 @@ SELECT source, count(*) FILTER (WHERE n < 10) AS too_short, count(*) FILTER (WHE
   count(*) FILTER (WHERE n > 100) AS too_long FROM w GROUP BY 1""")
 def word_range_classes(v):
     return clean.word_ranges(v.prompts())
+
+
+# ---- finer flags and scores ------------------------------------------------------------------------
+
+# Words of the corpus, one list for each flag.
+FLAG_WORDS = {name: words for name, words in zip(tagging.SIGNATURE_WORDS, [
+    ["hand", "mit"], ["license", "licensed"], ["idiot", "moron"], ["apache", "version"], ["lake"],
+    ["one", "eine", "une"], ["and", "und"], ["in", "dans"], ["was", "is"], ["the", "der"],
+    ["trash", "clown"]])}
+
+
+def _sql_flag(name: str) -> str:
+    test = sql_word("low", FLAG_WORDS[name])
+    if name == "contains_explicit_text_literal":
+        test = f"({test} OR regexp_matches(prompt, {QUOTED_SQL}))"
+    return test
+
+
+@query("signature_flags", "TAG9", f"""
+WITH {SQL_PROMPTS}, l AS (SELECT source, coalesce(prompt, '') AS prompt,
+  lower(coalesce(prompt, '')) AS low FROM prompts)
+SELECT source, {', '.join(f'count(*) FILTER (WHERE {_sql_flag(n)}) AS {n}' for n in FLAG_WORDS)}
+FROM l GROUP BY 1""")
+def signature_flags(v):
+    flagged = tagging.with_signature_flags(v.prompts(), FLAG_WORDS)
+    return flagged.groupBy("source").agg(*[F.count_if(F.col(n)).alias(n) for n in FLAG_WORDS])
+
+
+SQL_SCORED = """scored AS (SELECT l_returnflag AS severity, CAST(l_quantity / 50 AS DECIMAL(18, 4))
+  AS positive_score, CAST(CASE WHEN l_linenumber % 7 = 0 THEN NULL ELSE l_discount * 8 END
+  AS DECIMAL(18, 4)) AS negative_score FROM lineitem)"""
+
+
+def scored_pairs(v):
+    """Line items as pairs of scored images; some have no negative score."""
+    return v.table("lineitem").select(
+        F.col("l_returnflag").alias("severity"),
+        (F.col("l_quantity") / 50).cast("decimal(18,4)").alias("positive_score"),
+        F.when(F.col("l_linenumber") % 7 != 0, F.col("l_discount") * 8).cast(
+            "decimal(18,4)").alias("negative_score"))
+
+
+def _sql_scores(where: str) -> str:
+    return f"""WITH {SQL_SCORED}, g AS (SELECT severity, count(*) AS total_pairs,
+  CAST(sum(positive_score) AS DOUBLE) AS p, CAST(sum(negative_score) AS DOUBLE) AS n FROM scored
+  WHERE negative_score IS NOT NULL AND {where} GROUP BY 1)
+SELECT severity, total_pairs, round_even(p / total_pairs, 4) AS average_positive_score,
+  round_even(n / total_pairs, 4) AS average_negative_score,
+  round_even((p - n) / total_pairs, 4) AS average_score_difference FROM g"""
+
+
+@query("score_statistics", "AGG23", _sql_scores("TRUE"))
+def score_statistics(v):
+    return runs.score_statistics(scored_pairs(v), ["severity"])
+
+
+@query("score_gap_statistics", "FLT26 AGG23", _sql_scores("positive_score - negative_score >= 0.5"))
+def score_gap_statistics(v):
+    return runs.score_statistics(runs.score_gap_pairs(scored_pairs(v)), ["severity"])

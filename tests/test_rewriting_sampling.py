@@ -158,3 +158,27 @@ def test_subject_rule(spark):
                                 ("",)], "p string")
     got = [r[0] for r in df.select(distribution.subject_category(F.lower("p"))).collect()]
     assert got == ["People", "Nature", "Objects", "Objects"]
+
+
+def test_signature_flags(spark):
+    from promptmill.operators import tagging
+    rows = [(1, "A woman holding a cup next to two dogs"), (2, "a sign saying 'open'"),
+            (3, "it reads 'hello'"), (4, None), (5, "handsome mannequin"), (6, "Close-up of a DOG")]
+    df = spark.createDataFrame(rows, "i int, prompt string")
+    got = {r.i: {k for k, v in r.asDict().items() if v is True}
+           for r in tagging.with_signature_flags(df).collect()}
+    assert got == {1: {"contains_hands_visible", "contains_human_subject",
+                       "contains_count_constraint", "contains_multiple_distinct_objects"},
+                   2: {"contains_explicit_text_literal"}, 3: {"contains_explicit_text_literal"},
+                   4: set(), 5: set(), 6: {"contains_closeup_face", "contains_animal_subject"}}
+
+
+def test_scores(spark):
+    from promptmill.operators import runs
+    rows = [("a", 0.9, 0.2), ("a", 0.8, 0.5), ("a", None, 0.1), ("b", 0.7, None), ("c", 1.0, 0.5)]
+    df = spark.createDataFrame(rows, "severity string, positive_score double, negative_score double")
+    assert {tuple(r) for r in runs.score_statistics(df, ["severity"]).collect()} == {
+        ("a", 2, 0.85, 0.35, 0.5), ("c", 1, 1.0, 0.5, 0.5)}
+    assert sorted(r.severity for r in runs.score_gap_pairs(df).collect()) == ["a", "c"]
+    none = runs.score_statistics(df.limit(0)).collect()[0]
+    assert none.total_pairs == 0 and none.average_score_difference is None
