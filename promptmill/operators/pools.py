@@ -23,8 +23,8 @@ def match_source(results: DataFrame, source: DataFrame, order_col="record_id") -
                              order_col)
     wanted = results.withColumn("_digest", keys.digest("prompt")).withColumn(
         "_result", F.col(order_col)).drop("prompt", order_col)
-    # One record per prompt, only for prompts that have results; a prompt with very many results
-    # is spread over salts.
+    # One record per prompt, only for prompts that have results; the results of a very frequent
+    # prompt are split by adaptive skew handling.
     keyed = first.withColumn("_digest", keys.digest("prompt")).join(
         wanted.select("_digest").distinct(), "_digest", "left_semi")
     return wanted.join(keyed, "_digest", "left").where(

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from promptmill.functions import text
 from promptmill.params import requests as rq
 
+BLOCK_OF_REQUESTS = 10_000
+
 
 def normalize_weights(df: DataFrame, weight="weight") -> DataFrame:
     """Weights clipped at zero and scaled to one; equal weights when nothing is left."""
@@ -96,7 +98,12 @@ def request_plan(plans: DataFrame, buckets: DataFrame, chunk=5, max_requests=Non
              .withColumn("_chunks", F.ceil(F.col("bucket_prompts") / chunk).cast("long"))
              .withColumn("_before", F.coalesce(F.sum("_chunks").over(order), F.lit(0)))
              .drop("_one"))
-    jobs = (sized.withColumn("chunk_index", F.explode(F.sequence(F.lit(1), F.col("_chunks"))))
+    # in blocks, so that no row ever holds all requests of a large bucket
+    blocks = F.sequence(F.lit(0), F.expr(f"(_chunks - 1) div {BLOCK_OF_REQUESTS}"))
+    first = F.col("_block") * BLOCK_OF_REQUESTS
+    inside = F.sequence(first + 1, F.least(first + BLOCK_OF_REQUESTS, F.col("_chunks")))
+    jobs = (sized.withColumn("_block", F.explode(blocks))
+            .withColumn("chunk_index", F.explode(inside)).drop("_block")
             .withColumn("request_id", F.col("_before") + F.col("chunk_index"))
             .withColumn("requested_prompts", F.least(
                 F.lit(chunk), F.col("bucket_prompts") - (F.col("chunk_index") - 1) * chunk))

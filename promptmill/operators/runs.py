@@ -214,6 +214,26 @@ def validation_by_dimension(pairs: DataFrame) -> DataFrame:
         F.sum(tries).alias("attempts"))
 
 
+def validation_breakdown(pairs: DataFrame) -> DataFrame:
+    """The report by dimension, by degradation level and in all, in one pass: ``part`` names the
+    split and ``name`` its value; pairs without any attempt are left out of the splits."""
+    ok, tries = _success(), _attempts(pairs)
+    tried = pairs.where(tries > 0)
+    dimension, severity = F.col("dimension"), F.col("severity")
+    sums = tried.groupingSets([[dimension], [severity], []], dimension, severity).agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("total_pairs"),
+        F.count_if(ok).alias("valid"), F.count_if(~ok).alias("invalid"),
+        F.coalesce(F.sum(tries), F.lit(0)).alias("attempts"),
+        F.count_if(ok & (tries == 1)).alias("first_try_success"))
+    part = F.when(F.col("_set") == 1, "dimension").when(F.col("_set") == 2, "severity")
+    return sums.select(
+        F.coalesce(part, F.lit("all")).alias("part"),
+        F.when(F.col("_set") == 1, F.col("dimension")).when(
+            F.col("_set") == 2, F.col("severity")).alias("name"),
+        "total_pairs", "valid", "invalid", "attempts", "first_try_success",
+        text.rate("valid", "total_pairs").alias("validation_rate"))
+
+
 def validation_failure_types(attempts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Failure types per failed attempt, plus one ``error`` for every pair without attempts."""
     failed = attempts.where(F.col("status") == "failed").select(

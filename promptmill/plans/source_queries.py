@@ -159,3 +159,34 @@ def written_run(v):
     writers.write_run(v.pairs(), root)
     return v.spark.read.parquet(f"{root}/dataset").groupBy("severity").agg(
         F.count(F.lit(1)).alias("pairs"))
+
+
+BREAKDOWN = "total_pairs long, valid long, invalid long, attempts long, first_try_success long"
+
+
+def _sql_breakdown(part, name) -> str:
+    return f"""SELECT {part} AS part, {name} AS name, count(*) AS total_pairs, count(*) FILTER
+  (WHERE success) AS valid, count(*) FILTER (WHERE NOT success) AS invalid,
+  CAST(sum(total_attempts) AS BIGINT) AS attempts, count(*) FILTER (WHERE success AND
+  total_attempts = 1) AS first_try_success, round_even(count(*) FILTER (WHERE success) / count(*), 4)
+  AS validation_rate FROM pairs"""
+
+
+@query("written_run_breakdown", "SNK4 AGG15", f"""
+WITH {SQL_PAIRS} {_sql_breakdown("'dimension'", "dimension")} GROUP BY dimension
+UNION ALL {_sql_breakdown("'severity'", "severity")} GROUP BY severity
+UNION ALL {_sql_breakdown("'all'", "NULL")}""")
+def written_run_breakdown(v):
+    root = work_folder(v.spark, "run")
+    writers.write_run(v.pairs(), root)
+    return v.spark.read.schema(f"part string, name string, {BREAKDOWN}, validation_rate double").json(
+        f"{root}/validation_breakdown")
+
+
+@query("written_run_failures", "SNK4 AGG15", f"""
+WITH {SQL_PAIRS} SELECT failure, count(*) AS pairs FROM pairs WHERE coalesce(failure, '') <> ''
+GROUP BY 1""")
+def written_run_failures(v):
+    root = work_folder(v.spark, "run")
+    writers.write_run(v.pairs(), root)
+    return v.spark.read.schema("failure string, pairs long").json(f"{root}/failure_types")

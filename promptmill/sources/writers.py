@@ -33,9 +33,15 @@ def write_subpools(subpools: DataFrame, root: str, rows_per_file=2_000_000) -> D
 
 
 def write_run(log: DataFrame, root: str) -> None:
-    """Pair log, the dataset of its successful pairs, and the validation report of a run."""
-    from promptmill.operators.runs import validation_summary
+    """Pair log, the dataset of its successful pairs, and the validation report of a run: totals,
+    the splits by dimension and degradation level, and the failures by type."""
+    from promptmill.operators.runs import (failure_patterns, validation_breakdown,
+                                           validation_summary)
     log.write.mode("overwrite").parquet(os.path.join(root, "full_log"))
     saved = log.sparkSession.read.parquet(os.path.join(root, "full_log"))
     saved.where("success").write.mode("overwrite").parquet(os.path.join(root, "dataset"))
     validation_summary(saved).write.mode("overwrite").json(os.path.join(root, "validation_report"))
+    validation_breakdown(saved).write.mode("overwrite").option("ignoreNullFields", "false").json(
+        os.path.join(root, "validation_breakdown"))
+    failure_patterns(saved).where("model_id = '*'").select("failure", "pairs").write.mode(
+        "overwrite").json(os.path.join(root, "failure_types"))
