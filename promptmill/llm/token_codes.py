@@ -39,7 +39,10 @@ END_ID = 0
 SLICE_CHARS = 1 << 20
 CACHE_WORDS = 800_000
 LEARN_WORDS = 2_000        # new words in one call of the tokenizer
-ROWS = 256
+ROWS = 1024                # of one look-up of words, and no more than so many characters
+ROWS_CHARS = 4 << 20
+STOPS = frozenset(".,;:!?")
+LAST_LATIN = "\u024f"
 NO_ID = -(1 << 63)         # stands for a null identifier inside a segment
 
 
@@ -132,22 +135,41 @@ class WordEncoder:
     """Whole-text ids by looking up words; words not seen before go to the tokenizer, many in one
     call. Two generations of words are kept, so frequent ones stay when the older one goes."""
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.whole, self.added = None, []
+        if special:
+            self.whole = Tokenizer.from_file(path)
+            self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         # ids whose bytes begin with a space, which byte-level vocabularies write as U+0120
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self.spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
-        self.known, self.older, self.cache_words = {}, {}, cache_words
+        self.known, self.older, self.firsts, self.cache_words = {}, {}, {}, cache_words
 
     def _tokenize(self, text: str) -> np.ndarray:
         (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found.ids, "<u4")
 
     def _learn(self, words) -> None:
+        """Words without a space, many in one call. A stop behind a letter is a piece of its own,
+        so such words are put together from the word and its stop."""
+        stopped = [w for w in words if w[-1:] in STOPS and w[-2:-1] <= LAST_LATIN
+                   and w[-2:-1].isalpha() and " " not in w]
+        stems = {w[:-1] for w in stopped}
+        ends = {c: self._tokenize(c).tobytes() for c in {w[-1] for w in stopped}}
+        words = set(words).difference(stopped).union(
+            s for s in stems if s not in self.known and s not in self.older)
+        self._learn_plain(words)
+        known, older = self.known, self.older
+        for w in stopped:
+            stem = w[:-1]
+            known[w] = (known[stem] if stem in known else older[stem]) + ends[w[-1]]
+
+    def _learn_plain(self, words) -> None:
         plain = [w for w in words if " " not in w]
         for at in range(0, len(plain), LEARN_WORDS):
             group = plain[at:at + LEARN_WORDS]
@@ -167,6 +189,10 @@ class WordEncoder:
         self.known.update(zip(seen, map(self.older.__getitem__, seen)))
         self._learn([w for w in new if w not in self.older])
 
+    def _whole(self, text: str) -> bytes:
+        (found,) = self.whole.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, "<u4").tobytes()
+
     def _slices(self, text: str):
         at = 0
         while len(text) - at > SLICE_CHARS:
@@ -179,18 +205,24 @@ class WordEncoder:
 
     def _encode_small(self, texts) -> list:
         if len(self.known) > self.cache_words:
-            self.known, self.older = {}, self.known
+            self.known, self.older, self.firsts = {}, self.known, {}
         firsts, rests = [], []
         for text in texts:
             first, *rest = _words(text)
-            firsts.append(self._tokenize(first).tobytes() if first else b"")
+            if first not in self.firsts:
+                self.firsts[first] = self._tokenize(first).tobytes() if first else b""
+            firsts.append(self.firsts[first])
             rests.append(rest)
         self._look_up(set().union(*rests))
         return [first + b"".join(map(self.known.__getitem__, rest))
                 for first, rest in zip(firsts, rests)]
 
     def encode(self, texts) -> list:
-        """The ids of each text as little-endian 32-bit integers."""
+        """The ids of each text as little-endian 32-bit integers. Texts that hold the string of an
+        added token go to the tokenizer whole, if those are to be found."""
+        if any(a in t for a in self.added for t in texts):
+            return [self._whole(t) if any(a in t for a in self.added) else self.encode([t])[0]
+                    for t in texts]
         small = iter(self._encode_small([t for t in texts if len(t) <= SLICE_CHARS]))
         return [next(small) if len(t) <= SLICE_CHARS else
                 b"".join(self._encode_small([piece])[0] for piece in self._slices(t))
@@ -202,7 +234,7 @@ def worker_encoder(path: str) -> WordEncoder:
     held = sys.modules.setdefault("_promptmill_word_encoders",
                                   types.ModuleType("_promptmill_word_encoders"))
     if path not in held.__dict__:
-        held.__dict__[path] = WordEncoder(path)
+        held.__dict__[path] = WordEncoder(path, special=True)
     return held.__dict__[path]
 
 
@@ -210,6 +242,22 @@ SEGMENTS = ("part long, seq long, first_doc long, n_docs long, n_ids long, doc_i
             "begins binary, codes binary")
 
 
+def _some_rows(batches):
+    """Identifiers and texts of some rows at a time."""
+    keys, texts, size = [], [], 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, 64):
+            rows = batch.slice(at, 64)
+            keys += rows.column(0).to_pylist()
+            texts += [t or "" for t in rows.column(1).to_pylist()]
+            size += sum(map(len, texts[-rows.num_rows:]))
+            if size >= ROWS_CHARS or len(keys) >= ROWS:
+                yield keys, texts
+                keys, texts, size = [], [], 0
+    if keys:
+        yield keys, texts
+
+
 def _segment_writer(path: str, end_id: int, segment_ids: int):
     end = np.array([end_id], "<u4").tobytes()
 
@@ -220,7 +268,8 @@ def _segment_writer(path: str, end_id: int, segment_ids: int):
 
         def segment():
             values = np.frombuffer(b"".join(ids), "<u4")
-            begins = np.cumsum([0] + [len(x) // 4 for x in ids[:-1]]).astype("<i8")
+            lengths = [len(x) // 4 + 1 for x in ids[::2]]
+            begins = np.cumsum([0] + lengths[:-1]).astype("<i8")
             return pa.RecordBatch.from_pydict({
                 "part": [part], "seq": [seq],
                 "first_doc": pa.array([None if docs[0] == NO_ID else docs[0]], pa.int64()),
@@ -228,18 +277,14 @@ def _segment_writer(path: str, end_id: int, segment_ids: int):
                 "doc_ids": [np.array(docs, "<i8").tobytes()], "begins": [begins.tobytes()],
                 "codes": [pack(values)]})
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                rows = batch.slice(at, ROWS)
-                keys = rows.column(0).to_pylist()
-                texts = [t or "" for t in rows.column(1).to_pylist()]
-                for key, found in zip(keys, encoder.encode(texts)):
-                    docs.append(NO_ID if key is None else key)
-                    ids.append(found + end)
-                    size += len(found) // 4 + 1
-                    if size >= segment_ids:
-                        yield segment()
-                        docs, ids, size, seq = [], [], 0, seq + 1
+        for keys, texts in _some_rows(batches):
+            for key, found in zip(keys, encoder.encode(texts)):
+                docs.append(NO_ID if key is None else key)
+                ids += (found, end)
+                size += len(found) // 4 + 1
+                if size >= segment_ids:
+                    yield segment()
+                    docs, ids, size, seq = [], [], 0, seq + 1
         if docs:
             yield segment()
     return write
@@ -264,8 +309,9 @@ def _segment_reader(batches):
             docs = np.frombuffer(row["doc_ids"], "<i8")
             begins = np.frombuffer(row["begins"], "<i8")
             ends = np.append(begins[1:], len(codes))
-            crc = [zlib.crc32(codes.span(int(a), int(b)).astype("<u4").tobytes())
-                   for a, b in zip(begins, ends)]
+            data = memoryview(codes.span(0, len(codes)).astype("<u4").tobytes())
+            crc = [zlib.crc32(data[4 * a:4 * b])
+                   for a, b in zip(begins.tolist(), ends.tolist())]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": pa.array([None if d == NO_ID else int(d) for d in docs], pa.int64()),
                 "start": pa.array(begins + row["base"], pa.int64()),
