@@ -41,6 +41,10 @@ def write_run(log: DataFrame, root: str) -> None:
     saved = log.sparkSession.read.parquet(os.path.join(root, "full_log"))
     saved.where("success").write.mode("overwrite").parquet(os.path.join(root, "dataset"))
     validation_summary(saved).write.mode("overwrite").json(os.path.join(root, "validation_report"))
+    # a log may lack columns of the splits
+    for name in ("dimension", "severity", "model_id", "failure"):
+        if name not in saved.columns:
+            saved = saved.withColumn(name, F.lit(None).cast("string"))
     validation_breakdown(saved).write.mode("overwrite").option("ignoreNullFields", "false").json(
         os.path.join(root, "validation_breakdown"))
     failure_patterns(saved).where("model_id = '*'").select("failure", "pairs").write.mode(
