@@ -32,6 +32,7 @@ import types
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +43,8 @@ CHUNK = 8_192
 BLOCK = 64            # chunk matrices combined by one task
 SPACE, MARK = " ", "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 400_000
-ROWS = 512
+CACHE_WORDS = 300_000   # in each of two generations
+ROWS = 1024
 CHUNKS = 128
 WIDE, LANES = 40, 20_000     # longest word, and most words, segmented side by side
 LOWEST = float("-inf")
@@ -88,6 +89,12 @@ class Pieces:
                 if SPACE in text.lstrip(SPACE):
                     raise ValueError("a piece crosses the start of a word")
         self.byte_ids, self.unknown = byte_ids, lowest - UNKNOWN_PENALTY
+        # what each id adds to a segmentation; of the byte pieces of a character the first counts
+        self.scores = np.zeros(len(self.bytes))
+        for i, score in filter(None, self.table.values()):
+            self.scores[i] = score
+        for byte, i in enumerate(byte_ids):
+            self.scores[i] = 0.0 if 0x80 <= byte < 0xC0 else self.unknown
         self.longest = max(map(len, self.table))
         for text in list(self.table):
             for end in range(1, len(text)):
@@ -211,20 +218,21 @@ class Pieces:
 
 class Encoder:
     def __init__(self, model_path: str):
-        self.pieces, self.known = Pieces(model_path), {}
+        # ids of words, in two generations, so frequent words stay when the older one goes
+        self.pieces, self.known, self.older = Pieces(model_path), {}, {}
 
     def word(self, word: str):
-        found = self.known.get(word)
-        if found is None:
-            ids, score = self.pieces.path(word, 0, len(word))
-            found = self.known[word] = (np.array(ids, "<i4").tobytes(), score)
-        return found
+        """Ids and score of a word."""
+        ids, score = self.pieces.path(word, 0, len(word))
+        return np.array(ids, "<i4").tobytes(), score
 
-    def learn(self, words) -> None:
+    def learn(self, words: set) -> None:
         """Segment the words not yet known, side by side."""
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = sorted(set(words) - self.known.keys(), key=len)
+        known, older = self.known, self.older
+        new = words.difference(known)
+        seen = new.intersection(older)
+        known.update(zip(seen, map(older.__getitem__, seen)))
+        new = sorted(new.difference(seen), key=len)
         sizes, at = np.fromiter(map(len, new), np.int64, len(new)), 0
         wide = int(np.searchsorted(sizes, WIDE, "right"))
         while at < wide:
@@ -232,17 +240,24 @@ class Encoder:
             end = int(np.searchsorted(sizes[:wide], max(8, sizes[at] + 2), "right"))
             end = min(end, at + LANES)
             for word, found in zip(new[at:end], self.pieces.paths(new[at:end])):
-                if found:
-                    self.known[word] = found
-                else:
-                    self.word(word)
+                known[word] = (found or self.word(word))[0]
             at = end
         for word in new[wide:]:
-            self.word(word)
+            known[word] = self.word(word)[0]
+
+    def ids_of(self, word: str) -> bytes:
+        if word not in self.known:
+            self.learn({word})
+        return self.known[word]
 
     def learn_all(self, texts) -> None:
         find = self.pieces.words.findall
-        self.learn(w for t in texts for w in find(t))
+        self._make_room()
+        self.learn(set().union(*map(find, texts)))
+
+    def _make_room(self) -> None:
+        if len(self.known) > CACHE_WORDS:
+            self.known, self.older = {}, self.known
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
@@ -251,9 +266,9 @@ class Encoder:
         # MARK itself is no space: as an unknown character it becomes bytes
         find = self.pieces.words.findall
         words = [find(SPACE + t) if t else [] for t in texts]
-        self.learn(w for found in words for w in found)
-        known = self.known
-        return [b"".join([known[w][0] for w in found]) for found in words]
+        self._make_room()
+        self.learn(set().union(*words))
+        return [b"".join(map(self.known.__getitem__, found)) for found in words]
 
     def matrix(self, text: str, size: int) -> np.ndarray:
         """The transfer matrix of text[:size]; the rest of the text is what lies behind."""
@@ -271,7 +286,8 @@ class Encoder:
             self._advance(text[:first], 0, first, rows)
             if last > first:
                 words = self.pieces.words.findall(text[first:last])
-                inner = sum(self.word(w)[1] for w in words)
+                ids = np.frombuffer(b"".join(map(self.ids_of, words)), "<i4")
+                inner = float(self.pieces.scores[ids].sum())
                 rows[last] = rows[first] + inner
         self._advance(text, last if cuts else 0, size, rows)
         for j in range(states):
@@ -296,7 +312,7 @@ class Encoder:
                 ids, _ = self.pieces.path(text[at:b], 0, b - at) if (a < at or b == end) else (
                     None, None)
                 out.append(np.array(ids, "<i4").tobytes() if ids is not None
-                           else self.word(text[a:b])[0])
+                           else self.ids_of(text[a:b]))
                 at = b
         return b"".join(out)
 
@@ -463,8 +479,13 @@ def _decode(model_path: str, column: str):
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(at, ROWS)
-                texts = [b"".join(map(table.__getitem__, ids or ()))[1:].decode(errors="replace")
-                         for ids in rows.column(column).to_pylist()]
+                lists = rows.column(column)
+                # null lists have no length
+                cuts = np.concatenate(([0], np.cumsum(np.nan_to_num(pc.list_value_length(
+                    lists).to_numpy(zero_copy_only=False)).astype(np.int64)))).tolist()
+                ids = lists.flatten().to_numpy(zero_copy_only=False).tolist()
+                texts = [b"".join(map(table.__getitem__, ids[a:b]))[1:].decode(errors="replace")
+                         for a, b in zip(cuts[:-1], cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns, pa.array(texts, pa.string())],
                     [*rows.schema.names, "decoded"])
