@@ -11,12 +11,13 @@ from promptmill.streaming import incremental
 
 
 class StreamViews(Views):
-    """The same views over a streaming read of the table files."""
+    """The same views over a streaming read of the tables, each one file or a folder of files."""
 
     def table(self, name):
         schema = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet").schema
-        return (self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-                .option("maxFilesPerTrigger", 100).parquet(self.sf_dir))
+        # a pattern, as a stream takes a plain path for a folder only
+        return self.spark.readStream.schema(schema).option("maxFilesPerTrigger", 100).parquet(
+            f"{self.sf_dir}/{{{name}}}.parquet")
 
 
 def streaming(v) -> StreamViews:

@@ -135,3 +135,15 @@ def test_pair_of_many_attempts(spark, tmp_path):
     assert len(got) == n
     assert got[0] == "anchor_positive" and got[1] == "anchor_negative" and got[3] == "rewrite"
     assert all(got[i] == ("stop_still_incompatible", "stop_exhausted")[i % 2] for i in range(4, n))
+
+
+def test_stream_views_over_files_and_folders(spark, tmp_path):
+    from promptmill.plans.stream_queries import StreamViews
+    df = spark.range(40).withColumnRenamed("id", "event_id")
+    df.repartition(3).write.parquet(str(tmp_path / "folder" / "events.parquet"))
+    df.repartition(2).write.parquet(str(tmp_path / "folder" / "other_events.parquet"))
+    (tmp_path / "file").mkdir()
+    df.toPandas().to_parquet(tmp_path / "file" / "events.parquet")
+    for kind in ("folder", "file"):
+        stream = StreamViews(spark, str(tmp_path / kind)).table("events")
+        assert incremental.run_to_table(stream, f"copy-{kind}").count() == 40
