@@ -56,7 +56,7 @@ BATCH_DOCS = 4096
 BUCKET_BYTES = 6 << 20     # text for each bucket of hashes
 MIN_BUCKETS = 64
 PAIRS_PER_MEMBER = 8       # candidate pairs of a group that are made, on average
-FEW = 256                  # members of a group that one task compares by whole sets
+FEW = 1024                 # members of a group that one task compares by whole sets
 MANY = 2048                # members of a group whose candidates are counted in one task
 IS_SPARSE, IS_FEW, IS_DENSE = 0, 1, 2
 LOW_BITS = 40
@@ -344,11 +344,15 @@ def _signatures(percent: int):
 
 
 def _meeting(members) -> np.ndarray:
-    """For arrays of hashes: which two share one (and how many) as a square matrix."""
+    """For arrays of distinct hashes: how many any two share, as a square matrix (its diagonal
+    leaves out hashes of one member alone)."""
     sizes = [len(m) for m in members]
-    names, place = np.unique(np.concatenate(members), return_inverse=True)
-    held = np.zeros((len(members), len(names)), np.float32)
-    held[np.repeat(np.arange(len(members)), sizes), place] = 1
+    _, place, counts = np.unique(np.concatenate(members), return_inverse=True, return_counts=True)
+    shared = counts > 1
+    column = np.cumsum(shared) - 1
+    row, keep = np.repeat(np.arange(len(members)), sizes), shared[place]
+    held = np.zeros((len(members), int(shared.sum())), np.float32)
+    held[row[keep], column[place[keep]]] = 1
     return held @ held.T
 
 
@@ -412,6 +416,7 @@ def _few_links(percent: int):
             both = _meeting([_from_planes(b) for b in group["tokens"]])
             n, rep = group["n"].to_numpy(), group["rep"].to_numpy()
             linked = 100 * both >= percent * (n[:, None] + n - both)
+            np.fill_diagonal(linked, True)
             # each member with the first of those it reaches, step by step
             label = np.arange(len(n))
             while True:
