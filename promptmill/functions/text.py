@@ -43,8 +43,13 @@ def repeat_ratio(normalized) -> Column:
     """Share of repeated tokens among the ``[a-z0-9]`` tokens, 0 where there are none."""
     cleaned = F.regexp_replace(F.lower(col(normalized)), "[^a-z0-9 ]+", "")
     tokens = F.array_remove(F.split(cleaned, " "), "")
-    repeated = F.size(tokens) - F.size(F.array_distinct(tokens))
-    return F.when(F.size(tokens) == 0, F.lit(0.0)).otherwise(repeated / F.size(tokens))
+
+    def ratio(t):
+        repeated = F.size(t) - F.size(F.array_distinct(t))
+        return F.when(F.size(t) == 0, F.lit(0.0)).otherwise(repeated / F.size(t))
+
+    # The tokens are the argument of a function, so that a text is cut into them once.
+    return F.element_at(F.transform(F.array(tokens), ratio), 1)
 
 
 def comma_count(c) -> Column:

@@ -220,3 +220,11 @@ def test_lexicon_has_no_repeats():
         words = getattr(lx, name)
         if isinstance(words, list):
             assert len(words) == len(set(words)), name
+
+
+def test_repeat_ratio_cuts_a_text_once(spark):
+    df = spark.createDataFrame([("a b a",), ("",), ("!!",), (None,)], "n string")
+    got = df.select(text.repeat_ratio("n").alias("r"))
+    assert [r.r for r in got.collect()] == [1 / 3, 0.0, 0.0, None]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_remove(") == 1
