@@ -175,3 +175,17 @@ def test_stream_actions_equal_batch_actions(spark, tmp_path):
     got = incremental.run_to_table(incremental.stream_next_actions(stream, 4), "actions")
     want = at.next_actions(df, 4).select(*got.columns)
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_subpools_are_written_without_a_sort(spark, tmp_path):
+    df = spark.range(2000).selectExpr("id", "if(id % 3 = 0, 'a', 'b') AS dimension",
+                                      "repeat(cast(id AS string), 20) AS prompt")
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    index = writers.write_subpools(df, str(tmp_path / "out"))
+    assert {r["dimension"]: r["count"] for r in index.collect()} == {"a": 667, "b": 1333}
+    runs = store.executionsList()
+    plans = [runs.apply(i).physicalPlanDescription() for i in range(before, runs.size())]
+    wrote = [p for p in plans if "InsertIntoHadoopFsRelationCommand" in p and "Parquet" in p]
+    assert wrote and not any("Sort " in p for p in wrote)
+    assert spark.conf.get(writers.OPEN_FILES) == "0"
