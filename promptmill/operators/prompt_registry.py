@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promptmill.functions.plan import computed
+from promptmill.functions.text import any_of
 from promptmill.operators import compat
 from promptmill.params import taxonomy as tx
 from promptmill.sources.bucketed import BucketedTable
@@ -26,19 +27,20 @@ def registry_rows(tagged: DataFrame, dimensions=None, requirements=None) -> Data
 
     ``excluded`` maps a dimension to the rule that keeps the prompt out: ``tags``, or the reason of
     the text rules. A dimension is preferred if the prompt fits it and has one of its preferred
-    tags; dimensions that name none are preferred by nobody.
+    tags; dimensions that name none are preferred by nobody. Dimensions with the same text rules
+    share one run of them, which prompts that the tags keep out of all of them are spared.
     """
     reqs = tx.REQUIREMENTS if requirements is None else requirements
     dims = sorted(dimensions or reqs)
     lowered = compat.with_lower(tagged)
-    special = [d for d in dims if d == "text_error" or d in compat.FACE_RULE_DIMENSIONS]
-    lowered = computed(lowered, **{f"_special_{d}": compat.special_rule_reason(
-        d, "prompt", "_lower") for d in special}) if special else lowered
-    rows = []
-    for d in dims:
-        fits = compat.tags_satisfied(reqs.get(d), "semantic_tags")
-        text = F.col(f"_special_{d}") if d in special else F.lit(None).cast("string")
-        rows.append((d, fits, text))
+    tagged_so = {d: compat.tags_satisfied(reqs.get(d), "semantic_tags") for d in dims}
+    kinds = {"text_error": [d for d in dims if d == "text_error"],
+             "face": [d for d in dims if d in compat.FACE_RULE_DIMENSIONS]}
+    special = {f"_special_{kind}": F.when(any_of(tagged_so[d] for d in own), compat.special_rule_reason(
+        own[0], "prompt", "_lower")) for kind, own in kinds.items() if own}
+    lowered = computed(lowered, **special) if special else lowered
+    rule_of = {d: F.col(f"_special_{kind}") for kind, own in kinds.items() for d in own}
+    rows = [(d, tagged_so[d], rule_of.get(d, F.lit(None).cast("string"))) for d in dims]
     preferred = [(d, fits & text.isNull() & compat.has_preferred(d, "semantic_tags", reqs))
                  for d, fits, text in rows if reqs.get(d) and reqs[d].preferred]
     reasons = F.array(*[F.struct(F.lit(d).alias("key"), F.when(~fits, F.lit("tags")).otherwise(

@@ -8,7 +8,7 @@ from promptmill.plans.compat_queries import sql_counts
 from promptmill.plans.registry import query
 from promptmill.plans.views import (LEXICON, SQL_PAIRS, SQL_TAGGED, q, sql_compatible, sql_has,
                                     sql_special, sql_tags_ok)
-from promptmill.session import work_folder
+from promptmill.session import work_folder, written
 
 # ---- shards: every customer's orders are one, the seeds of customers begin 12 apart --------------
 
@@ -102,9 +102,10 @@ def registry_after_deltas(v):
     registry = prompt_registry.open_registry(v.spark, work_folder(v.spark, "prompt-registry"))
     prompt_registry.apply_delta(registry, tagging.tag_candidates(
         everything.unionByName(items), older))
-    tagged = v.tagged()
-    prompt_registry.apply_delta(registry, tagged.join(labelled, "record_id", "left_semi"))
-    prompt_registry.apply_delta(registry, tagged.join(labelled, "record_id", "left_anti"), items)
+    # Both deltas take their rows from one run of the rules; no prompt text passes the joins.
+    rows = written(prompt_registry.registry_rows(v.tagged()), "registry-rows")
+    registry.change(rows.join(labelled, "record_id", "left_semi"))
+    registry.change(rows.join(labelled, "record_id", "left_anti"), items)
     return registry.read()
 
 

@@ -177,6 +177,13 @@ def test_registry_is_the_inverse_of_the_subpools(spark):
     assert {r.is_preferred for r in pool} == {True, False}
 
 
+def test_registry_runs_equal_text_rules_once(spark):
+    tagged = tagging.tag_candidates(prompts_of(spark, 5), LEXICON)
+    rows = prompt_registry.registry_rows(tagged, ["extra_limbs", "face_asymmetry", "text_error"])
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("missing_face_or_human") == plan.count("missing_quote_or_visual_text") == 1
+
+
 def log_of(spark, rows):
     return spark.createDataFrame(rows, "run_dir string, positive_prompt string, dimension string, "
                                        "model_id string, success boolean, failure string")
