@@ -399,6 +399,18 @@ def covered_windows(keys, size, offset, raw, length: int = LENGTH, gram: int = G
     return best[flat] < np.repeat(keys, all_windows)
 
 
+def _runs_of_flags(flags: np.ndarray, first: np.ndarray):
+    """First and last window of each run of flags inside a stretch, and its stretch; ``first`` is
+    the first window of every stretch. No number is kept for a window, only single bytes."""
+    cut = np.zeros(len(flags), bool)
+    cut[first] = True
+    opens, closes = flags.copy(), flags.copy()
+    opens[1:] &= cut[1:] | ~flags[:-1]
+    closes[:-1] &= cut[1:] | ~flags[1:]
+    begin = np.flatnonzero(opens)
+    return begin, np.flatnonzero(closes), np.searchsorted(first, begin, "right") - 1
+
+
 def _sort_bucket(parts: int, length: int, gram: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         keys, ties, place, size, offset, raw = _open_stretches(frame["blob"])
@@ -414,18 +426,12 @@ def _sort_bucket(parts: int, length: int, gram: int):
             flags[_ragged(first[mine], some - length + 1)] = covered_windows(
                 keys[mine], size[mine], offset[mine], raw[_ragged(begin[mine], some)], length,
                 gram)
-        windows = size.astype(np.int64) - length + 1
-        owner = np.repeat(np.arange(len(size)), windows)
-        start = _ragged(place.astype(np.int64), windows)
-        hit = np.flatnonzero(flags)
-        if not len(hit):
+        if not flags.any():
             return pd.DataFrame({"part": np.empty(0, np.int64), "blob": []})
-        gap = (np.diff(hit) != 1) | (owner[hit[1:]] != owner[hit[:-1]])
-        first = hit[np.concatenate(([True], gap))]
-        last = hit[np.concatenate((gap, [True]))]
-        who = owner[first]
-        spans = np.stack([keys[who], ties[who].astype(np.int64), start[first],
-                          start[last] + length], 1).astype("<i8")
+        begin, end, who = _runs_of_flags(flags, first)
+        spans = np.stack([keys[who], ties[who].astype(np.int64),
+                          place[who].astype(np.int64) + begin - first[who],
+                          place[who].astype(np.int64) + end - first[who] + length], 1).astype("<i8")
         part = (_mix(keys[who].view(np.uint64)) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         cuts = np.flatnonzero(np.diff(part[order], prepend=-1, append=1 << 62))

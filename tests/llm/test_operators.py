@@ -284,6 +284,13 @@ def test_best_path_against_all_segmentations():
         assert encoder.known[word][1] == best(word) == encoder.pieces.path(word, 0, len(word))[1]
 
 
+def test_runs_of_flags_end_with_their_stretch():
+    flags = np.array([1, 1, 0, 1, 1, 1, 0, 0, 1], bool)
+    begin, end, who = suffix_dedup._runs_of_flags(flags, np.array([0, 4, 6, 8]))
+    assert list(zip(begin.tolist(), end.tolist(), who.tolist())) == [
+        (0, 1, 0), (3, 3, 0), (4, 5, 1), (8, 8, 3)]
+
+
 # ---- op9 ------------------------------------------------------------------------------------
 
 def test_license_scan(docs, texts):
