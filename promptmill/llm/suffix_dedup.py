@@ -7,7 +7,12 @@ the same offset, so suffixes only have to be compared where they share this anch
 1. Each batch of documents finds the anchors of its windows and sends their hashes, packed, to
    buckets; a bucket answers which anchors occur in more than one document.
 2. Documents cut out the stretches around shared anchors (all windows with this anchor, under
-   twice ``LENGTH`` bytes) and send them to the anchor's bucket.
+   twice ``LENGTH`` bytes) and send them to the anchor's bucket. Equal stretches of a batch are sent
+   once, for its smallest identifier, as all the others are covered; one that repeats without a gap,
+   as in a row of one character, has one entry and a count. Stretches of an anchor that over
+   ``HOT`` documents hold are cut in two and dealt to buckets by the bytes before or behind the
+   anchor which all their windows share, so a frequent passage among changing neighbours is no
+   bucket of its own.
 3. A bucket first joins equal stretches, so a passage with very many copies is one stretch. The
    suffixes at the windows of different stretches with one anchor are sorted by mergesort; two
    suffixes are compared by binary search for their common extension with prefix polynomial
@@ -51,6 +56,7 @@ BATCH_DOCS = 4096
 BUCKET_BYTES = 3 << 20
 SLICE_BYTES = 1 << 19
 MIN_BUCKETS = 64
+HOT = 4096          # documents with one anchor, from which its stretches are dealt finer
 LEAST = -(1 << 63)
 BASE = ODD[0]
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -134,6 +140,18 @@ def _batches(batches, limit=BATCH_BYTES, docs=BATCH_DOCS):
 
 # ---- stage 1: anchors of more than one document ------------------------------------------------
 
+def _held(value: np.ndarray, doc: np.ndarray):
+    """Anchors, each once for a document that holds it, by document and value; their documents;
+    and for every run its place among them."""
+    order = np.lexsort((value, doc))
+    value, doc = value[order], doc[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return value[new], doc[new], which
+
+
 def _send(bits: int, length: int, gram: int):
     low = np.uint64((1 << LOW_BITS) - 1)
 
@@ -143,7 +161,7 @@ def _send(bits: int, length: int, gram: int):
             batch_id = (part << 24) + number
             raw, bounds = _joined([r[-1] for r in rows])
             value, anchor, _, _ = runs_of(raw, bounds, length, gram)
-            doc = np.searchsorted(bounds, anchor, "right") - 1
+            value, doc, _ = _held(value, np.searchsorted(bounds, anchor, "right") - 1)
             bucket = (value >> np.uint64(64 - bits)).astype(np.uint16)
             meta = (struct.pack("<I", len(rows)) + np.array([r[0] for r in rows], "<i8").tobytes()
                     + np.array([r[1] for r in rows], "<i4").tobytes())
@@ -162,8 +180,9 @@ def _send(bits: int, length: int, gram: int):
     return run
 
 
-def _answer(bits: int):
-    """One bucket: a bit for every anchor sent, set if it occurs in more than one document."""
+def _answer(bits: int, hot: int):
+    """One bucket: two bits for every anchor sent, set if it occurs in more than one document, and
+    in more than ``HOT``."""
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         slot = int(frame["slot"].iloc[0])
         if slot >= 1 << bits:
@@ -179,36 +198,41 @@ def _answer(bits: int):
         starts = np.flatnonzero(new)
         other = np.concatenate(([False], holder[1:] != holder[:-1])) & ~new
         many = np.add.reduceat(other.astype(np.int64), starts) > 0
-        shared = np.empty(len(tokens), bool)
-        shared[order] = np.repeat(many, np.diff(np.append(starts, len(ranked))))
+        holders = np.diff(np.append(starts, len(ranked)))
+        state = np.empty((2, len(tokens)), bool)
+        state[:, order] = np.repeat([many, holders > hot], holders, axis=1)
         out, at = [], 0
         for counts, _ in opened:
             total = int(counts.sum())
-            out.append(_block(counts, np.packbits(shared[at:at + total]).tobytes()))
+            out.append(_block(counts, np.packbits(state[:, at:at + total]).tobytes()))
             at += total
         return pd.DataFrame({"batch": frame["batch"].to_numpy(), "slot": np.int64(slot),
                              "blob": out})
     return run
 
 
+def _two_rows(data: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(data, np.uint8))[:2 * n].reshape(2, n)
+
+
 def _per_document(frame: pd.DataFrame) -> pd.DataFrame:
     """The answers of one batch: each document's anchors bucket by bucket."""
     meta = frame["blob"][frame["slot"] < 0].iloc[0]
     (n,) = struct.unpack_from("<I", meta)
     keys = np.frombuffer(meta, "<i8", n, 4)
     ties = np.frombuffer(meta, "<i4", n, 4 + 8 * n)
-    docs, bits = [np.empty(0, np.int64)], [np.empty(0, np.uint8)]
+    docs, bits = [np.empty(0, np.int64)], [np.empty((2, 0), np.uint8)]
     for blob in frame[frame["slot"] >= 0].sort_values("slot")["blob"]:
         counts, data = _open_block(blob)
         docs.append(np.repeat(np.arange(n), counts))
-        bits.append(np.unpackbits(np.frombuffer(data, np.uint8))[:len(docs[-1])])
-    docs, bits = np.concatenate(docs), np.concatenate(bits)
-    bits = bits[np.argsort(docs, kind="stable")]
+        bits.append(_two_rows(data, len(docs[-1])))
+    docs, bits = np.concatenate(docs), np.concatenate(bits, axis=1)
+    bits = bits[:, np.argsort(docs, kind="stable")]
     cuts = np.concatenate(([0], np.cumsum(np.bincount(docs, minlength=n))))
-    found = [i for i in range(n) if bits[cuts[i]:cuts[i + 1]].any()]
+    found = [i for i in range(n) if bits[0, cuts[i]:cuts[i + 1]].any()]
     return pd.DataFrame({
         "key": keys[found], "tie": ties[found],
-        "bits": [np.packbits(bits[cuts[i]:cuts[i + 1]]).tobytes() for i in found]})
+        "bits": [np.packbits(bits[:, cuts[i]:cuts[i + 1]]).tobytes() for i in found]})
 
 
 # ---- stage 2: stretches around shared anchors ------------------------------------------------
@@ -219,37 +243,98 @@ def _ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - before, size) + np.arange(int(size.sum()))
 
 
+def _halved(value, anchor, first, last, hot, hashes, length, gram):
+    """Stretches of hot anchors in two: windows that reach at least ``half`` bytes before the
+    anchor, and the others. Returns which stretch each is part of, first and last window, and a
+    hash that is the anchor's, for hot ones that of all bytes that windows of this half share."""
+    half = (length - gram + 1) // 2
+    middle = anchor - half
+    both = hot & (first <= middle) & (last > middle)
+    part = np.concatenate((np.arange(len(first)), np.flatnonzero(both)))
+    second = np.arange(len(part)) >= len(first)
+    anchor, middle, value = anchor[part], middle[part], value[part]
+    first = np.where(second, middle + 1, first[part])
+    last = np.where(both[part] & ~second, middle, last[part])
+    at = np.flatnonzero(hot[part])
+    before = first[at] <= middle[at]
+    common = hashes.of(np.where(before, middle[at], anchor[at]),
+                       np.where(before, gram + half, length - half + 1))
+    value[at] = _mix(value[at] ^ _mix(common + before.astype(np.uint64)))
+    return part, first, last, value
+
+
+def _kinds(value, first, size, offset, raw, hashes):
+    """Equal stretches: the first of each kind, and the kind of every one."""
+    name = _mix(hashes.of(first, size) ^ _mix(value + (size << 8 | offset).astype(np.uint64)))
+    _, one, kind = np.unique(name, return_index=True, return_inverse=True)
+    like = one[kind]
+    honest = bool(((size[like] == size) & (offset[like] == offset)).all())
+    other = np.flatnonzero(like != np.arange(len(like))) if honest else ()
+    for at in range(0, len(other), 20_000):
+        some = other[at:at + 20_000]
+        honest = honest and bool((raw[_ragged(first[some], size[some])]
+                                  == raw[_ragged(first[like[some]], size[some])]).all())
+    # if a hash has lied, every stretch stands for itself
+    return (one, kind) if honest else (np.arange(len(first)), np.arange(len(first)))
+
+
 def _cut_out(bits: int, length: int, gram: int):
+    """Stretches for buckets; and runs already known to go, in slots from 1 << bits on."""
     def run(batches):
         for rows in _batches(batches):
             raw, bounds = _joined([r[-1] for r in rows])
             value, anchor, first, last = runs_of(raw, bounds, length, gram)
+            held, holder, which = _held(value, np.searchsorted(bounds, anchor, "right") - 1)
+            shared, hot = np.concatenate(
+                [_two_rows(r[2], c) for r, c in zip(rows, np.bincount(
+                    holder, minlength=len(rows)))], axis=1).astype(bool)[:, which]
+            value, anchor, first, last, hot = (x[shared] for x in (value, anchor, first, last, hot))
+            hashes = PrefixHashes(raw)
+            part, first, last, deal = _halved(value, anchor, first, last, hot, hashes, length, gram)
+            value, anchor = value[part], anchor[part]
             doc = np.searchsorted(bounds, anchor, "right") - 1
-            counts = np.bincount(doc, minlength=len(rows))
-            shared = np.zeros(len(doc), bool)
-            by_bucket = np.lexsort((value >> np.uint64(64 - bits), doc))
-            shared[by_bucket] = np.concatenate(
-                [np.unpackbits(np.frombuffer(r[2], np.uint8))[:c] for r, c in zip(rows, counts)])
-            value, anchor, first, last, doc = (x[shared] for x in (value, anchor, first, last,
-                                                                   doc))
             keys = np.array([r[0] for r in rows], "<i8")
             ties = np.array([r[1] for r in rows], "<i4")
-            bucket = (value >> np.uint64(64 - bits)).astype(np.int64)
+            size, offset = last - first + length, anchor - first
+            one, kind = _kinds(value, first, size, offset, raw, hashes)
+            del hashes
+            # an entry: a stretch and those like it that follow it without a gap
+            order = np.lexsort((first, kind, doc))
+            new = np.ones(len(order), bool)
+            new[1:] = ((np.diff(doc[order]) != 0) | (np.diff(kind[order]) != 0)
+                       | (np.diff(first[order]) != (last - first + 1)[order[1:]]))
+            times = np.diff(np.append(np.flatnonzero(new), len(order)))
+            entry = order[new]
+            smallest = np.full(len(one), np.iinfo(np.int64).max)
+            np.minimum.at(smallest, kind, keys[doc])
+            gone = keys[doc[entry]] > smallest[kind[entry]]
+            slots, blobs = [], []
+            if gone.any():
+                mine, many = entry[gone], times[gone]
+                start = first[mine] - bounds[doc[mine]]
+                slots, blobs = _packed_spans(
+                    keys[doc[mine]], ties[doc[mine]], start,
+                    start + (many - 1) * (last - first + 1)[mine] + size[mine], 1 << bits)
+                slots = [slot + (1 << bits) for slot in slots]
+            entry, times = entry[~gone], times[~gone]
+            bucket = (deal[entry] >> np.uint64(64 - bits)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=1 << 32))
-            slots, blobs = [], []
             for a, b in zip(cuts[:-1], cuts[1:]):
-                mine = order[a:b]
-                size = last[mine] - first[mine] + length
+                mine = entry[order[a:b]]
                 held, inside = np.unique(doc[mine], return_counts=True)
+                kinds, which = np.unique(kind[mine], return_inverse=True)
+                cut = one[kinds]
                 head = zlib.compress(np.diff(keys[held], prepend=0).astype("<i8").tobytes(), 1)
-                slots.append(int(bucket[mine[0]]))
-                blobs.append(struct.pack("<III", len(held), len(head), len(mine)) + head
+                slots.append(int(bucket[order[a]]))
+                blobs.append(struct.pack("<IIII", len(held), len(head), len(mine), len(cut)) + head
                              + ties[held].tobytes() + inside.astype("<u4").tobytes()
                              + (first[mine] - bounds[doc[mine]]).astype("<u4").tobytes()
-                             + size.astype(np.uint8).tobytes()
-                             + (anchor[mine] - first[mine]).astype(np.uint8).tobytes()
-                             + raw[_ragged(first[mine], size)].tobytes())
+                             + times[order[a:b]].astype("<u4").tobytes()
+                             + which.astype("<u4").tobytes()
+                             + size[cut].astype(np.uint8).tobytes()
+                             + offset[cut].astype(np.uint8).tobytes()
+                             + raw[_ragged(first[cut], size[cut])].tobytes())
             if slots:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(slots, pa.int64()), pa.array(blobs, pa.binary())], ["slot", "blob"])
@@ -257,21 +342,28 @@ def _cut_out(bits: int, length: int, gram: int):
 
 
 def _open_stretches(blobs):
-    """Arrays over all stretches: identifier, tie, place in the document, size, anchor offset;
-    and their bytes."""
-    parts = []
+    """Arrays over all entries: identifier, tie, place in the document, times, kind; and over all
+    kinds: identifier, size, anchor offset; and the bytes of the kinds."""
+    entries, kinds, before = [], [], 0
     for blob in blobs:
-        n, head, m = struct.unpack_from("<III", blob)
-        keys = np.cumsum(np.frombuffer(zlib.decompress(blob[12:12 + head]), "<i8"))
-        at = 12 + head
+        n, head, m, k = struct.unpack_from("<IIII", blob)
+        keys = np.cumsum(np.frombuffer(zlib.decompress(blob[16:16 + head]), "<i8"))
+        at = 16 + head
         ties = np.frombuffer(blob, "<i4", n, at)
         inside = np.frombuffer(blob, "<u4", n, at + 4 * n)
-        place = np.frombuffer(blob, "<u4", m, at + 8 * n)
-        size = np.frombuffer(blob, np.uint8, m, at + 8 * n + 4 * m)
-        offset = np.frombuffer(blob, np.uint8, m, at + 8 * n + 5 * m)
-        raw = np.frombuffer(blob, np.uint8, -1, at + 8 * n + 6 * m)
-        parts.append((np.repeat(keys, inside), np.repeat(ties, inside), place, size, offset, raw))
-    return [np.concatenate(x) for x in zip(*parts)]
+        at += 8 * n
+        place, times, kind = np.frombuffer(blob, "<u4", 3 * m, at).reshape(3, m)
+        at += 12 * m
+        size = np.frombuffer(blob, np.uint8, k, at)
+        offset = np.frombuffer(blob, np.uint8, k, at + k)
+        raw = np.frombuffer(blob, np.uint8, -1, at + 2 * k)
+        keys = np.repeat(keys, inside)
+        owner = np.empty(k, np.int64)
+        owner[kind] = keys
+        entries.append((keys, np.repeat(ties, inside), place, times, kind.astype(np.int64) + before))
+        kinds.append((owner, size, offset, raw))
+        before += k
+    return [np.concatenate(x) for x in (*zip(*entries), *zip(*kinds))]
 
 
 # ---- stage 3: the suffix sort ---------------------------------------------------------------
@@ -411,54 +503,87 @@ def _runs_of_flags(flags: np.ndarray, first: np.ndarray):
     return begin, np.flatnonzero(closes), np.searchsorted(first, begin, "right") - 1
 
 
+def _anchors(size, offset, raw, gram: int) -> np.ndarray:
+    """The hash of every stretch's anchor, with prefix hashes of a slice of the bytes at a time."""
+    ends = np.cumsum(size, dtype=np.int64)
+    out, at = np.empty(len(size), np.uint64), 0
+    while at < len(size):
+        before = int(ends[at]) - int(size[at])
+        until = max(at + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        begin = ends[at:until] - size[at:until] - before
+        out[at:until] = PrefixHashes(raw[before:int(ends[until - 1])]).of(
+            begin + offset[at:until], np.int64(gram))
+        at = until
+    return _mix(out)
+
+
 def _sort_bucket(parts: int, length: int, gram: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        keys, ties, place, size, offset, raw = _open_stretches(frame["blob"])
-        flags = np.zeros(int((size.astype(np.int64) - length + 1).sum()), bool)
+        slot = int(frame["slot"].iloc[0])
+        if slot >= parts:
+            return pd.DataFrame({"part": np.int64(slot - parts), "blob": frame["blob"]})
+        keys, ties, place, times, kind, owner, size, offset, raw = _open_stretches(frame["blob"])
+        windows = size.astype(np.int64) - length + 1
+        flags = np.zeros(int(windows.sum()), bool)
         # stretches of one anchor stay together; a slice of the anchors at a time
         begin = np.cumsum(size, dtype=np.int64) - size
-        anchor = _mix(PrefixHashes(raw).of(begin + offset, np.int64(gram)))
-        turn = anchor % np.uint64(-(-len(raw) // SLICE_BYTES))
-        first = np.cumsum(size.astype(np.int64) - length + 1) - (size.astype(np.int64) - length + 1)
+        turn = _anchors(size, offset, raw, gram) % np.uint64(-(-len(raw) // SLICE_BYTES))
+        first = np.cumsum(windows) - windows
         for one in np.unique(turn):
             mine = np.flatnonzero(turn == one)
-            some = size[mine].astype(np.int64)
-            flags[_ragged(first[mine], some - length + 1)] = covered_windows(
-                keys[mine], size[mine], offset[mine], raw[_ragged(begin[mine], some)], length,
-                gram)
+            flags[_ragged(first[mine], windows[mine])] = covered_windows(
+                owner[mine], size[mine], offset[mine],
+                raw[_ragged(begin[mine], size[mine].astype(np.int64))], length, gram)
         if not flags.any():
             return pd.DataFrame({"part": np.empty(0, np.int64), "blob": []})
         begin, end, who = _runs_of_flags(flags, first)
-        spans = np.stack([keys[who], ties[who].astype(np.int64),
-                          place[who].astype(np.int64) + begin - first[who],
-                          place[who].astype(np.int64) + end - first[who] + length], 1).astype("<i8")
-        part = (_mix(keys[who].view(np.uint64)) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        cuts = np.flatnonzero(np.diff(part[order], prepend=-1, append=1 << 62))
-        return pd.DataFrame({
-            "part": [int(part[order[a]]) for a in cuts[:-1]],
-            "blob": [zlib.compress(spans[order[a:b]].T.tobytes(), 1)
-                     for a, b in zip(cuts[:-1], cuts[1:])]})
+        begin, end = begin - first[who], end - first[who] + length
+        # every entry has the runs of its kind; with those that follow it they touch
+        many = np.bincount(who, minlength=len(size))
+        entry = np.repeat(np.arange(len(kind)), many[kind])
+        run_ = _ragged((np.cumsum(many) - many)[kind], many[kind])
+        start = place[entry].astype(np.int64)
+        stop = start + (times[entry].astype(np.int64) - 1) * windows[kind[entry]] + end[run_]
+        part, blob = _packed_spans(keys[entry], ties[entry], start + begin[run_], stop, parts)
+        return pd.DataFrame({"part": np.array(part, np.int64), "blob": blob})
     return run
 
 
-def _merge_spans(frame: pd.DataFrame) -> pd.DataFrame:
-    """One row per document with its removed stretches, merged."""
-    key, tie, start, end = np.concatenate(
-        [np.frombuffer(zlib.decompress(b), "<i8").reshape(4, -1) for b in frame["blob"]], axis=1)
+def _merged(key, tie, start, end):
+    """Stretches of documents, merged where they touch."""
     order = np.lexsort((start, tie, key))
     key, tie, start, end = key[order], tie[order], start[order], end[order]
-    new_doc = np.concatenate(([True], (key[1:] != key[:-1]) | (tie[1:] != tie[:-1])))
+    new_doc = np.ones(len(key), bool)
+    new_doc[1:] = (key[1:] != key[:-1]) | (tie[1:] != tie[:-1])
     # a running maximum of ends inside each document
     shift = (np.cumsum(new_doc) - 1) * (int(end.max()) + 1)
     reach = np.maximum.accumulate(end + shift)
-    fresh = new_doc | np.concatenate(([True], start[1:] + shift[1:] > reach[:-1]))
+    fresh = new_doc.copy()
+    fresh[1:] |= start[1:] + shift[1:] > reach[:-1]
     first = np.flatnonzero(fresh)
     last = np.append(first[1:], len(start)) - 1
-    spans = np.stack([start[first], reach[last] - shift[first]], 1).astype("<i8")
-    docs = np.flatnonzero(new_doc[first])
-    ends = np.append(docs[1:], len(first))
-    return pd.DataFrame({"key": key[first[docs]], "tie": tie[first[docs]].astype(np.int32),
+    return key[first], tie[first], start[first], reach[last] - shift[first], new_doc[first]
+
+
+def _packed_spans(key, tie, start, end, parts: int):
+    """Merged stretches, packed for each part of the documents: parts and blobs."""
+    key, tie, start, end, _ = _merged(key, tie, start, end)
+    spans = np.stack([key, tie.astype(np.int64), start, end], 1).astype("<i8")
+    part = (_mix(key.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    cuts = np.flatnonzero(np.diff(part[order], prepend=-1, append=1 << 62))
+    return ([int(part[order[a]]) for a in cuts[:-1]],
+            [zlib.compress(spans[order[a:b]].T.tobytes(), 1) for a, b in zip(cuts[:-1], cuts[1:])])
+
+
+def _merge_spans(frame: pd.DataFrame) -> pd.DataFrame:
+    """One row per document with its removed stretches, merged."""
+    key, tie, start, end, new_doc = _merged(*np.concatenate(
+        [np.frombuffer(zlib.decompress(b), "<i8").reshape(4, -1) for b in frame["blob"]], axis=1))
+    spans = np.stack([start, end], 1).astype("<i8")
+    docs = np.flatnonzero(new_doc)
+    ends = np.append(docs[1:], len(key))
+    return pd.DataFrame({"key": key[docs], "tie": tie[docs].astype(np.int32),
                          "spans": [spans[a:b].tobytes() for a, b in zip(docs, ends)]})
 
 
@@ -491,7 +616,7 @@ def _remove(length: int):
 
 
 def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
-            gram: int = GRAM) -> DataFrame:
+            gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes)."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), whole(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -508,7 +633,7 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     sent = texts.select("key", "tie", "text").mapInArrow(
         _send(bits, length, gram), "slot long, batch long, blob binary")
     answered = sent.groupBy("slot").applyInPandas(
-        _answer(bits), "batch long, slot long, blob binary")
+        _answer(bits, hot), "batch long, slot long, blob binary")
     shared = answered.groupBy("batch").applyInPandas(
         _per_document, "key long, tie int, bits binary").groupBy("key", "tie").agg(
         F.first("bits").alias("bits"))

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -182,6 +183,35 @@ def test_suffix_sort_with_lying_hashes(monkeypatch):
     assert len(set(zip(classes.tolist(), strings))) == len(want)
 
 
+def test_repeats_inside_a_batch_are_sent_once():
+    batch = pa.table({"key": range(4), "tie": [0] * 4, "bits": [b"\xff" * 5000] * 4,
+                      "text": ["=" * 5000 + f" {i}" for i in range(4)]}).to_batches()
+    out = [b for r in suffix_dedup._cut_out(7, 50, 24)(iter(batch))
+           for b in r.column("blob").to_pylist()]
+    assert sum(map(len, out)) < 10_000      # 1,109,540 with a stretch for every window
+
+
+def test_frequent_stretches_are_dealt_by_their_neighbours(spark):
+    rng = np.random.default_rng(5)
+    passage = "".join(map(chr, rng.integers(97, 123, 120)))
+    texts = {}
+    for i in range(60):
+        around = ["".join(map(chr, rng.integers(97, 99 + 20 * (i % 2), 30))) for _ in range(2)]
+        texts[i] = [around[0] + passage + around[1], "ab" * 70 + around[0], "=" * (50 + i) + "\n" * i,
+                    around[0][:13] + passage[:60], (passage[:15] + "\n") * 9][i % 5]
+    first, want = {}, []
+    for i, text in texts.items():
+        gone = np.zeros(len(text), bool)
+        for at in range(len(text) - 49):
+            if first.setdefault(text[at:at + 50], i) < i:
+                gone[at:at + 50] = True
+        want.append((i, int(gone.sum()), "".join(c for c, g in zip(text, gone) if not g)))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(7)
+    for hot in (1, 4, suffix_dedup.HOT):
+        got = suffix_dedup.removed(docs, hot=hot).collect()
+        assert sorted((r.doc_id, r.n_removed, bytes(r.kept).decode()) for r in got) == want
+
+
 # ---- op6 ------------------------------------------------------------------------------------
 
 def test_quality_rules(docs, texts):
