@@ -39,11 +39,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mix, and the digests of its text and of the text read
     back from the ids."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    out = sentencepiece_codec.encoded(docs, model).select(
+    return sentencepiece_codec.encoded_and_decoded(docs, model).select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2("text", 256).alias("text_sha256"))
-    return sentencepiece_codec.decoded(out, model).select(
-        "doc_id", "ids", "n_tokens", "text_sha256",
+        F.sha2("text", 256).alias("text_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

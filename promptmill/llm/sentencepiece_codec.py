@@ -43,8 +43,8 @@ CHUNK = 8_192
 BLOCK = 64            # chunk matrices combined by one task
 SPACE, MARK = " ", "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 300_000   # in each of two generations
-ROWS = 1024
+CACHE_WORDS = 100_000   # in each of two generations
+ROWS = 512
 CHUNKS = 128
 WIDE, LANES = 40, 20_000     # longest word, and most words, segmented side by side
 LOWEST = float("-inf")
@@ -218,7 +218,7 @@ class Pieces:
 
 class Encoder:
     def __init__(self, model_path: str):
-        # ids of words, in two generations, so frequent words stay when the older one goes
+        # ids and scores of words, in two generations, so frequent words stay when the older one goes
         self.pieces, self.known, self.older = Pieces(model_path), {}, {}
 
     def word(self, word: str):
@@ -226,10 +226,10 @@ class Encoder:
         ids, score = self.pieces.path(word, 0, len(word))
         return np.array(ids, "<i4").tobytes(), score
 
-    def learn(self, words: set) -> None:
+    def learn(self, words) -> None:
         """Segment the words not yet known, side by side."""
         known, older = self.known, self.older
-        new = words.difference(known)
+        new = set(words).difference(known)
         seen = new.intersection(older)
         known.update(zip(seen, map(older.__getitem__, seen)))
         new = sorted(new.difference(seen), key=len)
@@ -240,15 +240,15 @@ class Encoder:
             end = int(np.searchsorted(sizes[:wide], max(8, sizes[at] + 2), "right"))
             end = min(end, at + LANES)
             for word, found in zip(new[at:end], self.pieces.paths(new[at:end])):
-                known[word] = (found or self.word(word))[0]
+                known[word] = found or self.word(word)
             at = end
         for word in new[wide:]:
-            known[word] = self.word(word)[0]
+            known[word] = self.word(word)
 
     def ids_of(self, word: str) -> bytes:
         if word not in self.known:
             self.learn({word})
-        return self.known[word]
+        return self.known[word][0]
 
     def learn_all(self, texts) -> None:
         find = self.pieces.words.findall
@@ -268,7 +268,8 @@ class Encoder:
         words = [find(SPACE + t) if t else [] for t in texts]
         self._make_room()
         self.learn(set().union(*words))
-        return [b"".join(map(self.known.__getitem__, found)) for found in words]
+        known = self.known
+        return [b"".join([known[word][0] for word in found]) for found in words]
 
     def matrix(self, text: str, size: int) -> np.ndarray:
         """The transfer matrix of text[:size]; the rest of the text is what lies behind."""
@@ -317,14 +318,23 @@ class Encoder:
         return b"".join(out)
 
 
-def worker_encoder(model_path: str) -> Encoder:
-    """The encoder of this Python worker; it and the words it knows serve later tasks too."""
-    held = sys.modules.setdefault("_promptmill_encoders", types.ModuleType("_promptmill_encoders"))
+def _held_by_worker(kind: str, make, model_path: str):
+    held = sys.modules.setdefault(kind, types.ModuleType(kind))
     if model_path not in held.__dict__:
-        held.__dict__[model_path] = Encoder(model_path)
+        held.__dict__[model_path] = make(model_path)
     return held.__dict__[model_path]
 
 
+def worker_encoder(model_path: str) -> Encoder:
+    """The encoder of this Python worker; it and the words it knows serve later tasks too."""
+    return _held_by_worker("_promptmill_encoders", Encoder, model_path)
+
+
+def worker_bytes(model_path: str) -> list:
+    """The bytes of every id, without the tables that only encoding needs."""
+    return _held_by_worker("_promptmill_bytes", lambda path: Pieces(path).bytes, model_path)
+
+
 def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The max-plus product."""
     return (a[:, :, None] + b[None, :, :]).max(axis=1)
@@ -338,17 +348,20 @@ def _lists(ids) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
-def _encode_small(model_path: str):
+def _encode_small(model_path: str, back: bool = False):
+    """Ids; with ``back`` the text read back from them too, in the same pass, so that a task has
+    one Python worker and not two."""
     def run(batches):
         encoder = worker_encoder(model_path)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(at, ROWS)
-                ids = encoder.encode_all(rows.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), rows.column(1), _lists(ids), pa.array([1] * len(ids),
-                                                                           pa.int32())],
-                    ["key", "text", "ids", "n_chunks"])
+                lists = _lists(encoder.encode_all(rows.column(1).to_pylist()))
+                out = {"key": rows.column(0), "text": rows.column(1), "ids": lists,
+                       "n_chunks": pa.array([1] * len(lists), pa.int32())}
+                if back:
+                    out["decoded"] = _texts(encoder.pieces.bytes, lists)
+                yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
     return run
 
 
@@ -463,31 +476,47 @@ def _encode_giants(giants: DataFrame, model_path: str, chunk: int, states: int)
 def encoded(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text",
             giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
     """Per document: key, text (empty for null), ids, n_chunks."""
+    small, giants = _both_sizes(docs, model_path, key, text, giant, chunk, False)
+    return small.unionByName(giants).withColumnRenamed("key", key)
+
+
+def encoded_and_decoded(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text",
+                        giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
+    """:func:`encoded` with ``decoded``, the text read back from the ids."""
+    small, giants = _both_sizes(docs, model_path, key, text, giant, chunk, True)
+    return small.unionByName(decoded(giants, model_path)).withColumnRenamed("key", key)
+
+
+def _both_sizes(docs, model_path, key, text, giant, chunk, back):
     states = Pieces(model_path).longest
     rows = docs.select(F.col(key).alias("key"), whole(text).alias("text"))
     kind = dict(rows.dtypes)["key"]
     small = rows.where(F.char_length("text") <= giant).mapInArrow(
-        _encode_small(model_path), f"key {kind}, text string, ids array<int>, n_chunks int")
+        _encode_small(model_path, back), f"key {kind}, text string, ids array<int>, n_chunks int"
+        + ", decoded string" * back)
     giants = _encode_giants(rows.where(F.char_length("text") > giant), model_path,
                             max(chunk, states), states)
-    return small.unionByName(giants).withColumnRenamed("key", key)
+    return small, giants
+
+
+def _texts(table: list, lists) -> pa.Array:
+    """The texts of lists of ids, without the space put in front."""
+    # null lists have no length
+    cuts = np.concatenate(([0], np.cumsum(np.nan_to_num(pc.list_value_length(
+        lists).to_numpy(zero_copy_only=False)).astype(np.int64)))).tolist()
+    ids = lists.flatten().to_numpy(zero_copy_only=False)
+    return pa.array([b"".join(map(table.__getitem__, ids[a:b].tolist()))[1:].decode(
+        errors="replace") for a, b in zip(cuts[:-1], cuts[1:])], pa.string())
 
 
 def _decode(model_path: str, column: str):
     def run(batches):
-        table = worker_encoder(model_path).pieces.bytes
+        table = worker_bytes(model_path)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(at, ROWS)
-                lists = rows.column(column)
-                # null lists have no length
-                cuts = np.concatenate(([0], np.cumsum(np.nan_to_num(pc.list_value_length(
-                    lists).to_numpy(zero_copy_only=False)).astype(np.int64)))).tolist()
-                ids = lists.flatten().to_numpy(zero_copy_only=False).tolist()
-                texts = [b"".join(map(table.__getitem__, ids[a:b]))[1:].decode(errors="replace")
-                         for a, b in zip(cuts[:-1], cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [*rows.columns, pa.array(texts, pa.string())],
+                    [*rows.columns, _texts(table, rows.column(column))],
                     [*rows.schema.names, "decoded"])
     return run
 

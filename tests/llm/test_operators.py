@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -314,6 +315,23 @@ def test_best_path_against_all_segmentations():
         assert encoder.known[word][1] == best(word) == encoder.pieces.path(word, 0, len(word))[1]
 
 
+def test_ids_and_texts_in_one_python_step(docs):
+    one = sentencepiece_codec.encoded_and_decoded(docs, PIECES, giant=100, chunk=37)
+    two = sentencepiece_codec.decoded(
+        sentencepiece_codec.encoded(docs, PIECES, giant=100, chunk=37), PIECES)
+    assert one.columns == two.columns
+    assert Counter(map(repr, one.collect())) == Counter(map(repr, two.collect()))
+
+
+def test_decoding_holds_no_encoder(monkeypatch):
+    monkeypatch.delitem(sys.modules, "_promptmill_encoders", raising=False)
+    ids = pa.array([sentencepiece_codec.Encoder(PIECES).pieces.path(" the stone", 0, 10)[0], None])
+    batches = pa.table({"ids": ids}).to_batches()
+    out = list(sentencepiece_codec._decode(PIECES, "ids")(iter(batches)))
+    assert out[0].column("decoded").to_pylist() == ["the stone", ""]
+    assert "_promptmill_encoders" not in sys.modules
+
+
 def test_runs_of_flags_end_with_their_stretch():
     flags = np.array([1, 1, 0, 1, 1, 1, 0, 0, 1], bool)
     begin, end, who = suffix_dedup._runs_of_flags(flags, np.array([0, 4, 6, 8]))
