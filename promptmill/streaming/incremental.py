@@ -9,14 +9,17 @@ from promptmill.session import work_folder
 from promptmill.sources.bucketed import BucketedTable
 
 
+DIGEST_BYTES, DIGEST_GROUPS = 32, 4096     # a checkpoint holds for one number of groups
+
+
 def append_new_prompts(stream: DataFrame, pool_path: str, checkpoint: str, order_col="record_id",
                        available_now=True):
     """Append prompts of a stream that are not in the pool yet; inside a batch the row with the
     smallest ``order_col`` (not null) wins.
 
-    Which prompts have come is keyed state, one flag for each digest, in the state store beside the
-    checkpoint: a batch reads and writes the state of its own prompts, and opens no file of the
-    pool. Each micro-batch is written to a folder of its own number, so a batch that is run again
+    Which prompts have come is keyed state in the state store beside the checkpoint: the digests,
+    one after the other, in ``DIGEST_GROUPS`` groups, so a batch calls Python once for each group
+    and not for each prompt, and opens no file of the pool. Each micro-batch is written to a folder of its own number, so a batch that is run again
     after a failure starts from the state before it and replaces its own output. Wide columns pass
     the state step as one packed text.
     """
@@ -26,23 +29,26 @@ def append_new_prompts(stream: DataFrame, pool_path: str, checkpoint: str, order
     rows = clean.candidate_status(stream).where(F.col("status") == "candidate")
     rows = rows.drop("status", "prompt").withColumnRenamed("normalized", "prompt").withColumn(
         "digest", keys.digest("prompt"))
-    packed = rows.select("digest", F.col(order_col).alias("place"),
+    packed = rows.select(F.pmod(F.crc32("digest"), F.lit(DIGEST_GROUPS)).alias("digests"), "digest",
+                         F.col(order_col).alias("place"),
                          F.to_json(F.struct(*rows.columns)).alias("packed"))
     place = packed.schema["place"].dataType.simpleString()
 
-    def first_of_key(key, frames, state):
-        if state.exists:
-            return
-        state.update((True,))
-        best = None
+    def first_of_digests(key, frames, state):
+        held = bytes(state.get[0]) if state.exists else b""
+        seen = {held[i:i + DIGEST_BYTES] for i in range(0, len(held), DIGEST_BYTES)}
+        best = {}
         for frame in frames:
-            row = frame.loc[frame["place"].idxmin()]
-            if best is None or row["place"] < best["place"]:
-                best = row
-        yield pd.DataFrame({"place": [best["place"]], "packed": [best["packed"]]})
-
-    fresh = packed.groupBy("digest").applyInPandasWithState(
-        first_of_key, f"place {place}, packed string", "seen boolean", "append",
+            for digest, at, row in zip(map(bytes, frame["digest"]), frame["place"],
+                                       frame["packed"]):
+                if digest not in seen and (digest not in best or at < best[digest][0]):
+                    best[digest] = at, row
+        if best:
+            state.update((held + b"".join(best),))
+            yield pd.DataFrame(list(best.values()), columns=["place", "packed"])
+
+    fresh = packed.groupBy("digests").applyInPandasWithState(
+        first_of_digests, f"place {place}, packed string", "seen binary", "append",
         GroupStateTimeout.NoTimeout)
     fresh = fresh.select(F.from_json("packed", rows.schema).alias("row")).select("row.*")
 

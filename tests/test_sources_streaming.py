@@ -149,6 +149,24 @@ def test_stream_appends_new_prompts_over_restarts(spark, tmp_path):
     assert {(r["record_id"], r["batch"]) for r in after.collect()} == {(1, 0), (5, 1)}
 
 
+def test_state_of_new_prompts_is_kept_in_groups(spark, tmp_path):
+    words = F.concat_ws(" ", F.lit("a new prompt"), (F.col("id") % 4500).cast("string"))
+    rows = spark.range(9000).select((10_000 - F.col("id")).alias("record_id"),
+                                    F.lit("s").alias("source"), words.alias("prompt"))
+    schema, pool = rows.schema, str(tmp_path / "pool")
+    for arrived in (rows.where("id < 4000"), rows.where("id >= 4000")):
+        arrived.write.mode("append").parquet(str(tmp_path / "in"))
+        query = incremental.append_new_prompts(
+            spark.readStream.schema(schema).parquet(str(tmp_path / "in")), pool,
+            str(tmp_path / "checkpoint"))
+        query.awaitTermination()
+    got = {r["record_id"] for r in incremental.existing_pool(spark, pool).collect()}
+    # of two new rows in the second batch the later one has the smaller number
+    assert got == {10_000 - i for i in range(4000)} | {
+        10_000 - (i + 4500) for i in range(4000, 4500)}
+    assert query.lastProgress.stateOperators[0].numRowsTotal <= incremental.DIGEST_GROUPS
+
+
 def test_stream_report_closes_windows(spark, tmp_path):
     rows = [("2024-01-01 00:10:00", "m", True, 1), ("2024-01-01 05:00:00", "m", False, 3),
             ("2024-01-02 12:00:00", "m", True, 1), ("2024-01-03 00:30:00", "n", True, 1)]
