@@ -16,11 +16,13 @@ Stages:
 3. Representatives that share a prefix token are linked to the leader of that token (two rounds
    with different leaders, so each token gives as many pairs as it has members). Components of the
    links are merged. A token whose members are then still in several components is a group. Its
-   candidate pairs between components are made if there are few for its members, as is usual. A
-   denser group of up to ``FEW`` members is compared in one task, first by the prefixes under the
-   other two orders, then, for members that still have a candidate, by whole sets; a larger one is
-   refined into smaller groups (see :func:`_refined`) until none is left. No link that would join two components is missed, and no
-   step gives more rows than a fixed multiple of members.
+   candidate pairs between components are made if there are few for its members, as is usual.
+   Denser groups that have nearly the same members become one (see :func:`_merged`). One of up to
+   ``FEW`` members is compared in one task, first by the prefixes under the other two orders, then,
+   for members that still have a candidate, by whole sets. A larger one is dealt into parts, of
+   which any two are compared in one task (see :func:`_dealt`), or, with over ``PARTS`` parts,
+   refined into smaller groups (see :func:`_refined`) until none is left. No link that would join
+   two components is missed, and no step gives more rows than a fixed multiple of members.
 
 Hashes have 40 bits beside their bucket: in a bucket of a million distinct hashes about one in two
 millions falls on another one, which can only make a pair a candidate; for two equal hashes inside
@@ -57,8 +59,11 @@ BUCKET_BYTES = 6 << 20     # text for each bucket of hashes
 MIN_BUCKETS = 64
 PAIRS_PER_MEMBER = 8       # candidate pairs of a group that are made, on average
 FEW = 1024                 # members of a group that one task compares by whole sets
+FEW_TOKENS = 2 << 20       # tokens of their sets
+PARTS = 16                 # parts into which a larger group is dealt
+COLUMNS = 4096             # hashes that are counted at once for such a group
 MANY = 2048                # members of a group whose candidates are counted in one task
-IS_SPARSE, IS_FEW, IS_DENSE = 0, 1, 2
+IS_SPARSE, IS_DENSE = 0, 1
 LOW_BITS = 40
 NO_ID = -(1 << 63)
 ODD = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)
@@ -349,11 +354,18 @@ def _meeting(members) -> np.ndarray:
     sizes = [len(m) for m in members]
     _, place, counts = np.unique(np.concatenate(members), return_inverse=True, return_counts=True)
     shared = counts > 1
-    column = np.cumsum(shared) - 1
-    row, keep = np.repeat(np.arange(len(members)), sizes), shared[place]
-    held = np.zeros((len(members), int(shared.sum())), np.float32)
-    held[row[keep], column[place[keep]]] = 1
-    return held @ held.T
+    keep = shared[place]
+    row = np.repeat(np.arange(len(members)), sizes)[keep]
+    column = (np.cumsum(shared) - 1)[place[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(members), len(members)), np.float32)
+    for first in range(0, int(shared.sum()), COLUMNS):
+        a, b = np.searchsorted(column, (first, first + COLUMNS))
+        held = np.zeros((len(members), COLUMNS), np.float32)
+        held[row[a:b], column[a:b] - first] = 1
+        both += held @ held.T
+    return both
 
 
 def _able(group: pd.DataFrame, percent: int) -> np.ndarray:
@@ -367,7 +379,7 @@ def _able(group: pd.DataFrame, percent: int) -> np.ndarray:
 
 def _sorted_out(percent: int):
     """What is to become of each group: ``SPARSE`` with its candidate pairs where those are few for
-    its members, ``FEW`` members to be compared in one task, or ``DENSE``."""
+    its members, else ``DENSE`` in one row."""
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         kinds, gids, one, two = [], [], [], []
 
@@ -380,10 +392,7 @@ def _sorted_out(percent: int):
             rep = group["rep"].to_numpy()
             left, right = np.nonzero(np.triu(_able(group, percent), 1))
             if len(left) > PAIRS_PER_MEMBER * len(rep):
-                if len(rep) <= FEW:
-                    add(IS_FEW, gid, rep, rep)
-                else:
-                    add(IS_DENSE, gid, rep[:1], rep[:1])
+                add(IS_DENSE, gid, rep[:1], rep[:1])
             elif len(left):
                 add(IS_SPARSE, gid, np.minimum(rep[left], rep[right]),
                     np.maximum(rep[left], rep[right]))
@@ -558,20 +567,75 @@ def _unconnected(marked: DataFrame) -> DataFrame:
 
 
 def _distinct_groups(groups: DataFrame) -> DataFrame:
-    """One of all groups that have the same members, without the places in them."""
+    """One of all groups that have the same members."""
     marks = groups.groupBy("gid").agg(
         F.bit_xor(F.xxhash64("rep")).alias("one"), F.count(F.lit(1)).alias("members"),
         F.sum(F.xxhash64("rep", F.lit(1)).cast("decimal(38,0)")).alias("two"))
     kept = marks.groupBy("members", "one", "two").agg(F.min("gid").alias("gid")).select("gid")
-    return groups.join(kept, "gid", "left_semi").withColumn("place", F.lit(0).cast("long"))
+    return groups.join(kept, "gid", "left_semi")
+
+
+def _merged(groups: DataFrame, any_size: bool) -> DataFrame:
+    """Groups as one with those that have the same leader, where that leaves fewer pairs of members
+    to compare, with their number of members and of parts to deal.
+
+    The leader is the member with the least hash, so groups with nearly the same members mostly
+    have the same. What is refined again and again must not be merged: ``any_size`` is for groups
+    of tokens, others are merged only if the result need not be refined."""
+    leaders = groups.groupBy("gid").agg(
+        F.min(F.struct(F.xxhash64("rep", F.lit(2)).alias("h"), F.col("rep").alias("rep"))).alias("l"),
+        F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens")).select(
+        "gid", F.col("l.rep").alias("leader"), "members", "tokens")
+    leaders = written(leaders, "leaders")
+    one = groups.join(leaders.select("gid", "leader"), "gid").select(
+        "leader", "rep", "n", "comp").distinct()
+    sums = leaders.groupBy("leader").agg(
+        F.count(F.lit(1)).alias("groups"),
+        F.sum(F.col("members").cast("double") * F.col("members")).alias("compared"))
+    united = one.groupBy("leader").agg(
+        F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens")).join(sums, "leader")
+    members = F.col("members").cast("double")
+    parts = F.when(
+        (F.col("members") > FEW) | (F.col("tokens") > FEW_TOKENS),
+        F.least("members", F.ceil(F.greatest(2 * F.col("members") / FEW,
+                                             2 * F.col("tokens") / FEW_TOKENS)))
+    ).otherwise(F.lit(1)).cast("long")
+    united = united.where((F.col("groups") > 1) & (members * members <= F.col("compared")))
+    united = united.withColumn("parts", parts)
+    if not any_size:
+        united = united.where(_dealable())
+    united = written(united.select("leader", "members", "parts"), "united")
+    own = leaders.join(united.select("leader"), "leader", "left_anti").select(
+        "gid", "members", parts.alias("parts"))
+    rows = groups.select("gid", "rep", "n", "comp").join(own, "gid")
+    return rows.unionByName(one.join(united, "leader").withColumn(
+        "gid", F.xxhash64("leader", F.lit("united"))).drop("leader")).withColumn(
+        "place", F.lit(0).cast("long"))
+
+
+def _dealable():
+    return (F.col("parts") <= PARTS) | (F.col("members") <= 4 * PARTS)
+
+
+def _dealt(groups: DataFrame) -> DataFrame:
+    """Groups of several parts as one group for each two parts, so that any two members meet."""
+    part = F.pmod(F.xxhash64("rep", F.lit(3)), F.col("parts"))
+    other = F.explode(F.filter(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1),
+                               lambda x: (x != F.col("part")) | (F.col("parts") == 1)))
+    return groups.withColumn("part", part).withColumn("other", other).withColumn(
+        "gid", F.when(F.col("parts") == 1, F.col("gid")).otherwise(F.xxhash64(
+            "gid", F.least("part", "other"), F.greatest("part", "other")))).select(
+        "gid", "rep", "n", "place", "comp")
 
 
 def _small_groups(few: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Links inside groups of up to ``FEW`` members: the prefixes under the other two orders are
+    """Links inside groups of about ``FEW`` members or less: the prefixes under the other two orders are
     intersected first, then sets are fetched for members with a candidate."""
     signs = few.select("rep").distinct().join(reps, "rep").select("rep", "n", "tokens").mapInArrow(
         _signatures(percent), "rep long, second binary, third binary")
-    spread = F.pmod(F.xxhash64("gid"), F.lit(max(MIN_BUCKETS, few.count() // 20_000)))
+    count, tokens = few.agg(F.count(F.lit(1)), F.sum("n")).first()
+    spread = F.pmod(F.xxhash64("gid"), F.lit(max(MIN_BUCKETS, count // 20_000,
+                                                 (tokens or 0) // FEW_TOKENS)))
     able = few.join(signs, "rep").groupBy(spread.alias("g")).applyInPandas(
         _with_candidates(percent), "gid long, rep long, n long")
     sets = written(able, "candidates").join(
@@ -598,6 +662,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
         links = found if links is None else links.unionByName(found)
         labels = connected(links)
     groups = prefixes.select(F.xxhash64("token").alias("gid"), "rep", "n", "place")
+    first = True
     while True:
         left = written(_unconnected(_labelled(groups, labels)), "unconnected")
         small = left.where(F.col("members") <= MANY)
@@ -605,18 +670,17 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
         kinds = written(small.groupBy(spread.alias("g")).applyInPandas(
             _sorted_out(percent), "kind long, gid long, a long, b long"), "kinds")
 
-        def of_kind(kind):
-            gids = kinds.where(F.col("kind") == kind).select("gid").distinct()
-            return left.join(gids, "gid", "left_semi")
-
         pairs = kinds.where(F.col("kind") == IS_SPARSE).select("a", "b").distinct()
-        found = _links(pairs, reps, percent).unionByName(
-            _small_groups(_distinct_groups(of_kind(IS_FEW)), reps, percent))
-        dense = written(_distinct_groups(of_kind(IS_DENSE).unionByName(
-            left.where(F.col("members") > MANY))), "dense-groups")
-        over = dense.isEmpty()
+        gids = kinds.where(F.col("kind") == IS_DENSE).select("gid")
+        dense = written(_merged(_distinct_groups(left.join(gids, "gid", "left_semi").unionByName(
+            left.where(F.col("members") > MANY))), first), "dense-groups")
+        first = False
+        few = written(_dealt(dense.where(_dealable())), "dealt-groups")
+        found = _links(pairs, reps, percent).unionByName(_small_groups(few, reps, percent))
+        large = dense.where(~_dealable())
+        over = large.isEmpty()
         if not over:
-            sure, groups = _refined(dense, reps, percent)
+            sure, groups = _refined(large, reps, percent)
             found = found.unionByName(sure)
             groups = written(groups, "finer-groups")
         links = links.unionByName(written(found, "links"))

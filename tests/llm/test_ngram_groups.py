@@ -80,6 +80,69 @@ def test_rows_stay_in_proportion(spark, monkeypatch):
     assert totals[0] < 12 * 120 and totals[1] < 12 * 240
 
 
+def counted_rows(monkeypatch, counts, *names):
+    plain = ngram_join.written
+
+    def counted(df, name):
+        out = plain(df, name)
+        if name in names:
+            counts[name] = counts.get(name, 0) + out.count()
+        return out
+    monkeypatch.setattr(ngram_join, "written", counted)
+
+
+def test_dense_groups_are_marked_and_merged(spark, monkeypatch):
+    """A dense group takes one row of the kinds, not one for each member, and groups of nearly the
+    same members are compared once."""
+    monkeypatch.setattr(ngram_join, "PAIRS_PER_MEMBER", 2)
+    counts, texts = {}, near_copies(130, 4, changes=(2, 3), length=150)
+    counted_rows(monkeypatch, counts, "kinds", "candidates", "finer-groups")
+    assert component_ids(spark, texts, n=5, percent=80) == brute(texts, 5, 80)
+    assert counts["kinds"] < 4 * 130 and counts["candidates"] < 2 * 130
+    assert "finer-groups" not in counts
+
+
+def test_groups_of_more_parts_are_refined(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "FEW", 70)
+    monkeypatch.setattr(ngram_join, "PARTS", 1)
+    monkeypatch.setattr(ngram_join, "PAIRS_PER_MEMBER", 2)
+    counts, texts = {}, near_copies(90, 4, changes=(2, 3), length=150)
+    counted_rows(monkeypatch, counts, "finer-groups")
+    assert component_ids(spark, texts, n=5, percent=80) == brute(texts, 5, 80)
+    assert counts["finer-groups"]
+
+
+def test_groups_of_many_tokens_are_dealt(spark, monkeypatch):
+    """A group with few members of large sets takes several tasks, and any two of them meet."""
+    monkeypatch.setattr(ngram_join, "FEW_TOKENS", 1500)
+    monkeypatch.setattr(ngram_join, "PAIRS_PER_MEMBER", 2)
+    texts = near_copies(90, 4)
+    assert component_ids(spark, texts, n=5, percent=80) == brute(texts, 5, 80)
+
+
+def test_any_two_members_meet_after_dealing(spark):
+    rows = [(g, r, 60, 0, r, parts) for g, size, parts in ((1, 40, 1), (2, 70, 7), (3, 50, 3))
+            for r in range(size)]
+    out = ngram_join._dealt(spark.createDataFrame(
+        rows, "gid long, rep long, n long, place long, comp long, parts long")).collect()
+    groups = {}
+    for r in out:
+        groups.setdefault(r.gid, set()).add(r.rep)
+    for size in (40, 70, 50):
+        assert all(any({a, b} <= g for g in groups.values())
+                   for a in range(size) for b in range(a))
+    assert len(out) == 40 + 70 * 6 + 50 * 2
+
+
+def test_counts_of_shared_hashes_by_columns(monkeypatch):
+    rng = np.random.default_rng(3)
+    members = [np.unique(rng.integers(0, 60, 30)).astype(np.uint64) for _ in range(25)]
+    monkeypatch.setattr(ngram_join, "COLUMNS", 7)
+    both = ngram_join._meeting(members)
+    assert all(both[i, j] == len(np.intersect1d(members[i], members[j]))
+               for i in range(25) for j in range(25) if i != j)
+
+
 def test_token_of_many_unlinked_documents(spark):
     """A passage that fills most of every text, between words of their own."""
     rng = random.Random(1)
