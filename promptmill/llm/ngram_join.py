@@ -544,7 +544,8 @@ def connected(links: DataFrame) -> DataFrame:
         small = (small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))))
         edges = written(small.distinct(), "edges")
-        now = edges.agg(F.count(F.lit(1)), F.sum("u"), F.sum("v"),
+        # row ids begin with the number of their partition: sums soon leave the long range
+        now = edges.agg(F.count(F.lit(1)), *[F.sum(F.col(c).cast("decimal(38,0)")) for c in "uv"],
                         F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == before:
             return edges.select(F.col("u").alias("rep"), F.col("v").alias("comp"))

@@ -179,3 +179,11 @@ def test_refinement_loses_no_link(spark):
     for a, b in joined:
         both = len(own[a] & own[b])
         assert 100 * both >= 80 * (len(own[a]) + len(own[b]) - both)
+
+
+def test_row_ids_of_late_partitions(spark):
+    """Their sums leave the range of a long."""
+    links = spark.range(3000).selectExpr("(500L << 44) + 2 * id + 1 AS a", "(500L << 44) + 2 * id AS b")
+    got = ngram_join.connected(links).collect()
+    assert {(r.rep, r.comp) for r in got if r.rep % 2} == {
+        ((500 << 44) + 2 * i + 1, (500 << 44) + 2 * i) for i in range(3000)}
