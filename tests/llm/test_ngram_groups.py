@@ -187,3 +187,13 @@ def test_row_ids_of_late_partitions(spark):
     got = ngram_join.connected(links).collect()
     assert {(r.rep, r.comp) for r in got if r.rep % 2} == {
         ((500 << 44) + 2 * i + 1, (500 << 44) + 2 * i) for i in range(3000)}
+
+
+def test_documents_of_many_partitions(spark):
+    """Pairs of near copies dealt over so many partitions that the links' row ids add up to more
+    than a long holds."""
+    words = " ".join(f"w{{0}}_{i}" for i in range(12))
+    rows = [(2 * i + k, words.format(i) + " end" * k) for i in range(6000) for k in (0, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(200)
+    got = {r.doc_id: r.component_id for r in ngram_join.components(df).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
