@@ -138,3 +138,41 @@ def test_without_labels_and_without_documents(spark, labelled):
     marks = spark.createDataFrame([(i, 0) for i in range(9)], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity.classified(docs, marks).collect()} == {0.0}
     assert toxicity.classified(docs.limit(0), marks.limit(0)).count() == 0
+
+
+def test_every_labelled_text_teaches(spark, monkeypatch, labelled):
+    """Also texts longer than those of a bounded sample; in whatever partitions they lie."""
+    monkeypatch.setattr(toxicity, "LONGEST", 50)
+    monkeypatch.setattr(toxicity, "SHARD_TEXTS", 200, raising=False)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in labelled], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, y) for i, _, y in labelled], "doc_id long, toxic int")
+    got = toxicity.classified(docs, marks).collect()
+    held = [(r.predicted, labelled[r.doc_id][2]) for r in got if r.held_out]
+    assert np.mean([p == y for p, y in held]) > 0.95 and sum(y for _, y in held) > 20
+    again = toxicity.classified(docs.repartition(7), marks).collect()
+    assert sorted(again) == sorted(got)
+    # each text is in one shard, a fourth of its class calibrates
+    train = [(t, y) for i, t, y in labelled if crc32(str(i).encode()) % 3 != 1]
+    shards = [s for _, s in toxicity._shards(toxicity.labelled_shards(docs, marks).toArrow().to_batches())]
+    assert 1 < len(shards) <= 4 and sum(len(s.toxic) for s in shards) == len(train)
+    assert sum(s.toxic.sum() for s in shards) == sum(y for _, y in train)
+    assert sum(s.lengths.sum() for s in shards) == sum(len(toxicity.words_of(t)) for t, _ in train)
+    assert 0.2 < sum(s.later().sum() for s in shards) / len(train) < 0.25
+
+
+def test_more_toxic_than_calm_texts():
+    """All texts of both classes come up in every epoch."""
+    for n, m in ((50, 7), (7, 50), (16, 16), (20, 0)):
+        turns = np.concatenate(list(toxicity._turns(np.arange(n), np.arange(100, 100 + m))))
+        assert set(turns) == {*range(n), *range(100, 100 + m)}
+
+
+def test_averages_of_shards():
+    """An embedding counts where it moved."""
+    def rows(places, value):
+        return np.array(places, "<u2").tobytes() + np.full(
+            len(places) * toxicity.SIZE, value, np.float32).tobytes()
+
+    frame = toxicity.pd.DataFrame({"block": 3, "shard": [1, 0], "data": [rows([4, 9], 1), rows([9], 4)]})
+    places, values = toxicity._open_rows(toxicity._averaged(frame)["data"][0])
+    assert places.tolist() == [4, 9] and (values[0] == 1).all() and (values[1] == 2.5).all()
